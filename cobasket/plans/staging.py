@@ -33,10 +33,15 @@ def raw_text(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "raw", lambda path: views.write_listings(spark, sf_dir, path))
 
 
+def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records parsed from the text files."""
+    return read_records(spark, raw_text(spark, sf_dir))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed records, as parquet, so that each reader takes only the columns it needs."""
+    """The parsed records as parquet, so that each reader takes only the columns it needs."""
     path = _once(spark, sf_dir, "records",
-                 lambda out: read_records(spark, raw_text(spark, sf_dir)).write.parquet(out))
+                 lambda out: parsed(spark, sf_dir).write.parquet(out))
     return spark.read.parquet(path)
 
 
