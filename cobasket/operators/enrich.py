@@ -24,9 +24,10 @@ def sample_customers(pairs: DataFrame, reviews: DataFrame, limit: int = SAMPLE_C
     wanted = pairs.select(F.explode(F.array("item1", "item2")).alias("product_id")).distinct()
     counted = (reviews.filter(F.col("customer_id").isNotNull()).join(wanted, "product_id", "left_semi")
                .groupBy("customer_id", "product_id", "rating").agg(F.count("*").alias("_n")))
-    size = counted.groupBy("product_id").agg(F.count("*").alias("_size"))
+    popularity = reviews.groupBy("product_id").agg(F.count("*").alias("_size"))
     for i in (1, 2):
-        pairs = pairs.join(size.withColumnsRenamed({"product_id": f"item{i}", "_size": f"_size{i}"}), f"item{i}")
+        size = popularity.withColumnsRenamed({"product_id": f"item{i}", "_size": f"_size{i}"})
+        pairs = pairs.join(size, f"item{i}")
     first_is_rarer = F.col("_size1") <= F.col("_size2")
     oriented = pairs.select("item1", "item2", first_is_rarer.alias("_first"),
                             F.when(first_is_rarer, F.col("item1")).otherwise(F.col("item2")).alias("_rare"),

@@ -147,9 +147,13 @@ def ranked_patterns(pairs: DataFrame, n_baskets: Column | int, items: DataFrame
 
 def train_patterns(reviews: DataFrame, min_count: int, dataset: str = "train", max_items: int = MAX_ITEMS,
                    max_baskets: int = MAX_BASKETS) -> DataFrame:
-    """Frequent pairs of one dataset's baskets, with sampled items and sampled baskets."""
+    """Frequent pairs of one dataset's baskets, with sampled items and sampled baskets.
+
+    The baskets are checkpointed, as they are counted, sampled, and searched for items and for pairs.
+    """
     rows = dataset_or_all(reviews, dataset)
-    return frequent_pairs(sample_baskets(baskets_sampled_items(rows, max_items), max_baskets), min_count)
+    found = checkpointed(baskets_sampled_items(rows, max_items))
+    return frequent_pairs(sample_baskets(found, max_baskets), min_count)
 
 
 def validate_patterns(train_pairs: DataFrame, reviews: DataFrame, candidates: int = CANDIDATES,

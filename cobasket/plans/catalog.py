@@ -11,21 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cobasket.operators import baskets as bk, clean as cl, enrich as en, load as ld, mining as mi, search as se, \
     summary as su, views as vw
-from cobasket.plans import staging, views
+from cobasket.plans import staging
+from cobasket.plans.staging import CUSTOMER_MIN, MAX_ITEMS, ORDER_MIN
 from cobasket.schemas import Graph
 from cobasket.session import scratch_path
 from cobasket.sources import patterns as pt, tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MAX_ITEMS = 20  # items per basket
-CUSTOMER_MIN = 4  # baskets of customers that a pair must be in
-ORDER_MIN = 2  # baskets of orders that an itemset must be in
-SAMPLED_MIN = 3  # as CUSTOMER_MIN, for baskets with sampled items
-TRAIN_MIN = 2
-TEST_MIN = 1
-TOP = 20
-SAMPLE_MAX = 500
+SAMPLED_MIN = 3  # training baskets with sampled items that a pair must be in
+TEST_MIN = 1  # held-out baskets that a pair must be in
+TOP = 20  # patterns shown
+SAMPLE_MAX = 500  # baskets in the sample
 
 _queries: dict[str, Query] = {}
 
@@ -141,17 +138,19 @@ def clean_categories(spark, sf):
 
 @query
 def clean_similar(spark, sf):
-    return cl.clean(staging.normalized(spark, sf)).similar
+    return cl.clean_similar(staging.normalized(spark, sf).similar, staging.cleaned(spark, sf).products)
 
 
 @query
 def clean_belongs_to(spark, sf):
-    return cl.clean(staging.normalized(spark, sf)).belongs_to
+    nodes = staging.cleaned(spark, sf)
+    return cl.clean_belongs_to(staging.normalized(spark, sf).belongs_to, nodes.products, nodes.categories)
 
 
 @query
 def clean_reviews(spark, sf):
-    return cl.clean(_with_strays(spark, sf)).reviewed
+    nodes = staging.cleaned(spark, sf)
+    return cl.clean_reviewed(_with_strays(spark, sf).reviewed, nodes.customers, nodes.products)
 
 
 def _with_strays(spark: SparkSession, sf: str) -> Graph:
@@ -167,8 +166,7 @@ def _with_strays(spark: SparkSession, sf: str) -> Graph:
 
 @query
 def clean_rejects(spark, sf):
-    graph = _with_strays(spark, sf)
-    return cl.reject_report(graph, cl.clean(graph))
+    return cl.reject_report(_with_strays(spark, sf), staging.cleaned(spark, sf))
 
 
 # ---- typed load and counts
@@ -197,37 +195,37 @@ def load_customers(spark, sf):
 @query
 def merge_categories(spark, sf):
     """Categories of the order database merged with those of the text: brands and sizes are in both."""
-    existing = views.categories(spark, sf).filter(~F.startswith("name", F.lit("Size")))
+    existing = staging.graph(spark, sf).categories.filter(~F.startswith("name", F.lit("Size")))
     new = staging.normalized(spark, sf).belongs_to.select(F.col("category").alias("name"))
     return ld.merge_categories(existing, new)
 
 
 @query
 def resolve_belongs_to(spark, sf):
-    graph = views.graph(spark, sf)
+    graph = staging.graph(spark, sf)
     return ld.resolve_belongs_to(graph.belongs_to, graph.products, graph.categories)
 
 
 @query
 def resolve_similar(spark, sf):
-    graph = views.graph(spark, sf)
+    graph = staging.graph(spark, sf)
     return ld.resolve_similar(graph.similar, graph.products.filter(F.col("title").isNotNull()))
 
 
 @query
 def resolve_reviews(spark, sf):
-    graph = views.graph(spark, sf)
+    graph = staging.graph(spark, sf)
     return ld.resolve_reviewed(graph.reviewed, graph.customers, graph.products.filter(F.col("title").isNotNull()))
 
 
 @query
 def counts_by_label(spark, sf):
-    return ld.counts_by_label(views.graph(spark, sf))
+    return ld.counts_by_label(staging.graph(spark, sf))
 
 
 @query
 def verify_counts(spark, sf):
-    return ld.verify_counts(views.graph(spark, sf))
+    return ld.verify_counts(staging.graph(spark, sf))
 
 
 @query
@@ -243,12 +241,12 @@ def compare_snapshots(spark, sf):
 
 @query
 def load_relationships(spark, sf):
-    return tb.scan_relationship(views.graph(spark, sf), "similar")
+    return tb.scan_relationship(staging.graph(spark, sf), "similar")
 
 
 @query
 def load_reviews(spark, sf):
-    return tb.scan_reviews(views.reviews(spark, sf))
+    return tb.scan_reviews(staging.graph(spark, sf).reviewed)
 
 
 @query
@@ -259,7 +257,7 @@ def load_reviews_dataset(spark, sf):
 def _half_split(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews of which some carry a dataset name already."""
     name = F.when(F.col("votes") == 1, F.lit("train")).when(F.col("votes") == 2, F.lit("test"))
-    return views.reviews(spark, sf).withColumn("dataset", name)
+    return staging.graph(spark, sf).reviewed.withColumn("dataset", name)
 
 
 @query
@@ -279,86 +277,86 @@ def write_graph_csv(spark, sf):
 
 @query
 def search_form_default(spark, sf):
-    return se.search_form(views.products(spark, sf))
+    return se.search_form(staging.graph(spark, sf).products)
 
 
 @query
 def search_form_bounds(spark, sf):
-    return se.search_form(views.products(spark, sf), group="ECONOMY", min_rating=2.5, max_rating=3.5, min_reviews=20,
+    return se.search_form(staging.graph(spark, sf).products, group="ECONOMY", min_rating=2.5, max_rating=3.5, min_reviews=20,
                           max_reviews=45, min_salesrank=-1, max_salesrank=60000, limit=50)
 
 
 @query
 def search_conditions(spark, sf):
-    return se.search_conditions(views.products(spark, sf), {
+    return se.search_conditions(staging.graph(spark, sf).products, {
         "min_rating": 2.8, "max_rating": 3.4, "min_reviews": 25, "group": "STANDARD", "max_salesrank": 70000}, 25)
 
 
 @query
 def search_all(spark, sf):
-    return se.search_conditions(views.products(spark, sf), k=100)
+    return se.search_conditions(staging.graph(spark, sf).products, k=100)
 
 
 @query
 def preset_high_rated(spark, sf):
-    return se.preset(views.products(spark, sf), "high_rated", min_rating=3.0, min_reviews=30)
+    return se.preset(staging.graph(spark, sf).products, "high_rated", min_rating=3.0, min_reviews=30)
 
 
 @query
 def preset_books(spark, sf):
-    return se.preset(views.products(spark, sf), "books", group="ECONOMY", min_rating=3.0)
+    return se.preset(staging.graph(spark, sf).products, "books", group="ECONOMY", min_rating=3.0)
 
 
 @query
 def preset_music(spark, sf):
-    return se.preset(views.products(spark, sf), "music", group="PROMO", min_rating=3.0, min_reviews=30)
+    return se.preset(staging.graph(spark, sf).products, "music", group="PROMO", min_rating=3.0, min_reviews=30)
 
 
 @query
 def filter_high_rated(spark, sf):
-    return se.filter_high_rated(views.products(spark, sf), 3.0, 30)
+    return se.filter_high_rated(staging.graph(spark, sf).products, 3.0, 30)
 
 
 @query
 def top_products(spark, sf):
-    return se.top_products(views.products(spark, sf))
+    return se.top_products(staging.graph(spark, sf).products)
 
 
 @query
 def search_listing(spark, sf):
-    return se.listing(se.search_conditions(views.products(spark, sf), k=60), 60)
+    return se.listing(se.search_conditions(staging.graph(spark, sf).products, k=60), 60)
 
 
 @query
 def active_customer_products(spark, sf):
-    return se.active_customer_products(views.reviews(spark, sf), min_customer_reviews=40, k=25)
+    return se.active_customer_products(staging.graph(spark, sf).reviewed, min_customer_reviews=40, k=25)
 
 
 # ---- summaries
 
 @query
 def category_analysis(spark, sf):
-    return su.category_analysis(views.belongs_to(spark, sf), views.products(spark, sf)) \
+    return su.category_analysis(staging.graph(spark, sf).belongs_to, staging.graph(spark, sf).products) \
         .withColumn("mean_rating", rounded("mean_rating"))
 
 
 @query
 def top_categories(spark, sf):
-    return su.top_categories(views.belongs_to(spark, sf))
+    return su.top_categories(staging.graph(spark, sf).belongs_to)
 
 
 @query
 def top_reviewers(spark, sf):
-    return su.top_reviewers(views.reviews(spark, sf))
+    return su.top_reviewers(staging.graph(spark, sf).reviewed)
 
 
 @query
 def similarity_network(spark, sf):
-    return su.similarity_network(views.similar(spark, sf), views.products(spark, sf), more_than=30)
+    return su.similarity_network(staging.graph(spark, sf).similar, staging.graph(spark, sf).products, more_than=30)
 
 
 def _similar_support(spark: SparkSession, sf: str) -> DataFrame:
-    return su.similar_pair_support(views.similar(spark, sf), views.products(spark, sf), views.reviews(spark, sf))
+    return su.similar_pair_support(staging.graph(spark, sf).similar, staging.graph(spark, sf).products, staging.graph(spark, sf).reviewed)
 
 
 @query
@@ -379,43 +377,30 @@ def similar_rules(spark, sf):
 
 # ---- baskets, samples, splits
 
-def _customer_baskets(spark: SparkSession, sf: str) -> DataFrame:
-    return bk.baskets(tb.scan_reviews(views.reviews(spark, sf)), MAX_ITEMS)
-
-
-def _order_baskets(spark: SparkSession, sf: str) -> DataFrame:
-    lines = views.table(spark, sf, "lineitem")
-    rows = lines.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
-    return bk.baskets(rows, MAX_ITEMS, "order_id")
-
-
 @query
 def baskets(spark, sf):
-    return _customer_baskets(spark, sf).select("customer_id", joined("items"))
+    found = bk.baskets(tb.scan_reviews(staging.graph(spark, sf).reviewed), MAX_ITEMS)
+    return found.select("customer_id", joined("items"))
 
 
 @query
 def baskets_sampled_items(spark, sf):
-    return bk.baskets_sampled_items(views.reviews(spark, sf), MAX_ITEMS).select("customer_id", joined("items"))
+    return bk.baskets_sampled_items(staging.graph(spark, sf).reviewed, MAX_ITEMS).select("customer_id", joined("items"))
 
 
 @query
 def sample_baskets(spark, sf):
-    return bk.sample_baskets(_customer_baskets(spark, sf), SAMPLE_MAX).select("customer_id", joined("items"))
-
-
-def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return bk.train_test_split(views.reviews(spark, sf))
+    return bk.sample_baskets(staging.customer_baskets(spark, sf), SAMPLE_MAX).select("customer_id", joined("items"))
 
 
 @query
 def train_test_split(spark, sf):
-    return _split(spark, sf)
+    return staging.split(spark, sf)
 
 
 @query
 def train_test_split_by_customer(spark, sf):
-    return bk.train_test_split(views.reviews(spark, sf), split_by="customer_id")
+    return bk.train_test_split(staging.graph(spark, sf).reviewed, split_by="customer_id")
 
 
 @query
@@ -425,13 +410,13 @@ def split_preserved(spark, sf):
 
 @query
 def split_counts(spark, sf):
-    return bk.split_counts(_split(spark, sf))
+    return bk.split_counts(staging.split(spark, sf))
 
 
 @query
 def dataset_or_all(spark, sf):
     """A dataset that exists, and one that does not and so stands for all rows."""
-    split = _split(spark, sf)
+    split = staging.split(spark, sf)
     parts = [bk.dataset_or_all(split, name).withColumn("asked_for", F.lit(name)) for name in ("test", "holdout")]
     return parts[0].unionByName(parts[1])
 
@@ -440,53 +425,50 @@ def dataset_or_all(spark, sf):
 
 @query
 def frequent_items(spark, sf):
-    return mi.frequent_items(_customer_baskets(spark, sf), CUSTOMER_MIN)
+    return mi.frequent_items(staging.customer_baskets(spark, sf), CUSTOMER_MIN)
 
 
 @query
 def frequent_pairs(spark, sf):
-    return mi.frequent_pairs(_customer_baskets(spark, sf), CUSTOMER_MIN)
-
-
-def _order_itemsets(spark: SparkSession, sf: str) -> DataFrame:
-    return mi.frequent_itemsets(_order_baskets(spark, sf), ORDER_MIN)
+    return mi.frequent_pairs(staging.customer_baskets(spark, sf), CUSTOMER_MIN)
 
 
 @query
 def frequent_itemsets(spark, sf):
-    return _order_itemsets(spark, sf).select(joined("items"), F.size("items").alias("n_items"), "support")
+    found = mi.frequent_itemsets(staging.order_baskets(spark, sf), ORDER_MIN)
+    return found.select(joined("items"), F.size("items").alias("n_items"), "support")
 
 
 @query
 def frequent_pairs_fpgrowth(spark, sf):
-    return mi.itemsets_of_size(_order_itemsets(spark, sf), 2)
+    return mi.itemsets_of_size(staging.order_itemsets(spark, sf), 2)
 
 
 @query
 def frequent_triples(spark, sf):
-    return mi.itemsets_of_size(_order_itemsets(spark, sf), 3)
+    return mi.itemsets_of_size(staging.order_itemsets(spark, sf), 3)
 
 
 @query
 def association_rules(spark, sf):
-    rules = mi.association_rules(_order_itemsets(spark, sf), mi.basket_count(_order_baskets(spark, sf)))
+    rules = mi.association_rules(staging.order_itemsets(spark, sf), mi.basket_count(staging.order_baskets(spark, sf)))
     return rules.select(joined("antecedent"), "consequent", rounded("confidence"), rounded("lift"),
                         rounded("support"))
 
 
 @query
 def pair_rules(spark, sf):
-    found = _customer_baskets(spark, sf)
-    rules = mi.pair_rules(mi.frequent_pairs(found, CUSTOMER_MIN), mi.frequent_items(found, CUSTOMER_MIN),
+    found = staging.customer_baskets(spark, sf)
+    rules = mi.pair_rules(staging.customer_pairs(spark, sf), mi.frequent_items(found, CUSTOMER_MIN),
                           mi.basket_count(found))
     return rules.select("antecedent", "consequent", rounded("confidence"), rounded("lift"), rounded("support")) \
         .orderBy(*mi.rule_order())
 
 
 def _ranked(spark: SparkSession, sf: str, top: int | None = None, with_rules: bool = False) -> DataFrame:
-    found = _customer_baskets(spark, sf)
+    found = staging.customer_baskets(spark, sf)
     items = mi.frequent_items(found, CUSTOMER_MIN) if with_rules else None
-    return mi.ranked_patterns(mi.frequent_pairs(found, CUSTOMER_MIN), mi.basket_count(found), items, top)
+    return mi.ranked_patterns(staging.customer_pairs(spark, sf), mi.basket_count(found), items, top)
 
 
 @query
@@ -497,13 +479,11 @@ def ranked_patterns(spark, sf):
 
 @query
 def train_patterns(spark, sf):
-    return mi.train_patterns(_split(spark, sf), SAMPLED_MIN, max_items=MAX_ITEMS)
+    return mi.train_patterns(staging.split(spark, sf), SAMPLED_MIN, max_items=MAX_ITEMS)
 
 
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
-    split = _split(spark, sf)
-    train = mi.train_patterns(split, TRAIN_MIN, max_items=MAX_ITEMS)
-    return mi.validate_patterns(train, split, min_test_support=TEST_MIN)
+    return mi.validate_patterns(staging.train_pairs(spark, sf), staging.split(spark, sf), min_test_support=TEST_MIN)
 
 
 @query
@@ -518,91 +498,88 @@ def top_validated(spark, sf):
 
 @query
 def mining_stats(spark, sf):
-    return mi.mining_stats(_split(spark, sf), _validated(spark, sf))
+    return mi.mining_stats(staging.split(spark, sf), _validated(spark, sf))
 
 
 # ---- enrichment and pattern views
 
 @query
 def sample_customers(spark, sf):
-    pairs = mi.frequent_pairs(_customer_baskets(spark, sf), CUSTOMER_MIN)
-    return en.sample_customers(pairs, tb.scan_reviews(views.reviews(spark, sf)))
+    reviews = tb.scan_reviews(staging.graph(spark, sf).reviewed)
+    return en.sample_customers(staging.customer_pairs(spark, sf), reviews)
 
 
 @query
 def enriched_patterns(spark, sf):
-    found = en.with_products(_ranked(spark, sf), views.products(spark, sf))
+    found = en.with_products(_ranked(spark, sf), staging.graph(spark, sf).products)
     return found.withColumn("confidence", rounded("confidence"))
 
 
-def served(spark: SparkSession, sf: str, top: int | None = TOP) -> DataFrame:
-    """The pattern job from reviews to served patterns."""
-    reviews = tb.scan_reviews(views.reviews(spark, sf))
+def pattern_job(spark: SparkSession, sf: str, top: int | None = None) -> DataFrame:
+    """Served patterns from the stored pairs."""
+    stored = staging.graph(spark, sf)
     ranked = _ranked(spark, sf, top)
-    enriched = en.with_products(ranked, views.products(spark, sf))
-    return en.nested_patterns(enriched, en.sample_customers(ranked, reviews))
-
-
-def _sample_text(column: str) -> Column:
-    return F.array_join(F.transform(column, lambda s: F.concat_ws(
-        ":", s["customer_id"], s["rating1"].cast("int").cast("string"), s["rating2"].cast("int").cast("string"))),
-        ";").alias("samples")
+    samples = en.sample_customers(ranked, tb.scan_reviews(stored.reviewed))
+    return en.nested_patterns(en.with_products(ranked, stored.products), samples)
 
 
 def _flat(patterns: DataFrame) -> DataFrame:
+    samples = F.array_join(F.transform("sample_customers", lambda s: F.concat_ws(
+        ":", s["customer_id"], s["rating1"].cast("int").cast("string"), s["rating2"].cast("int").cast("string"))), ";")
     return patterns.select("rank", "products.asin1", "products.asin2", "products.title1", "products.title2",
                            "products.avgRating1", "products.avgRating2", "support", rounded("confidence"),
-                           _sample_text("sample_customers"))
+                           samples.alias("samples"))
 
 
 @query
 def patterns_nested(spark, sf):
-    return _flat(served(spark, sf, top=None))
+    """The strongest patterns, nested and flattened again."""
+    return _flat(pattern_job(spark, sf, TOP))
 
 
 @query
 def write_patterns(spark, sf):
-    """The metadata row after writing the served patterns, without its time stamp."""
+    """The metadata row after writing some patterns, without its time stamp."""
     path = scratch_path(spark, "patterns")
-    pt.write_patterns(served(spark, sf), path)
+    pt.write_patterns(pattern_job(spark, sf, TOP), path)
     return pt.read_metadata(spark, path).select("total_patterns", "algorithm")
 
 
 @query
 def read_patterns(spark, sf):
-    path = scratch_path(spark, "patterns")
-    pt.write_patterns(served(spark, sf), path)
-    return _flat(pt.read_patterns(spark, path))
+    """All served patterns, from their files."""
+    return _flat(staging.served(spark, sf))
 
 
 @query
 def enriched_validated(spark, sf):
-    found = en.enriched_validated(_validated(spark, sf), views.products(spark, sf))
+    found = en.enriched_validated(_validated(spark, sf), staging.graph(spark, sf).products)
     return found.select(joined("products"), joined("titles"), joined("ratings"), "train_support", "test_support",
                         "total_support", "confidence")
 
 
 @query
 def pattern_list(spark, sf):
-    return vw.pattern_list(served(spark, sf, top=None))
+    return vw.pattern_list(staging.served(spark, sf))
 
 
 @query
 def top_patterns(spark, sf):
-    return vw.top_patterns(served(spark, sf))
+    return vw.top_patterns(staging.served(spark, sf))
 
 
 @query
 def pattern_detail(spark, sf):
-    return vw.pattern_detail(served(spark, sf), rank=3)
+    return vw.pattern_detail(staging.served(spark, sf), rank=3)
 
 
 @query
 def pattern_overview(spark, sf):
-    return vw.pattern_overview(served(spark, sf)).withColumn("confidence_percent", rounded("confidence_percent"))
+    return vw.pattern_overview(staging.served(spark, sf)).withColumn("confidence_percent",
+                                                                     rounded("confidence_percent"))
 
 
 @query
 def rating_distribution(spark, sf):
-    return vw.rating_distribution(served(spark, sf)).withColumns({
+    return vw.rating_distribution(staging.served(spark, sf)).withColumns({
         c: F.round(c, 6) for c in ("percent", "mean_rating")})

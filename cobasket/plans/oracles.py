@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cobasket.plans import catalog as c
+from cobasket.plans import catalog as c, staging as st
 
 HASH = "CAST('0x' || substr(md5(concat_ws('|', {cols}, '42')), 1, 8) AS BIGINT)"
 
@@ -32,11 +32,11 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT order_id, product_id FROM (
             SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY product_id) AS n
             FROM (SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem)
-        ) WHERE n <= {c.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
+        ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
     "order_pairs": (["order_rows"], f"""
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
-        GROUP BY 1, 2 HAVING count(*) >= {c.ORDER_MIN}"""),
+        GROUP BY 1, 2 HAVING count(*) >= {st.ORDER_MIN}"""),
     "alike": (["order_pairs"], "SELECT item1 AS src, item2 AS dst FROM order_pairs"),
     "customers": (["reviews"], "SELECT DISTINCT customer_id FROM reviews"),
     "categories": (["belongs_to"], "SELECT DISTINCT category AS name FROM belongs_to"),
@@ -90,15 +90,15 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT customer_id, product_id FROM (
             SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY product_id) AS n
             FROM (SELECT DISTINCT customer_id, product_id FROM reviews)
-        ) WHERE n <= {c.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
+        ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
     "n_baskets": (["basket_rows"], "SELECT count(DISTINCT customer_id) AS n FROM basket_rows"),
     "items": (["basket_rows"], f"""
         SELECT product_id AS item, count(*) AS support FROM basket_rows GROUP BY 1
-        HAVING count(*) >= {c.CUSTOMER_MIN}"""),
+        HAVING count(*) >= {st.CUSTOMER_MIN}"""),
     "pairs": (["basket_rows"], f"""
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM basket_rows x JOIN basket_rows y ON x.customer_id = y.customer_id AND x.product_id < y.product_id
-        GROUP BY 1, 2 HAVING count(*) >= {c.CUSTOMER_MIN}"""),
+        GROUP BY 1, 2 HAVING count(*) >= {st.CUSTOMER_MIN}"""),
     "ranked": (["pairs", "n_baskets"], """
         SELECT row_number() OVER (ORDER BY support DESC, item1, item2) AS rank, item1, item2, support,
                support / n AS confidence FROM pairs, n_baskets"""),
@@ -107,7 +107,7 @@ CTES: dict[str, tuple[list[str], str]] = {
             SELECT *, row_number() OVER (PARTITION BY customer_id
                                          ORDER BY {HASH.format(cols='customer_id, product_id')}, product_id) AS n
             FROM (SELECT DISTINCT customer_id, product_id FROM reviews)
-        ) WHERE n <= {c.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
+        ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
     "split": (["reviews"], f"""
         SELECT *, CASE WHEN {HASH.format(cols='customer_id, product_id, order_id, rating, date, votes, helpful')} % 100
                        < 70 THEN 'train' ELSE 'test' END AS dataset FROM reviews"""),
@@ -116,14 +116,14 @@ CTES: dict[str, tuple[list[str], str]] = {
             SELECT *, row_number() OVER (PARTITION BY customer_id
                                          ORDER BY {HASH.format(cols='customer_id, product_id')}, product_id) AS n
             FROM (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'train')
-        ) WHERE n <= {c.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
+        ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
     "train_pairs": (["train_rows"], """
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM train_rows x JOIN train_rows y ON x.customer_id = y.customer_id AND x.product_id < y.product_id
         GROUP BY 1, 2"""),
     "validated": (["split", "train_pairs"], f"""
         SELECT item1, item2, train_support, count(*) AS test_support, train_support + count(*) AS total_support
-        FROM (SELECT item1, item2, support AS train_support FROM train_pairs WHERE support >= {c.TRAIN_MIN}
+        FROM (SELECT item1, item2, support AS train_support FROM train_pairs WHERE support >= {st.TRAIN_MIN}
               ORDER BY support DESC, item1, item2 LIMIT 50)
         JOIN (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'test') x ON x.product_id = item1
         JOIN (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'test') y
@@ -156,9 +156,9 @@ CTES: dict[str, tuple[list[str], str]] = {
         GROUP BY ALL HAVING count(DISTINCT x.customer_id) >= 3
         ORDER BY support DESC, asin1, asin2 LIMIT 50"""),
     "similar_item": (["similar_support"], """
-        SELECT asin, min(at) AS at, max(title) AS title, max(support) AS support FROM (
+        SELECT asin, min(place) AS place, max(title) AS title, max(support) AS support FROM (
             SELECT asin1 AS asin, title1 AS title, reviews1 AS support,
-                   2 * row_number() OVER (ORDER BY support DESC, asin1, asin2) AS at FROM similar_support
+                   2 * row_number() OVER (ORDER BY support DESC, asin1, asin2) AS place FROM similar_support
             UNION ALL
             SELECT asin2, title2, reviews2, 2 * row_number() OVER (ORDER BY support DESC, asin1, asin2) + 1
             FROM similar_support) GROUP BY 1"""),
@@ -166,10 +166,10 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT x.product_id AS item1, y.product_id AS item2, z.product_id AS item3, count(*) AS support
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
         JOIN order_rows z ON x.order_id = z.order_id AND y.product_id < z.product_id
-        GROUP BY 1, 2, 3 HAVING count(*) >= {c.ORDER_MIN}"""),
+        GROUP BY 1, 2, 3 HAVING count(*) >= {st.ORDER_MIN}"""),
     "order_items": (["order_rows"], f"""
         SELECT product_id AS item, count(*) AS support FROM order_rows GROUP BY 1
-        HAVING count(*) >= {c.ORDER_MIN}"""),
+        HAVING count(*) >= {st.ORDER_MIN}"""),
 }
 
 
@@ -348,7 +348,7 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         WHERE a.total_reviews > 30 AND b.total_reviews > 30 ORDER BY 1, 3 LIMIT 500"""),
     "similar_pair_support": (["similar_support"], "SELECT * FROM similar_support"),
     "similar_items": (["similar_item"], """
-        SELECT row_number() OVER (ORDER BY at) AS position, asin, title, support FROM similar_item"""),
+        SELECT row_number() OVER (ORDER BY place) AS position, asin, title, support FROM similar_item"""),
     "similar_rules": (["similar_support", "similar_item"], """
         SELECT antecedent, consequent, round(support / n1, 6) AS confidence,
                round((support / n1) / (n2 / (SELECT sum(support) FROM similar_item)), 6) AS lift, support FROM (
@@ -426,10 +426,10 @@ ORACLES: dict[str, tuple[list[str], str]] = {
                coalesce(a.title, 'Unknown') AS title1, a.avg_rating AS avg_rating1,
                coalesce(b.title, 'Unknown') AS title2, b.avg_rating AS avg_rating2
         FROM ranked LEFT JOIN products a ON a.asin = item1 LEFT JOIN products b ON b.asin = item2"""),
-    "patterns_nested": (["served"], f"SELECT {_SERVED} FROM served"),
+    "patterns_nested": (["served"], f"SELECT {_SERVED} FROM served {_TOP}"),
     "write_patterns": (["pairs"], f"""
         SELECT least(count(*), {c.TOP}) AS total_patterns, 'FP-Growth (Spark MLlib)' AS algorithm FROM pairs"""),
-    "read_patterns": (["served"], f"SELECT {_SERVED} FROM served {_TOP}"),
+    "read_patterns": (["served"], f"SELECT {_SERVED} FROM served"),
     "enriched_validated": (["validated", "products"], """
         SELECT item1 || ',' || item2 AS products,
                coalesce(a.title, 'Unknown') || ',' || coalesce(b.title, 'Unknown') AS titles,
@@ -458,8 +458,8 @@ ORACLES: dict[str, tuple[list[str], str]] = {
                round(100.0 * n_ratings / sum(n_ratings) OVER w, 6) AS percent,
                round(sum(rating * n_ratings) OVER w / sum(n_ratings) OVER w, 6) AS mean_rating
         FROM (SELECT rank, product, CAST(rating AS DOUBLE) AS rating, count(*) AS n_ratings
-              FROM (SELECT rank, 1 AS product, rating1 AS rating FROM ranked JOIN samples USING (item1, item2) {_TOP}
-                    UNION ALL SELECT rank, 2, rating2 FROM ranked JOIN samples USING (item1, item2) {_TOP})
+              FROM (SELECT rank, 1 AS product, rating1 AS rating FROM ranked JOIN samples USING (item1, item2)
+                    UNION ALL SELECT rank, 2, rating2 FROM ranked JOIN samples USING (item1, item2))
               GROUP BY 1, 2, 3)
         WINDOW w AS (PARTITION BY rank, product)"""),
 }

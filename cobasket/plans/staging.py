@@ -1,7 +1,8 @@
-"""Tables that several queries of one session share: the raw text, its parsed records, the loaded CSV.
+"""Tables that several queries of one session share, as the stages of an ingest and a mining job leave them behind.
 
-Each is written once per session and input folder, into the shared folder (``session.shared_dir``), as an ingest job
-would leave its stages behind. Nothing is kept in executor memory, so losing an executor loses nothing.
+Each is written once per session and input folder, into the shared folder (``session.shared_dir``). A table that is
+read more than once is thus computed once, its readers take only the columns they need, and as nothing is kept in
+executor memory, losing an executor loses nothing.
 """
 
 from __future__ import annotations
@@ -10,13 +11,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.operators import clean as cleaning, normalize
+from cobasket.operators import baskets as bk, clean as cleaning, enrich, mining, normalize
 from cobasket.plans import views
 from cobasket.schemas import Graph
 from cobasket.session import scratch_path
-from cobasket.sources import tables, typed_csv
+from cobasket.sources import patterns, tables, typed_csv
 from cobasket.sources.records import read_records
 
+# Thresholds for the order database's tables.
+MAX_ITEMS = 20  # items per basket
+CUSTOMER_MIN = 4  # baskets of customers that a pair must be in
+ORDER_MIN = 2  # baskets of orders that an itemset must be in
+TRAIN_MIN = 2  # training baskets that a pair must be in
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -29,6 +36,12 @@ def _once(spark: SparkSession, sf_dir: str, stage: str, write: Callable[[str], N
     return _written[key]
 
 
+def _table(spark: SparkSession, sf_dir: str, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return spark.read.parquet(_once(spark, sf_dir, stage, lambda path: build().write.parquet(path)))
+
+
+# ---- the text
+
 def raw_text(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "raw", lambda path: views.write_listings(spark, sf_dir, path))
 
@@ -39,10 +52,7 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parsed records as parquet, so that each reader takes only the columns it needs."""
-    path = _once(spark, sf_dir, "records",
-                 lambda out: parsed(spark, sf_dir).write.parquet(out))
-    return spark.read.parquet(path)
+    return _table(spark, sf_dir, "records", lambda: parsed(spark, sf_dir))
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> Graph:
@@ -50,12 +60,82 @@ def normalized(spark: SparkSession, sf_dir: str) -> Graph:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> Graph:
-    path = _once(spark, sf_dir, "clean",
-                 lambda out: tables.write_graph(cleaning.clean(normalized(spark, sf_dir)), out))
-    return tables.read_graph(spark, path)
+    """The cleaned graph. Node tables are written first, as the edges are checked against them."""
+    raw = normalized(spark, sf_dir)
+    products = _table(spark, sf_dir, "clean_products", lambda: cleaning.clean_products(raw.products))
+    customers = _table(spark, sf_dir, "clean_customers", lambda: cleaning.clean_keys(raw.customers, "customer_id"))
+    categories = _table(spark, sf_dir, "clean_categories", lambda: cleaning.clean_keys(raw.categories, "name"))
+    return Graph(
+        products, customers, categories,
+        _table(spark, sf_dir, "clean_belongs_to",
+               lambda: cleaning.clean_belongs_to(raw.belongs_to, products, categories)),
+        _table(spark, sf_dir, "clean_similar", lambda: cleaning.clean_similar(raw.similar, products)),
+        _table(spark, sf_dir, "clean_reviewed", lambda: cleaning.clean_reviewed(raw.reviewed, customers, products)))
 
 
 def csv(spark: SparkSession, sf_dir: str) -> Graph:
     """The cleaned graph after a round trip through typed CSV."""
     path = _once(spark, sf_dir, "csv", lambda out: typed_csv.write_graph_csv(cleaned(spark, sf_dir), out))
     return typed_csv.read_graph_csv(spark, path)
+
+
+# ---- the order database
+
+def graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """The views over the order database as a stored graph."""
+    reviewed = _table(spark, sf_dir, "reviewed", lambda: views.reviews(spark, sf_dir))
+    belongs_to = _table(spark, sf_dir, "belongs_to", lambda: views.belongs_to(spark, sf_dir))
+    return Graph(
+        _table(spark, sf_dir, "products", lambda: views.products(spark, sf_dir, reviewed)),
+        _table(spark, sf_dir, "customers", lambda: reviewed.select("customer_id").distinct()),
+        _table(spark, sf_dir, "categories", lambda: belongs_to.select(belongs_to.category.alias("name")).distinct()),
+        belongs_to,
+        _table(spark, sf_dir, "similar", lambda: views.similar(order_baskets(spark, sf_dir))),
+        reviewed)
+
+
+def customer_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer_baskets",
+                  lambda: bk.baskets(tables.scan_reviews(graph(spark, sf_dir).reviewed), MAX_ITEMS))
+
+
+def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "order_baskets",
+                  lambda: bk.baskets(views.order_lines(spark, sf_dir), MAX_ITEMS, "order_id"))
+
+
+def customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer_pairs",
+                  lambda: mining.frequent_pairs(customer_baskets(spark, sf_dir), CUSTOMER_MIN))
+
+
+def order_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "order_itemsets",
+                  lambda: mining.frequent_itemsets(order_baskets(spark, sf_dir), ORDER_MIN))
+
+
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with their dataset; a projection, so not written."""
+    return bk.train_test_split(graph(spark, sf_dir).reviewed)
+
+
+def train_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "train_pairs",
+                  lambda: mining.train_patterns(split(spark, sf_dir), TRAIN_MIN, max_items=MAX_ITEMS))
+
+
+def served_path(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the served patterns: all frequent pairs, ranked and enriched."""
+    def write(path: str) -> None:
+        stored = graph(spark, sf_dir)
+        pairs = customer_pairs(spark, sf_dir)
+        ranked = mining.ranked_patterns(pairs, mining.basket_count(customer_baskets(spark, sf_dir)))
+        patterns.write_patterns(enrich.nested_patterns(
+            enrich.with_products(ranked, stored.products),
+            enrich.sample_customers(pairs, tables.scan_reviews(stored.reviewed))), path)
+
+    return _once(spark, sf_dir, "patterns", write)
+
+
+def served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patterns.read_patterns(spark, served_path(spark, sf_dir))

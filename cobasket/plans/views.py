@@ -11,9 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cobasket.operators.baskets import MAX_ITEMS_SERVED, baskets
 from cobasket.operators.mining import frequent_pairs
-from cobasket.schemas import Graph
 
 SIMILAR_ORDERS = 2
 
@@ -32,9 +30,9 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("votes"), (F.col("l_linenumber") % 3).alias("helpful"))
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, reviewed: DataFrame) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    rated = reviews(spark, sf_dir).groupBy("product_id").agg(
+    rated = reviewed.groupBy("product_id").agg(
         F.round(F.avg("rating"), 1).alias("avg_rating"), F.count("*").alias("total_reviews"))
     key = F.col("p_partkey")
     return part.join(rated, part.p_partkey == rated.product_id, "left").select(
@@ -53,25 +51,14 @@ def belongs_to(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.col("p_partkey").alias("product_id"), F.explode(names).alias("category"))
 
 
-def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"),
-                                                    F.col("l_partkey").alias("product_id"))
-    pairs = frequent_pairs(baskets(lines, MAX_ITEMS_SERVED, "order_id"), SIMILAR_ORDERS, "order_id")
-    return pairs.select(F.col("item1").alias("src"), F.col("item2").alias("dst"))
-
-
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews(spark, sf_dir).select("customer_id").distinct()
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"),
+                                                   F.col("l_partkey").alias("product_id"))
 
 
-def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return belongs_to(spark, sf_dir).select(F.col("category").alias("name")).distinct()
-
-
-def graph(spark: SparkSession, sf_dir: str) -> Graph:
-    reviewed = reviews(spark, sf_dir).drop("order_id")
-    return Graph(products(spark, sf_dir), customers(spark, sf_dir), categories(spark, sf_dir),
-                 belongs_to(spark, sf_dir), similar(spark, sf_dir), reviewed)
+def similar(order_baskets: DataFrame) -> DataFrame:
+    pairs = frequent_pairs(order_baskets, SIMILAR_ORDERS, "order_id")
+    return pairs.select(F.col("item1").alias("src"), F.col("item2").alias("dst"))
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
