@@ -37,9 +37,9 @@ def basket_count(baskets: DataFrame) -> Column:
     return baskets.agg(F.count("*")).scalar()
 
 
-def min_count_of(baskets: DataFrame, min_support: float) -> int:
-    """The smallest count that reaches a relative support. Runs a count."""
-    return max(1, ceil(min_support * baskets.count()))
+def min_count_of(n_baskets: int, min_support: float) -> int:
+    """The smallest number of baskets that reaches a relative support."""
+    return max(1, ceil(min_support * n_baskets))
 
 
 def frequent_items(baskets: DataFrame, min_count: int) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Nested product records to node and edge tables. Every function is a projection, except the two node lists."""
+"""Nested product records to node and edge tables. Every function is a projection, except the two node lists.
+
+Arrays are exploded with the outer form and the empty ones filtered out after it: the plain form makes Spark check the
+array's size below the projection that builds it, which would parse the text a second time.
+"""
 
 from __future__ import annotations
 
@@ -13,17 +17,19 @@ def products(records: DataFrame) -> DataFrame:
 
 def similar(records: DataFrame) -> DataFrame:
     """One edge per listed product."""
-    return records.select(F.col("asin").alias("src"), F.explode("similar").alias("dst"))
+    return records.select(F.col("asin").alias("src"), F.explode_outer("similar").alias("dst")) \
+        .filter(F.col("dst").isNotNull())
 
 
 def belongs_to(records: DataFrame) -> DataFrame:
     """One edge per category name and path: a name that is on two paths of a product gives two edges."""
-    return records.select(F.col("asin").alias("product_id"), F.explode(F.flatten("categories")).alias("category"))
+    names = F.explode_outer(F.flatten("categories")).alias("category")
+    return records.select(F.col("asin").alias("product_id"), names).filter(F.col("category").isNotNull())
 
 
 def reviewed(records: DataFrame) -> DataFrame:
     """One edge per review."""
-    rows = records.select("asin", F.explode("reviews").alias("r"))
+    rows = records.select("asin", F.explode_outer("reviews").alias("r")).filter(F.col("r").isNotNull())
     return rows.select(F.col("r.customer").alias("customer_id"), F.col("asin").alias("product_id"), "r.rating",
                        "r.date", "r.votes", "r.helpful")
 

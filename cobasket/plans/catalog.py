@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cobasket.operators import baskets as bk, clean as cl, enrich as en, load as ld, mining as mi, search as se, \
     summary as su, views as vw
-from cobasket.plans import staging
+from cobasket.plans import jobs, staging
 from cobasket.plans.staging import CUSTOMER_MIN, MAX_ITEMS, ORDER_MIN
 from cobasket.schemas import Graph
 from cobasket.session import scratch_path
@@ -73,7 +73,8 @@ def parse_categories(spark, sf):
 
 @query
 def parse_reviews(spark, sf):
-    rows = staging.parsed(spark, sf).select("id", "asin", F.posexplode("reviews").alias("position", "r"))
+    rows = staging.parsed(spark, sf).select("id", "asin", F.posexplode_outer("reviews").alias("position", "r"))
+    rows = rows.filter(F.col("r").isNotNull())
     return rows.select("id", "asin", "position", "r.date", "r.customer", "r.rating", "r.votes", "r.helpful",
                        F.try_to_date("r.date", "yyyy-M-d").cast("string").alias("day"))
 
@@ -195,27 +196,27 @@ def load_customers(spark, sf):
 @query
 def merge_categories(spark, sf):
     """Categories of the order database merged with those of the text: brands and sizes are in both."""
-    existing = staging.graph(spark, sf).categories.filter(~F.startswith("name", F.lit("Size")))
+    existing = staging.categories(spark, sf).filter(~F.startswith("name", F.lit("Size")))
     new = staging.normalized(spark, sf).belongs_to.select(F.col("category").alias("name"))
     return ld.merge_categories(existing, new)
 
 
 @query
 def resolve_belongs_to(spark, sf):
-    graph = staging.graph(spark, sf)
-    return ld.resolve_belongs_to(graph.belongs_to, graph.products, graph.categories)
+    return ld.resolve_belongs_to(staging.belongs_to(spark, sf), staging.products(spark, sf),
+                                 staging.categories(spark, sf))
 
 
 @query
 def resolve_similar(spark, sf):
-    graph = staging.graph(spark, sf)
-    return ld.resolve_similar(graph.similar, graph.products.filter(F.col("title").isNotNull()))
+    titled = staging.products(spark, sf).filter(F.col("title").isNotNull())
+    return ld.resolve_similar(staging.similar(spark, sf), titled)
 
 
 @query
 def resolve_reviews(spark, sf):
-    graph = staging.graph(spark, sf)
-    return ld.resolve_reviewed(graph.reviewed, graph.customers, graph.products.filter(F.col("title").isNotNull()))
+    titled = staging.products(spark, sf).filter(F.col("title").isNotNull())
+    return ld.resolve_reviewed(staging.reviewed(spark, sf), staging.customers(spark, sf), titled)
 
 
 @query
@@ -246,7 +247,7 @@ def load_relationships(spark, sf):
 
 @query
 def load_reviews(spark, sf):
-    return tb.scan_reviews(staging.graph(spark, sf).reviewed)
+    return staging.reviews(spark, sf)
 
 
 @query
@@ -257,7 +258,7 @@ def load_reviews_dataset(spark, sf):
 def _half_split(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews of which some carry a dataset name already."""
     name = F.when(F.col("votes") == 1, F.lit("train")).when(F.col("votes") == 2, F.lit("test"))
-    return staging.graph(spark, sf).reviewed.withColumn("dataset", name)
+    return staging.reviewed(spark, sf).withColumn("dataset", name)
 
 
 @query
@@ -277,86 +278,86 @@ def write_graph_csv(spark, sf):
 
 @query
 def search_form_default(spark, sf):
-    return se.search_form(staging.graph(spark, sf).products)
+    return se.search_form(staging.products(spark, sf))
 
 
 @query
 def search_form_bounds(spark, sf):
-    return se.search_form(staging.graph(spark, sf).products, group="ECONOMY", min_rating=2.5, max_rating=3.5, min_reviews=20,
+    return se.search_form(staging.products(spark, sf), group="ECONOMY", min_rating=2.5, max_rating=3.5, min_reviews=20,
                           max_reviews=45, min_salesrank=-1, max_salesrank=60000, limit=50)
 
 
 @query
 def search_conditions(spark, sf):
-    return se.search_conditions(staging.graph(spark, sf).products, {
+    return se.search_conditions(staging.products(spark, sf), {
         "min_rating": 2.8, "max_rating": 3.4, "min_reviews": 25, "group": "STANDARD", "max_salesrank": 70000}, 25)
 
 
 @query
 def search_all(spark, sf):
-    return se.search_conditions(staging.graph(spark, sf).products, k=100)
+    return se.search_conditions(staging.products(spark, sf), k=100)
 
 
 @query
 def preset_high_rated(spark, sf):
-    return se.preset(staging.graph(spark, sf).products, "high_rated", min_rating=3.0, min_reviews=30)
+    return se.preset(staging.products(spark, sf), "high_rated", min_rating=3.0, min_reviews=30)
 
 
 @query
 def preset_books(spark, sf):
-    return se.preset(staging.graph(spark, sf).products, "books", group="ECONOMY", min_rating=3.0)
+    return se.preset(staging.products(spark, sf), "books", group="ECONOMY", min_rating=3.0)
 
 
 @query
 def preset_music(spark, sf):
-    return se.preset(staging.graph(spark, sf).products, "music", group="PROMO", min_rating=3.0, min_reviews=30)
+    return se.preset(staging.products(spark, sf), "music", group="PROMO", min_rating=3.0, min_reviews=30)
 
 
 @query
 def filter_high_rated(spark, sf):
-    return se.filter_high_rated(staging.graph(spark, sf).products, 3.0, 30)
+    return se.filter_high_rated(staging.products(spark, sf), 3.0, 30)
 
 
 @query
 def top_products(spark, sf):
-    return se.top_products(staging.graph(spark, sf).products)
+    return se.top_products(staging.products(spark, sf))
 
 
 @query
 def search_listing(spark, sf):
-    return se.listing(se.search_conditions(staging.graph(spark, sf).products, k=60), 60)
+    return se.listing(se.search_conditions(staging.products(spark, sf), k=60), 60)
 
 
 @query
 def active_customer_products(spark, sf):
-    return se.active_customer_products(staging.graph(spark, sf).reviewed, min_customer_reviews=40, k=25)
+    return se.active_customer_products(staging.reviewed(spark, sf), min_customer_reviews=40, k=25)
 
 
 # ---- summaries
 
 @query
 def category_analysis(spark, sf):
-    return su.category_analysis(staging.graph(spark, sf).belongs_to, staging.graph(spark, sf).products) \
+    return su.category_analysis(staging.belongs_to(spark, sf), staging.products(spark, sf)) \
         .withColumn("mean_rating", rounded("mean_rating"))
 
 
 @query
 def top_categories(spark, sf):
-    return su.top_categories(staging.graph(spark, sf).belongs_to)
+    return su.top_categories(staging.belongs_to(spark, sf))
 
 
 @query
 def top_reviewers(spark, sf):
-    return su.top_reviewers(staging.graph(spark, sf).reviewed)
+    return su.top_reviewers(staging.reviewed(spark, sf))
 
 
 @query
 def similarity_network(spark, sf):
-    return su.similarity_network(staging.graph(spark, sf).similar, staging.graph(spark, sf).products, more_than=30)
+    return su.similarity_network(staging.similar(spark, sf), staging.products(spark, sf), more_than=30)
 
 
 def _similar_support(spark: SparkSession, sf: str) -> DataFrame:
-    return su.similar_pair_support(staging.graph(spark, sf).similar, staging.graph(spark, sf).products, staging.graph(spark, sf).reviewed)
+    return su.similar_pair_support(staging.similar(spark, sf), staging.products(spark, sf), staging.reviewed(spark, sf))
 
 
 @query
@@ -379,13 +380,13 @@ def similar_rules(spark, sf):
 
 @query
 def baskets(spark, sf):
-    found = bk.baskets(tb.scan_reviews(staging.graph(spark, sf).reviewed), MAX_ITEMS)
+    found = bk.baskets(staging.reviews(spark, sf), MAX_ITEMS)
     return found.select("customer_id", joined("items"))
 
 
 @query
 def baskets_sampled_items(spark, sf):
-    return bk.baskets_sampled_items(staging.graph(spark, sf).reviewed, MAX_ITEMS).select("customer_id", joined("items"))
+    return bk.baskets_sampled_items(staging.reviewed(spark, sf), MAX_ITEMS).select("customer_id", joined("items"))
 
 
 @query
@@ -400,7 +401,7 @@ def train_test_split(spark, sf):
 
 @query
 def train_test_split_by_customer(spark, sf):
-    return bk.train_test_split(staging.graph(spark, sf).reviewed, split_by="customer_id")
+    return bk.train_test_split(staging.reviewed(spark, sf), split_by="customer_id")
 
 
 @query
@@ -505,22 +506,18 @@ def mining_stats(spark, sf):
 
 @query
 def sample_customers(spark, sf):
-    reviews = tb.scan_reviews(staging.graph(spark, sf).reviewed)
+    reviews = staging.reviews(spark, sf)
     return en.sample_customers(staging.customer_pairs(spark, sf), reviews)
 
 
 @query
 def enriched_patterns(spark, sf):
-    found = en.with_products(_ranked(spark, sf), staging.graph(spark, sf).products)
+    found = en.with_products(_ranked(spark, sf), staging.products(spark, sf))
     return found.withColumn("confidence", rounded("confidence"))
 
 
-def pattern_job(spark: SparkSession, sf: str, top: int | None = None) -> DataFrame:
-    """Served patterns from the stored pairs."""
-    stored = staging.graph(spark, sf)
-    ranked = _ranked(spark, sf, top)
-    samples = en.sample_customers(ranked, tb.scan_reviews(stored.reviewed))
-    return en.nested_patterns(en.with_products(ranked, stored.products), samples)
+def _strongest(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.enriched(_ranked(spark, sf, TOP), staging.products(spark, sf), staging.reviews(spark, sf))
 
 
 def _flat(patterns: DataFrame) -> DataFrame:
@@ -534,14 +531,14 @@ def _flat(patterns: DataFrame) -> DataFrame:
 @query
 def patterns_nested(spark, sf):
     """The strongest patterns, nested and flattened again."""
-    return _flat(pattern_job(spark, sf, TOP))
+    return _flat(_strongest(spark, sf))
 
 
 @query
 def write_patterns(spark, sf):
     """The metadata row after writing some patterns, without its time stamp."""
     path = scratch_path(spark, "patterns")
-    pt.write_patterns(pattern_job(spark, sf, TOP), path)
+    pt.write_patterns(_strongest(spark, sf), path)
     return pt.read_metadata(spark, path).select("total_patterns", "algorithm")
 
 
@@ -553,7 +550,7 @@ def read_patterns(spark, sf):
 
 @query
 def enriched_validated(spark, sf):
-    found = en.enriched_validated(_validated(spark, sf), staging.graph(spark, sf).products)
+    found = en.enriched_validated(_validated(spark, sf), staging.products(spark, sf))
     return found.select(joined("products"), joined("titles"), joined("ratings"), "train_support", "test_support",
                         "total_support", "confidence")
 

@@ -11,8 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.operators import baskets as bk, clean as cleaning, enrich, mining, normalize
-from cobasket.plans import views
+from cobasket.operators import baskets as bk, clean as cleaning, mining, normalize
+from cobasket.plans import jobs, views
 from cobasket.schemas import Graph
 from cobasket.session import scratch_path
 from cobasket.sources import patterns, tables, typed_csv
@@ -81,22 +81,45 @@ def csv(spark: SparkSession, sf_dir: str) -> Graph:
 
 # ---- the order database
 
+def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "reviewed", lambda: views.reviews(spark, sf_dir))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mining input."""
+    return tables.scan_reviews(reviewed(spark, sf_dir))
+
+
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "products", lambda: views.products(spark, sf_dir, reviewed(spark, sf_dir)))
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customers", lambda: reviewed(spark, sf_dir).select("customer_id").distinct())
+
+
+def belongs_to(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "belongs_to", lambda: views.belongs_to(spark, sf_dir))
+
+
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "categories", lambda: belongs_to(spark, sf_dir).selectExpr("category AS name")
+                  .distinct())
+
+
+def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "similar", lambda: views.similar(order_baskets(spark, sf_dir)))
+
+
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The views over the order database as a stored graph."""
-    reviewed = _table(spark, sf_dir, "reviewed", lambda: views.reviews(spark, sf_dir))
-    belongs_to = _table(spark, sf_dir, "belongs_to", lambda: views.belongs_to(spark, sf_dir))
-    return Graph(
-        _table(spark, sf_dir, "products", lambda: views.products(spark, sf_dir, reviewed)),
-        _table(spark, sf_dir, "customers", lambda: reviewed.select("customer_id").distinct()),
-        _table(spark, sf_dir, "categories", lambda: belongs_to.select(belongs_to.category.alias("name")).distinct()),
-        belongs_to,
-        _table(spark, sf_dir, "similar", lambda: views.similar(order_baskets(spark, sf_dir))),
-        reviewed)
+    return Graph(*[build(spark, sf_dir) for build in (products, customers, categories, belongs_to, similar,
+                                                      reviewed)])
 
 
 def customer_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer_baskets",
-                  lambda: bk.baskets(tables.scan_reviews(graph(spark, sf_dir).reviewed), MAX_ITEMS))
+                  lambda: bk.baskets(reviews(spark, sf_dir), MAX_ITEMS))
 
 
 def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +139,7 @@ def order_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with their dataset; a projection, so not written."""
-    return bk.train_test_split(graph(spark, sf_dir).reviewed)
+    return bk.train_test_split(reviewed(spark, sf_dir))
 
 
 def train_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,15 +149,9 @@ def train_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def served_path(spark: SparkSession, sf_dir: str) -> str:
     """The folder of the served patterns: all frequent pairs, ranked and enriched."""
-    def write(path: str) -> None:
-        stored = graph(spark, sf_dir)
-        pairs = customer_pairs(spark, sf_dir)
-        ranked = mining.ranked_patterns(pairs, mining.basket_count(customer_baskets(spark, sf_dir)))
-        patterns.write_patterns(enrich.nested_patterns(
-            enrich.with_products(ranked, stored.products),
-            enrich.sample_customers(pairs, tables.scan_reviews(stored.reviewed))), path)
-
-    return _once(spark, sf_dir, "patterns", write)
+    return _once(spark, sf_dir, "patterns", lambda path: jobs.serve_patterns(
+        customer_pairs(spark, sf_dir), mining.basket_count(customer_baskets(spark, sf_dir)),
+        products(spark, sf_dir), reviews(spark, sf_dir), path))
 
 
 def served(spark: SparkSession, sf_dir: str) -> DataFrame:

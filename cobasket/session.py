@@ -52,13 +52,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so a lost executor does not replay the whole job."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet under :func:`shared_dir` and read it back.
-
-    Unlike a checkpoint this stays columnar, so readers that need a few columns only read those.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

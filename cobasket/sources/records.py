@@ -79,18 +79,23 @@ def _second_part(line: Column) -> Column:
 
 
 def _reviews() -> Column:
-    """Review lines that can be read in full, as an array of structs."""
-    pattern = _review_pattern()
-    lines = F.array_join(F.regexp_extract_all("_body", F.lit(pattern), F.lit(0)), "\n")
-    values = F.regexp_replace(lines, pattern, "$1\t$2\t$3\t$4\t$5")
+    """Review lines that can be read in full, as an array of structs.
+
+    Each line that names a customer is rewritten to its values with one expression; a line that does not fit stays as
+    it is and is told apart by the missing mark.
+    """
+    mark = "\x01"
+    lines = F.filter(F.split("_body", "\n"), lambda line: line.contains(REVIEW_KEYS[0]))
+    values = F.regexp_replace(F.array_join(lines, "\n"), _review_pattern(), f"{mark}$1\t$2\t$3\t$4\t$5")
 
     def review(text: Column) -> Column:
         value = F.split(text, "\t")
-        return F.struct(F.get(value, F.lit(0)).alias("date"), F.get(value, F.lit(1)).alias("customer"),
+        return F.struct(F.substring(F.get(value, F.lit(0)), 2, 1 << 30).alias("date"),
+                        F.get(value, F.lit(1)).alias("customer"),
                         *[F.get(value, F.lit(i)).cast("int").alias(name)
                           for i, name in enumerate(("rating", "votes", "helpful"), 2)])
 
-    return F.transform(F.filter(F.split(values, "\n"), lambda text: text != ""), review)
+    return F.transform(F.filter(F.split(values, "\n"), lambda text: text.startswith(mark)), review)
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:
