@@ -162,13 +162,15 @@ CTES: dict[str, tuple[list[str], str]] = {
             UNION ALL
             SELECT asin2, title2, reviews2, 2 * row_number() OVER (ORDER BY support DESC, asin1, asin2) + 1
             FROM similar_support) GROUP BY 1"""),
-    "order_triples": (["order_rows"], f"""
-        SELECT x.product_id AS item1, y.product_id AS item2, z.product_id AS item3, count(*) AS support
-        FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
-        JOIN order_rows z ON x.order_id = z.order_id AND y.product_id < z.product_id
-        GROUP BY 1, 2, 3 HAVING count(*) >= {st.ORDER_MIN}"""),
-    "order_items": (["order_rows"], f"""
-        SELECT product_id AS item, count(*) AS support FROM order_rows GROUP BY 1
+    # Subsets of a basket, grown along frequent pairs, then counted.
+    "order_subsets": (["order_rows", "order_pairs"], """
+        SELECT order_id, [product_id] AS items, product_id AS last FROM order_rows
+        UNION ALL
+        SELECT s.order_id, list_append(s.items, y.product_id), y.product_id FROM order_subsets s
+        JOIN order_rows y ON y.order_id = s.order_id AND y.product_id > s.last
+        JOIN order_pairs p ON p.item1 = s.last AND p.item2 = y.product_id"""),
+    "order_sets": (["order_subsets"], f"""
+        SELECT items, len(items) AS n_items, count(*) AS support FROM order_subsets GROUP BY 1
         HAVING count(*) >= {st.ORDER_MIN}"""),
 }
 
@@ -186,7 +188,7 @@ def _sql(names: list[str], body: str) -> str:
     for name in names:
         add(name)
     ctes = ",\n".join(f"{name} AS ({text})" for name, text in done.items())
-    return f"WITH {ctes}\n{body}" if ctes else body
+    return f"WITH RECURSIVE {ctes}\n{body}" if ctes else body
 
 
 _LISTED = "asin, title, product_group, avg_rating, total_reviews, salesrank"
@@ -380,28 +382,19 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         UNION ALL SELECT *, 'holdout' FROM split"""),
     "frequent_items": (["items"], "SELECT * FROM items"),
     "frequent_pairs": (["pairs"], "SELECT * FROM pairs"),
-    "frequent_itemsets": (["order_items", "order_pairs", "order_triples"], """
-        SELECT CAST(item AS VARCHAR) AS items, 1 AS n_items, support FROM order_items
-        UNION ALL SELECT item1 || ',' || item2, 2, support FROM order_pairs
-        UNION ALL SELECT item1 || ',' || item2 || ',' || item3, 3, support FROM order_triples"""),
+    "frequent_itemsets": (["order_sets"], """
+        SELECT array_to_string(items, ',') AS items, n_items, support FROM order_sets"""),
     "frequent_pairs_fpgrowth": (["order_pairs"], "SELECT * FROM order_pairs"),
-    "frequent_triples": (["order_triples"], "SELECT * FROM order_triples"),
-    "association_rules": (["order_rows", "order_items", "order_pairs", "order_triples"], """
-        SELECT antecedent, consequent, round(f / a, 6) AS confidence, round((f / a) / (i.support / n), 6) AS lift,
-               round(f / n, 6) AS support
-        FROM (SELECT CAST(item1 AS VARCHAR) AS antecedent, item2 AS consequent, p.support AS f, x.support AS a
-              FROM order_pairs p JOIN order_items x ON x.item = item1
-              UNION ALL SELECT CAST(item2 AS VARCHAR), item1, p.support, x.support
-              FROM order_pairs p JOIN order_items x ON x.item = item2
-              UNION ALL SELECT t.item1 || ',' || t.item2, t.item3, t.support, p.support
-              FROM order_triples t JOIN order_pairs p ON p.item1 = t.item1 AND p.item2 = t.item2
-              UNION ALL SELECT t.item1 || ',' || t.item3, t.item2, t.support, p.support
-              FROM order_triples t JOIN order_pairs p ON p.item1 = t.item1 AND p.item2 = t.item3
-              UNION ALL SELECT t.item2 || ',' || t.item3, t.item1, t.support, p.support
-              FROM order_triples t JOIN order_pairs p ON p.item1 = t.item2 AND p.item2 = t.item3)
-        JOIN order_items i ON i.item = consequent,
+    "frequent_triples": (["order_sets"], """
+        SELECT items[1] AS item1, items[2] AS item2, items[3] AS item3, support FROM order_sets WHERE n_items = 3"""),
+    "association_rules": (["order_rows", "order_sets"], """
+        SELECT array_to_string(antecedent, ',') AS antecedent, consequent, round(f / a.support, 6) AS confidence,
+               round((f / a.support) / (b.support / n), 6) AS lift, round(f / n, 6) AS support
+        FROM (SELECT [x FOR x IN items IF x <> consequent] AS antecedent, consequent, f
+              FROM (SELECT items, support AS f, unnest(items) AS consequent FROM order_sets WHERE n_items >= 2))
+        JOIN order_sets a ON a.items = antecedent JOIN order_sets b ON b.items = [consequent],
         (SELECT count(DISTINCT order_id) AS n FROM order_rows)
-        WHERE f / a >= 0.1"""),
+        WHERE f / a.support >= 0.1"""),
     "pair_rules": (["pairs", "items", "n_baskets"], """
         SELECT antecedent, consequent, round(f / a.support, 6) AS confidence,
                round((f / a.support) / (b.support / n), 6) AS lift, round(f / n, 6) AS support
