@@ -11,11 +11,16 @@ from pyspark.sql import Column, functions as F
 SEED = 42
 
 
-def key_hash(*cols: str | Column, seed: int = SEED) -> Column:
-    """The leading 32 bits of the md5 of the key columns, as a bigint."""
+def hash_text(*cols: str | Column, seed: int = SEED) -> Column:
+    """The leading 32 bits of the md5 of the key columns in hexadecimal, which sort as the numbers do."""
     text = F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols],
                        F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.substring(F.md5(text), 1, 8)
+
+
+def key_hash(*cols: str | Column, seed: int = SEED) -> Column:
+    """:func:`hash_text` as a bigint."""
+    return F.conv(hash_text(*cols, seed=seed), 16, 10).cast("bigint")
 
 
 def unit_hash(*cols: str | Column, seed: int = SEED) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.functions.hashing import key_hash, percent_bucket, unit_hash
+from cobasket.functions.hashing import hash_text, percent_bucket, unit_hash
 from cobasket.functions.ranking import first_per_group
 
 # Limits and thresholds of the two mining jobs.
@@ -21,7 +21,7 @@ MIN_DATASET_ROWS = 100
 
 
 def _collect(items: DataFrame, basket: str) -> DataFrame:
-    return (items.groupBy(basket).agg(F.array_sort(F.collect_list("product_id")).alias("items"))
+    return (items.groupBy(basket).agg(F.sort_array(F.collect_list("product_id")).alias("items"))
             .filter(F.size("items") >= 2))
 
 
@@ -38,7 +38,7 @@ def baskets(reviews: DataFrame, max_items: int = MAX_ITEMS, basket: str = "custo
 
 def baskets_sampled_items(reviews: DataFrame, max_items: int = MAX_ITEMS, basket: str = "customer_id") -> DataFrame:
     """Baskets of two or more products: ``max_items`` chosen pseudo-randomly, the same ones every time."""
-    return _collect(_limited(reviews, max_items, basket, key_hash(basket, "product_id"), "product_id"), basket)
+    return _collect(_limited(reviews, max_items, basket, hash_text(basket, "product_id"), "product_id"), basket)
 
 
 def sample_baskets(basket_table: DataFrame, max_baskets: int = MAX_BASKETS, basket: str = "customer_id") -> DataFrame:

@@ -68,7 +68,7 @@ def nested_patterns(enriched: DataFrame, samples: DataFrame) -> DataFrame:
     sample = F.struct(F.col("customer_id").cast("string").alias("customer_id"),
                       F.col("rating1").cast("double").alias("rating1"),
                       F.col("rating2").cast("double").alias("rating2"))
-    lists = samples.groupBy("item1", "item2").agg(F.array_sort(F.collect_list(sample)).alias("sample_customers"))
+    lists = samples.groupBy("item1", "item2").agg(F.sort_array(F.collect_list(sample)).alias("sample_customers"))
     products = F.struct(F.col("item1").cast("string").alias("asin1"), F.col("item2").cast("string").alias("asin2"),
                         "title1", "title2", F.col("avg_rating1").alias("avgRating1"),
                         F.col("avg_rating2").alias("avgRating2"))
@@ -90,7 +90,7 @@ def enriched_validated(validated: DataFrame, products: DataFrame, k: int = ENRIC
         "_at", F.coalesce("title", F.lit("Unknown")).alias("title"),
         F.coalesce("avg_rating", F.lit(0.0)).alias("rating")))
     keys = ["item1", "item2", "train_support", "test_support", "total_support"]
-    details = found.groupBy(*keys).agg(F.array_sort(F.collect_list("_detail")).alias("_details"))
+    details = found.groupBy(*keys).agg(F.sort_array(F.collect_list("_detail")).alias("_details"))
     return details.select(
         F.array("item1", "item2").alias("products"), F.col("_details.title").alias("titles"),
         F.col("_details.rating").alias("ratings"), "train_support", "test_support", "total_support",

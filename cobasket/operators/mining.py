@@ -56,7 +56,7 @@ def frequent_pairs(baskets: DataFrame, min_count: int, basket: str = "customer_i
     rows = baskets.select(basket, F.explode("items").alias("item"))
     frequent = frequent_items(baskets, min_count).select("item")
     kept = (rows.join(frequent, "item", "left_semi")
-            .groupBy(basket).agg(F.array_sort(F.collect_list("item")).alias("items")))
+            .groupBy(basket).agg(F.sort_array(F.collect_list("item")).alias("items")))
     firsts = kept.select("items", F.posexplode("items").alias("at", "item1"))
     pairs = firsts.select("item1", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("item2"))
     return (pairs.groupBy("item1", "item2").agg(F.count("*").alias("support"))
@@ -77,7 +77,7 @@ def frequent_itemsets(baskets: DataFrame, min_count: int, n_baskets: int | None
         if num_partitions:
             growth = growth.setNumPartitions(num_partitions)
         itemsets = growth.fit(kept).freqItemsets
-        return checkpointed(itemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("support")))
+        return checkpointed(itemsets.select(F.sort_array("items").alias("items"), F.col("freq").alias("support")))
     finally:
         kept.unpersist()
 

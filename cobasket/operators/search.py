@@ -102,12 +102,11 @@ def active_customer_products(reviews: DataFrame, min_customer_reviews: int = 5,
     """Products by the number of distinct active customers who reviewed them; active means at least
     ``min_customer_reviews`` reviews. This definition is ours.
 
-    Reviews are first counted per customer and product, so what is shuffled on one of the two keys afterwards has at
-    most one row per pair.
+    Reviews are made distinct by customer and product before they are shuffled on the customer, so a customer who
+    reviews one product over and over is no large group then.
     """
-    pairs = reviews.groupBy("customer_id", "product_id").agg(F.count("*").alias("_n"))
-    active = (pairs.groupBy("customer_id").agg(F.sum("_n").alias("_n"))
+    active = (reviews.groupBy("customer_id").agg(F.count("*").alias("_n"))
               .filter(F.col("_n") >= min_customer_reviews).select("customer_id"))
-    return (pairs.join(active, "customer_id", "left_semi")
+    return (reviews.select("customer_id", "product_id").distinct().join(active, "customer_id", "left_semi")
             .groupBy("product_id").agg(F.count("*").alias("active_customers"))
             .orderBy(F.desc("active_customers"), F.asc("product_id")).limit(k))

@@ -81,9 +81,12 @@ def parse_reviews(spark, sf):
 
 @query
 def parse_nested(spark, sf):
+    def size(column: str, name: str) -> Column:
+        return F.when(F.col(column).isNotNull(), F.size(column)).alias(name)
+
     return staging.parsed(spark, sf).select(
-        "id", "asin", "title", F.size("similar").alias("n_similar"), F.size("categories").alias("n_paths"),
-        F.size("reviews").alias("n_reviews"),
+        "id", "asin", "title", size("similar", "n_similar"), size("categories", "n_paths"),
+        size("reviews", "n_reviews"),
         F.array_join(F.transform("reviews", lambda r: F.concat_ws(":", r["customer"], r["rating"].cast("string"))),
                      ";").alias("ratings"))
 
