@@ -34,14 +34,25 @@ _FIELD_LINE = f"(?Um)^{_BLANK}*+((?:{'|'.join(FIELD_KEYS)})(?:[^\\n]*\\S)?)"
 _CATEGORY_NAME = "(?U)\\|(?=[^|]*\\])\\s*([^|\\[]*?)\\s*\\["
 
 
-def _review_pattern() -> str:
-    """A whole review line: its first token, and the token after each keyword wherever that stands in the line.
+_NUMBER = "([+-]?\\d{1,9})"
+_MARK = "\x01"  # starts a review line that was rewritten to its values
+_VALUES = f"{_MARK}$1\t$2\t$3\t$4\t$5"
+
+
+def _ordered_review() -> str:
+    """A review line with its values in the usual order, read from left to right."""
+    numbers = "".join(f"{_BLANK}+{key}{_BLANK}+{_NUMBER}" for key in REVIEW_KEYS[1:])
+    return f"(?Um)^{_BLANK}*+([^\\s:]+){_BLANK}+{REVIEW_KEYS[0]}{_BLANK}+([^\\s:]+){numbers}(?!\\S)[^\\n]*"
+
+
+def _any_review() -> str:
+    """Any review line: its first token, and the token after each keyword wherever that stands in the line.
 
     The atomic group settles on the first place of a keyword; numbers that are none make the line fail.
     """
-    values = {key: "([+-]?\\d{1,9})" for key in REVIEW_KEYS} | {"cutomer:": "(\\S+)"}
+    values = {key: _NUMBER for key in REVIEW_KEYS} | {REVIEW_KEYS[0]: "(\\S+)"}
     ahead = [f"(?=(?>(?:[^\\n]*?{_BLANK})??{key}{_BLANK}+){value}(?!\\S))" for key, value in values.items()]
-    return f"(?Um)^(?!{_STARTS_FIELD}){_BLANK}*+(?=(\\S+)){''.join(ahead)}[^\\n]+"
+    return f"(?Um)^(?!{_MARK}|{_STARTS_FIELD}){_BLANK}*+(?=(\\S+)){''.join(ahead)}[^\\n]+"
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -78,15 +89,17 @@ def _second_part(line: Column) -> Column:
     return F.regexp_extract(line, "(?U)^[^:]*:\\s*([^:]*?)\\s*(?::|$)", 1)
 
 
-def _reviews() -> Column:
-    """Review lines that can be read in full, as an array of structs.
-
-    Each line that names a customer is rewritten to its values with one expression; a line that does not fit stays as
-    it is and is told apart by the missing mark.
-    """
-    mark = "\x01"
+def _rewritten_reviews() -> Column:
+    """The lines that name a customer, those in the usual order rewritten to their values."""
     lines = F.filter(F.split("_body", "\n"), lambda line: line.contains(REVIEW_KEYS[0]))
-    values = F.regexp_replace(F.array_join(lines, "\n"), _review_pattern(), f"{mark}$1\t$2\t$3\t$4\t$5")
+    return F.regexp_replace(F.array_join(lines, "\n"), _ordered_review(), _VALUES)
+
+
+def _reviews() -> Column:
+    """Review lines that can be read in full, as an array of structs. Lines that are not rewritten yet are looked at
+    once more; what then still has no mark cannot be read."""
+    rest = F.col("_rewritten").rlike(f"(?m)^[^{_MARK}]")
+    values = F.when(rest, F.regexp_replace("_rewritten", _any_review(), _VALUES)).otherwise(F.col("_rewritten"))
 
     def review(text: Column) -> Column:
         value = F.split(text, "\t")
@@ -95,7 +108,7 @@ def _reviews() -> Column:
                         *[F.get(value, F.lit(i)).cast("int").alias(name)
                           for i, name in enumerate(("rating", "votes", "helpful"), 2)])
 
-    return F.transform(F.filter(F.split(values, "\n"), lambda text: text.startswith(mark)), review)
+    return F.transform(F.filter(F.split(values, "\n"), lambda text: text.startswith(_MARK)), review)
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:
@@ -117,7 +130,8 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
                    F.when(F.col("_count") > 0, F.array_join(rest, "\n")).otherwise(F.col("block")).alias("_body"))
 
     # 2. Find the line of each field once.
-    df = df.withColumn("_fields", F.regexp_extract_all("_body", F.lit(_FIELD_LINE), F.lit(1)))
+    df = df.withColumns({"_fields": F.regexp_extract_all("_body", F.lit(_FIELD_LINE), F.lit(1)),
+                         "_rewritten": _rewritten_reviews()})
     df = df.withColumns({"_listed": _tokens(_line("similar:")), "_summary": _tokens(_line("reviews:")),
                          "_title": _line("title:"), "_rank": _line("salesrank:")})
 
