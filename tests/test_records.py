@@ -162,3 +162,12 @@ def test_long_record(parse):
     lines = [f"2000-1-{i % 28 + 1}  cutomer: C{i}  rating: {i % 5 + 1}  votes: {i}  helpful: 0" for i in range(20000)]
     row = parse(block("reviews: total: 20000  downloaded: 20000  avg rating: 3", *lines))[0]
     assert len(row["reviews"]) == 20000 and row["reviews"][-1]["customer"] == "C19999"
+
+
+def test_review_lines_of_any_order_keep_their_place(parse):
+    lines = ["2000-1-1  cutomer: C1  rating: 1  votes: 2  helpful: 3",
+             "2000-1-2  rating: 2  cutomer: C:2  votes: 3  helpful: 4",
+             "2000-1-3  cutomer: rating:  rating: 5  votes: 1  helpful: 1",
+             "2000-1-4  cutomer: C4  rating: 4  votes: 5  helpful: 6  trailing: 7"]
+    found = [tuple(r.values()) for r in parse(block(*lines))[0]["reviews"]]
+    assert found == [("2000-1-1", "C1", 1, 2, 3), ("2000-1-2", "C:2", 2, 3, 4), ("2000-1-4", "C4", 4, 5, 6)]
