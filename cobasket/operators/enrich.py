@@ -53,11 +53,14 @@ def sample_customers(pairs: DataFrame, reviews: DataFrame, limit: int = SAMPLE_C
 
 def with_products(patterns: DataFrame, products: DataFrame) -> DataFrame:
     """Add title1, title2 ('Unknown' when the product has none) and avg_rating1, avg_rating2 (null then)."""
+    found = patterns
     for i in (1, 2):
         side = products.select(F.col("asin").alias(f"item{i}"), F.col("title").alias(f"title{i}"),
                                F.col("avg_rating").alias(f"avg_rating{i}"))
-        patterns = patterns.join(side, f"item{i}", "left")
-    return patterns.withColumns({f"title{i}": F.coalesce(f"title{i}", F.lit("Unknown")) for i in (1, 2)})
+        found = found.join(side, f"item{i}", "left")
+    details = [c for i in (1, 2) for c in (F.coalesce(f"title{i}", F.lit("Unknown")).alias(f"title{i}"),
+                                           f"avg_rating{i}")]
+    return found.select(*patterns.columns, *details)
 
 
 def nested_patterns(enriched: DataFrame, samples: DataFrame) -> DataFrame:
