@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -14,7 +18,24 @@ BLOCK_BYTES = 4 << 20  # text handled at a time inside a task
 WORDS = r"[^\x20\x09-\x0D]+"  # a word, as most operators see it: bytes.split() gives the same
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, unless they find it where the driver does."""
+    root, sc = Path(__file__).resolve().parents[2], spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    if str(root) not in os.environ.get("PYTHONPATH", "").split(os.pathsep) and Path.cwd() != root:
+        with zipfile.ZipFile(Path(tempfile.mkdtemp()) / f"{root.name}-package.zip", "w") as archive:
+            for file in (root / "cobasket").rglob("*.py"):
+                archive.write(file, file.relative_to(root))
+        sc.addPyFile(archive.filename)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
