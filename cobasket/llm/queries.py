@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cobasket.llm import bpe_codec, decontam, exact_dedup, simhash, token_counts, token_files, warc
+from cobasket.llm import (attention_lm, bpe_codec, decontam, exact_dedup, quality, simhash, token_counts, token_files,
+                          toxicity, warc)
 from cobasket.llm.common import read
 from cobasket.session import scratch_path
 
@@ -25,10 +26,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(read(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digests(read(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     warc.write_archive(read(spark, sf_dir, "pages"), path)
@@ -45,16 +54,73 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+OP1_SQL = r"""
+WITH normal AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+), digests AS (
+    SELECT doc_id, sha256(body) AS text_sha256 FROM normal
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM digests WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+OP6_SQL = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 100 OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+OP10_SQL = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), wanted AS (
+    SELECT DISTINCT item_id::VARCHAR AS item_id, least(len(w), 10) AS n,
+           array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), windows AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, (SELECT DISTINCT n FROM wanted))
+), found AS (
+    SELECT doc_id, n, i, item_id FROM windows JOIN wanted USING (n, gram)
+), words_hit AS (
+    SELECT doc_id, count(DISTINCT at) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT doc_id, n, i FROM found)) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op4_bpe_codec, op6_warc, op7_token_files,
-                                    op8_simhash, op10_decontamination)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_lm_scores, op4_bpe_codec, op5_quality, op6_warc,
+                                    op7_token_files, op8_simhash, op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express an operator on the whole tables; the others are tested against brute force."""
+    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op10_decontamination": OP10_SQL}
