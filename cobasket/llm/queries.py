@@ -104,8 +104,8 @@ WITH doc_words AS (
 ), found AS (
     SELECT doc_id, n, i, item_id FROM windows JOIN wanted USING (n, gram)
 ), words_hit AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit
-    FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT doc_id, n, i FROM found)) GROUP BY doc_id
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, n, i FROM found)) GROUP BY doc_id
 ), items AS (
     SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
     FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
