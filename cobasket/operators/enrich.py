@@ -5,41 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cobasket.functions.ranking import first_per_group
+from cobasket.operators.mining import pair_rows
 
-# Sample customers per pattern, and how many validated patterns are enriched.
+# Fixed value: sample customers per pattern.
 SAMPLE_CUSTOMERS = 10
-ENRICHED_VALIDATED = 25
 
 
 def sample_customers(pairs: DataFrame, reviews: DataFrame, limit: int = SAMPLE_CUSTOMERS) -> DataFrame:
     """For each pair, up to ``limit`` customers who reviewed both items: item1, item2, customer_id, rating1, rating2.
 
     A customer who reviewed an item several times counts once per combination of reviews; the first ones by customer
-    and ratings are taken. Done on counts: reviews are grouped by customer, product and rating first, so that a
-    combination is one row with a multiplicity, and only the rows that make the cut are repeated. Each pair is
-    extended by the buyers of its rarer item and these are looked up under (customer, other item), a key that spreads a
-    hot product over its customers and a hot customer over their products.
+    and ratings are taken. Customers come from the same pairs of basket rows that mining counts, cut down to the wanted
+    pairs and to ``limit`` customers each before they are shuffled; so there are never more candidates than real
+    co-purchases. Only then are the ratings looked up, under (customer, product): a combination is one row with a
+    multiplicity, and only the rows that make the cut are repeated.
     """
     pairs = pairs.select("item1", "item2")
     wanted = pairs.select(F.explode(F.array("item1", "item2")).alias("product_id")).distinct()
     counted = (reviews.filter(F.col("customer_id").isNotNull()).join(wanted, "product_id", "left_semi")
                .groupBy("customer_id", "product_id", "rating").agg(F.count("*").alias("_n")))
-    popularity = reviews.groupBy("product_id").agg(F.count("*").alias("_size"))
-    for i in (1, 2):
-        size = popularity.withColumnsRenamed({"product_id": f"item{i}", "_size": f"_size{i}"})
-        pairs = pairs.join(size, f"item{i}")
-    first_is_rarer = F.col("_size1") <= F.col("_size2")
-    oriented = pairs.select("item1", "item2", first_is_rarer.alias("_first"),
-                            F.when(first_is_rarer, F.col("item1")).otherwise(F.col("item2")).alias("_rare"),
-                            F.when(first_is_rarer, F.col("item2")).otherwise(F.col("item1")).alias("_other"))
-    rare = counted.select(F.col("product_id").alias("_rare"), "customer_id", F.col("rating").alias("_r1"),
-                          F.col("_n").alias("_n1"))
-    other = counted.select(F.col("product_id").alias("_other"), "customer_id", F.col("rating").alias("_r2"),
-                           F.col("_n").alias("_n2"))
-    both = oriented.join(rare, "_rare").join(other, ["customer_id", "_other"]).select(
-        "item1", "item2", "customer_id",
-        F.when(F.col("_first"), F.col("_r1")).otherwise(F.col("_r2")).alias("rating1"),
-        F.when(F.col("_first"), F.col("_r2")).otherwise(F.col("_r1")).alias("rating2"),
+    rows = counted.select("customer_id", F.col("product_id").alias("item")).distinct()
+    bought = pair_rows(rows).join(pairs, ["item1", "item2"], "left_semi")
+    chosen = first_per_group(bought, ["item1", "item2"], limit, "customer_id")
+    sides = [counted.select("customer_id", F.col("product_id").alias(f"item{i}"), F.col("rating").alias(f"rating{i}"),
+                            F.col("_n").alias(f"_n{i}")) for i in (1, 2)]
+    both = chosen.join(sides[0], ["customer_id", "item1"]).join(sides[1], ["customer_id", "item2"]).select(
+        "item1", "item2", "customer_id", "rating1", "rating2",
         # More than `limit` copies are never needed, so the product of two counts cannot overflow.
         (F.least("_n1", F.lit(limit)) * F.least("_n2", F.lit(limit))).alias("_copies"))
     order = ["customer_id", "rating1", "rating2"]
@@ -81,14 +72,13 @@ def nested_patterns(enriched: DataFrame, samples: DataFrame) -> DataFrame:
         F.coalesce("sample_customers", empty).alias("sample_customers"))
 
 
-def enriched_validated(validated: DataFrame, products: DataFrame, k: int = ENRICHED_VALIDATED) -> DataFrame:
-    """The first ``k`` validated patterns, by training support, with arrays of titles and ratings.
+def enriched_validated(validated: DataFrame, products: DataFrame) -> DataFrame:
+    """All validated patterns with arrays of titles and ratings.
 
     The missing title is 'Unknown' and the missing rating 0.0. ``confidence`` is 0.0: validation does not set it.
     """
-    top = validated.orderBy(F.desc("train_support"), "item1", "item2").limit(k)
     known = products.select(F.col("asin").alias("_item"), "title", "avg_rating")
-    exploded = top.select("*", F.posexplode(F.array("item1", "item2")).alias("_at", "_item"))
+    exploded = validated.select("*", F.posexplode(F.array("item1", "item2")).alias("_at", "_item"))
     found = exploded.join(known, "_item", "left").withColumn("_detail", F.struct(
         "_at", F.coalesce("title", F.lit("Unknown")).alias("title"),
         F.coalesce("avg_rating", F.lit(0.0)).alias("rating")))

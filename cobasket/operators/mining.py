@@ -1,8 +1,8 @@
 """Frequent itemsets, association rules and their check on held-out data.
 
-Pairs are counted with DataFrame operators, itemsets of any size with MLlib's FP-Growth. Both take baskets that hold a
-limited number of distinct items, so a basket gives a limited number of pairs, counted before the shuffle as far as
-they repeat within a task.
+Pairs are counted with DataFrame operators, itemsets of any size with MLlib's FP-Growth. Pairs come from basket rows of
+any number: a basket is dealt out in blocks of some products, and pairs are made within two blocks at a time, so a
+customer with a third of all rows is spread over many groups of bounded size and nothing is left out.
 """
 
 from __future__ import annotations
@@ -15,16 +15,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cobasket.functions.ranking import top_ranked, with_rank
 from cobasket.session import checkpointed
-from cobasket.operators.baskets import (MAX_BASKETS, MAX_ITEMS, baskets_sampled_items, dataset_or_all,
-                                        sample_baskets)
+from cobasket.operators.baskets import basket_count, basket_rows, sample_baskets
+
+__all__ = ["basket_count"]
 
 # Thresholds of the mining and validation jobs.
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.1
-CANDIDATES = 50
 MIN_TEST_SUPPORT = 5
 TOP_VALIDATED = 10
-SIMILAR_PAIRS = 50
+
+BLOCK = 64  # products of a basket in a block
 
 
 def pair_order(support: str = "support") -> list[Column]:
@@ -32,34 +33,50 @@ def pair_order(support: str = "support") -> list[Column]:
     return [F.desc(support), F.asc("item1"), F.asc("item2")]
 
 
-def basket_count(baskets: DataFrame) -> Column:
-    """The number of baskets as a scalar subquery, for use inside a plan over the same baskets."""
-    return baskets.agg(F.count("*")).scalar()
-
-
 def min_count_of(n_baskets: int, min_support: float) -> int:
     """The smallest number of baskets that reaches a relative support."""
     return max(1, ceil(min_support * n_baskets))
 
 
-def frequent_items(baskets: DataFrame, min_count: int) -> DataFrame:
-    return (baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("support"))
+def item_rows(baskets: DataFrame, basket: str = "customer_id") -> DataFrame:
+    """(basket, item), from baskets as rows or as lists."""
+    item = F.explode("items") if "items" in baskets.columns else F.col("product_id")
+    return baskets.select(basket, item.alias("item"))
+
+
+def frequent_items(baskets: DataFrame, min_count: int, basket: str = "customer_id") -> DataFrame:
+    return (item_rows(baskets, basket).groupBy("item").agg(F.count("*").alias("support"))
             .filter(F.col("support") >= min_count))
 
 
-def frequent_pairs(baskets: DataFrame, min_count: int, basket: str = "customer_id") -> DataFrame:
+def pair_rows(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
+    """Every pair of every basket once: basket, item1 < item2, from distinct rows (basket, item).
+
+    A basket of n items has ceil(n / block) blocks by the hash of the item. An item goes to the groups of its block
+    with each block, so a group holds two blocks: some 2 x ``block`` items, whatever the basket. Pairs inside one block
+    are made in its group with itself.
+    """
+    sizes = rows.groupBy(basket).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    placed = rows.join(sizes, basket).withColumn("_own", F.pmod(F.xxhash64("item"), F.col("_blocks")).cast("int"))
+    dealt = placed.select(basket, "item", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_with"))
+    groups = dealt.groupBy(basket, F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j")).agg(
+        F.sort_array(F.collect_list(F.struct("item", "_own"))).alias("_items")).filter(F.size("_items") > 1)
+    firsts = groups.select(basket, "_i", "_j", "_items", F.posexplode("_items").alias("_at", "_first"))
+    later = F.slice("_items", F.col("_at") + 2, F.size("_items"))
+    wanted = F.filter(later, lambda x: (F.col("_i") == F.col("_j")) | (x["_own"] != F.col("_first._own")))
+    return firsts.select(basket, F.col("_first.item").alias("item1"), F.explode(wanted).alias("_second")) \
+        .select(basket, "item1", F.col("_second.item").alias("item2"))
+
+
+def frequent_pairs(baskets: DataFrame, min_count: int, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
     """Item pairs in at least ``min_count`` baskets: item1 < item2, support.
 
-    Infrequent items are taken out first, as no frequent pair holds one. Baskets stay partitioned by their key through
-    the explode and the semi join when the frequent items are small enough to be broadcast.
+    Infrequent items are taken out first, as no frequent pair holds one. Pairs are counted in the tasks that make them
+    before they are shuffled.
     """
-    rows = baskets.select(basket, F.explode("items").alias("item"))
-    frequent = frequent_items(baskets, min_count).select("item")
-    kept = (rows.join(frequent, "item", "left_semi")
-            .groupBy(basket).agg(F.sort_array(F.collect_list("item")).alias("items")))
-    firsts = kept.select("items", F.posexplode("items").alias("at", "item1"))
-    pairs = firsts.select("item1", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("item2"))
-    return (pairs.groupBy("item1", "item2").agg(F.count("*").alias("support"))
+    rows = item_rows(baskets, basket)
+    kept = rows.join(frequent_items(baskets, min_count, basket).select("item"), "item", "left_semi")
+    return (pair_rows(kept, basket, block).groupBy("item1", "item2").agg(F.count("*").alias("support"))
             .filter(F.col("support") >= min_count))
 
 
@@ -145,32 +162,34 @@ def ranked_patterns(pairs: DataFrame, n_baskets: Column | int, items: DataFrame
             .select(*out.columns, (F.col("support") / F.least("_n1", "_n2")).alias("rule_confidence")))
 
 
-def train_patterns(reviews: DataFrame, min_count: int, dataset: str = "train", max_items: int = MAX_ITEMS,
-                   max_baskets: int = MAX_BASKETS) -> DataFrame:
-    """Frequent pairs of one dataset's baskets, with sampled items and sampled baskets.
+def train_patterns(reviews: DataFrame, min_count: int, dataset: str = "train",
+                   max_baskets: int | None = None) -> DataFrame:
+    """Frequent pairs of one dataset's baskets; of about ``max_baskets`` of them if that is given."""
+    rows = basket_rows(reviews.filter(F.col("dataset") == dataset))
+    return frequent_pairs(rows if max_baskets is None else sample_baskets(rows, max_baskets), min_count)
 
-    The baskets are checkpointed, as they are counted, sampled, and searched for items and for pairs.
-    """
-    rows = dataset_or_all(reviews, dataset)
-    found = checkpointed(baskets_sampled_items(rows, max_items))
-    return frequent_pairs(sample_baskets(found, max_baskets), min_count)
 
+def train_rules(reviews: DataFrame, min_count: int, dataset: str = "train",
+                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules between single items of one dataset's baskets, beside its :func:`train_patterns`."""
+    rows = basket_rows(reviews.filter(F.col("dataset") == dataset))
+    return pair_rules(frequent_pairs(rows, min_count), frequent_items(rows, min_count), basket_count(rows),
+                      min_confidence)
 
-def validate_patterns(train_pairs: DataFrame, reviews: DataFrame, candidates: int = CANDIDATES,
-                      min_test_support: int = MIN_TEST_SUPPORT, dataset: str = "test") -> DataFrame:
-    """Count the strongest training pairs in the held-out rows: item1, item2, train_support, test_support, total_support.
 
-    One pass for all candidates: a row that holds an item of a candidate becomes (candidate, customer), and a customer
-    counts when all of the candidate's items were seen. The candidates are ``candidates`` rows at most, which is what
-    bounds the broadcast.
+def validate_patterns(train_pairs: DataFrame, reviews: DataFrame, min_test_support: int = MIN_TEST_SUPPORT,
+                      dataset: str = "test") -> DataFrame:
+    """Count all training pairs in the held-out rows: item1, item2, train_support, test_support, total_support.
+
+    The held-out rows that hold an item of a training pair give their pairs, as in mining; those that aren't training
+    pairs are left out before they are counted.
     """
-    top = top_ranked(train_pairs, candidates, *pair_order())
-    wanted = top.select("rank", F.explode(F.array("item1", "item2")).alias("product_id"))
-    seen = (reviews.filter((F.col("dataset") == dataset) & F.col("customer_id").isNotNull())
-            .join(F.broadcast(wanted), "product_id").select("rank", "customer_id", "product_id").distinct())
-    counts = (seen.groupBy("rank", "customer_id").agg(F.count("*").alias("_n")).filter(F.col("_n") == 2)
-              .groupBy("rank").agg(F.count("*").alias("test_support")))
-    return (top.join(counts, "rank").filter(F.col("test_support") >= min_test_support)
+    wanted = train_pairs.select(F.explode(F.array("item1", "item2")).alias("item")).distinct()
+    rows = (reviews.filter((F.col("dataset") == dataset) & F.col("customer_id").isNotNull())
+            .select("customer_id", F.col("product_id").alias("item")).join(wanted, "item", "left_semi").distinct())
+    counts = (pair_rows(rows).join(train_pairs.select("item1", "item2"), ["item1", "item2"], "left_semi")
+              .groupBy("item1", "item2").agg(F.count("*").alias("test_support")))
+    return (train_pairs.join(counts, ["item1", "item2"]).filter(F.col("test_support") >= min_test_support)
             .select("item1", "item2", F.col("support").alias("train_support"), "test_support",
                     (F.col("support") + F.col("test_support")).alias("total_support")))
 
@@ -188,35 +207,31 @@ def mining_stats(reviews: DataFrame, validated: DataFrame) -> DataFrame:
     ).withColumn("num_patterns", validated.agg(F.count("*")).scalar())
 
 
-def similar_items(similar_pairs: DataFrame, k: int = SIMILAR_PAIRS) -> DataFrame:
-    """The products of the strongest ``k`` similar pairs, in the order they first appear: position, asin, title, support.
-
-    ``similar_pairs`` comes from ``summary.similar_pair_support``; an item's support is its review count. All windows
-    here see two rows per pair, so ``2 * k`` rows.
-    """
-    ranked = top_ranked(similar_pairs, k, F.desc("support"), F.asc("asin1"), F.asc("asin2"))
+def similar_items(similar_pairs: DataFrame) -> DataFrame:
+    """The products of similar pairs, in the order they first appear, strongest pair first: position, asin, title,
+    support. ``similar_pairs`` comes from ``summary.similar_pair_support``; an item's support is its review count."""
+    ranked = with_rank(similar_pairs, F.desc("support"), F.asc("asin1"), F.asc("asin2"))
     ends = F.array(*[F.struct((F.col("rank") * 2 + (i - 2)).alias("_at"), F.col(f"asin{i}").alias("asin"),
                               F.col(f"title{i}").alias("title"), F.col(f"reviews{i}").alias("support"))
                      for i in (1, 2)])
     once = ranked.select(F.inline(ends)).groupBy("asin").agg(
         F.min("_at").alias("_at"), F.max("title").alias("title"), F.max("support").alias("support"))
-    return once.withColumn("position", F.row_number().over(Window.orderBy("_at"))) \
-        .select("position", "asin", "title", "support")
+    return with_rank(once, "_at", name="position").select("position", "asin", "title", "support")
 
 
-def similar_rules(similar_pairs: DataFrame, k: int = SIMILAR_PAIRS) -> DataFrame:
-    """Rules in both directions from the strongest ``k`` similar pairs, with review counts as item supports.
+def similar_rules(similar_pairs: DataFrame) -> DataFrame:
+    """Rules in both directions from all similar pairs, with review counts as item supports.
 
     lift = confidence / (support of the consequent / sum of all item supports); items without support give no rule.
     """
-    total = similar_items(similar_pairs, k).agg(F.sum("support")).scalar()
-    top = similar_pairs.orderBy(F.desc("support"), "asin1", "asin2").limit(k)
-    top = top.filter((F.col("reviews1") > 0) & (F.col("reviews2") > 0))
+    ends = F.array(*[F.struct(F.col(f"asin{i}").alias("asin"), F.col(f"reviews{i}").alias("n")) for i in (1, 2)])
+    total = similar_pairs.select(F.inline(ends)).groupBy("asin").agg(F.max("n").alias("n")).agg(F.sum("n")).scalar()
+    known = similar_pairs.filter((F.col("reviews1") > 0) & (F.col("reviews2") > 0))
     both = F.array(*[F.struct(F.col(f"asin{a}").alias("antecedent"), F.col(f"asin{b}").alias("consequent"),
                               F.col(f"reviews{a}").alias("_if"), F.col(f"reviews{b}").alias("_then"))
                      for a, b in ((1, 2), (2, 1))])
     confidence = F.col("support") / F.col("_if")
-    return (top.select(F.inline(both), "support")
+    return (known.select(F.inline(both), "support")
             .select("antecedent", "consequent", confidence.alias("confidence"),
                     (confidence / (F.col("_then") / total)).alias("lift"), "support")
             .orderBy(F.desc("confidence"), "antecedent", "consequent"))

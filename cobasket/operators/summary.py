@@ -43,8 +43,7 @@ def similarity_network(similar: DataFrame, products: DataFrame, more_than: int =
             .orderBy("asin1", "asin2", F.asc_nulls_first("title1"), F.asc_nulls_first("title2")).limit(k))
 
 
-def similar_pair_support(similar: DataFrame, products: DataFrame, reviews: DataFrame, min_support: int = 3,
-                         k: int = 50) -> DataFrame:
+def similar_pair_support(similar: DataFrame, products: DataFrame, reviews: DataFrame, min_support: int = 3) -> DataFrame:
     """Similar pairs by how many customers reviewed both products.
 
     Each pair is extended by the reviewers of its less reviewed product only, and these are then looked up among the
@@ -64,4 +63,4 @@ def similar_pair_support(similar: DataFrame, products: DataFrame, reviews: DataF
         F.max("title2").alias("title2"), F.max("reviews2").alias("reviews2"))
     return (support.filter(F.col("support") >= min_support)
             .select("asin1", "title1", "reviews1", "asin2", "title2", "reviews2", "support")
-            .orderBy(F.desc("support"), "asin1", "asin2").limit(k))
+            .orderBy(F.desc("support"), "asin1", "asin2"))

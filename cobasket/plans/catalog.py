@@ -199,7 +199,7 @@ def load_customers(spark, sf):
 @query
 def merge_categories(spark, sf):
     """Categories of the order database merged with those of the text: brands and sizes are in both."""
-    existing = staging.categories(spark, sf).filter(~F.startswith("name", F.lit("Size")))
+    existing = staging.categories(spark, sf)
     new = staging.normalized(spark, sf).belongs_to.select(F.col("category").alias("name"))
     return ld.merge_categories(existing, new)
 
@@ -212,14 +212,21 @@ def resolve_belongs_to(spark, sf):
 
 @query
 def resolve_similar(spark, sf):
-    titled = staging.products(spark, sf).filter(F.col("title").isNotNull())
-    return ld.resolve_similar(staging.similar(spark, sf), titled)
+    """All links, and for each one more to a product that there isn't."""
+    links = staging.similar(spark, sf)
+    strays = links.select("src", (-F.col("dst") - 1).alias("dst"))
+    return ld.resolve_similar(links.unionByName(strays), staging.products(spark, sf))
 
 
 @query
 def resolve_reviews(spark, sf):
-    titled = staging.products(spark, sf).filter(F.col("title").isNotNull())
-    return ld.resolve_reviewed(staging.reviewed(spark, sf), staging.customers(spark, sf), titled)
+    """All reviews, and for each one more by a customer, or of a product, that there isn't."""
+    reviews = staging.reviewed(spark, sf)
+    odd = F.col("votes") % 2 == 1
+    strays = reviews.withColumns({
+        "customer_id": F.when(odd, -F.col("customer_id") - 1).otherwise(F.col("customer_id")),
+        "product_id": F.when(odd, F.col("product_id")).otherwise(-F.col("product_id") - 1)})
+    return ld.resolve_reviewed(reviews.unionByName(strays), staging.customers(spark, sf), staging.products(spark, sf))
 
 
 @query
@@ -394,7 +401,8 @@ def baskets_sampled_items(spark, sf):
 
 @query
 def sample_baskets(spark, sf):
-    return bk.sample_baskets(staging.customer_baskets(spark, sf), SAMPLE_MAX).select("customer_id", joined("items"))
+    found = bk.baskets(staging.reviews(spark, sf), MAX_ITEMS)
+    return bk.sample_baskets(found, SAMPLE_MAX).select("customer_id", joined("items"))
 
 
 @query
@@ -483,7 +491,13 @@ def ranked_patterns(spark, sf):
 
 @query
 def train_patterns(spark, sf):
-    return mi.train_patterns(staging.split(spark, sf), SAMPLED_MIN, max_items=MAX_ITEMS)
+    return mi.train_patterns(staging.split(spark, sf), SAMPLED_MIN)
+
+
+@query
+def train_rules(spark, sf):
+    rules = mi.train_rules(staging.split(spark, sf), SAMPLED_MIN)
+    return rules.select("antecedent", "consequent", rounded("confidence"), rounded("lift"), rounded("support"))
 
 
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
@@ -519,8 +533,8 @@ def enriched_patterns(spark, sf):
     return found.withColumn("confidence", rounded("confidence"))
 
 
-def _strongest(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.enriched(_ranked(spark, sf, TOP), staging.products(spark, sf), staging.reviews(spark, sf))
+def _enriched(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.enriched(_ranked(spark, sf), staging.products(spark, sf), staging.reviews(spark, sf))
 
 
 def _flat(patterns: DataFrame) -> DataFrame:
@@ -533,16 +547,31 @@ def _flat(patterns: DataFrame) -> DataFrame:
 
 @query
 def patterns_nested(spark, sf):
-    """The strongest patterns, nested and flattened again."""
-    return _flat(_strongest(spark, sf))
+    """All patterns, nested and flattened again."""
+    return _flat(_enriched(spark, sf))
 
 
 @query
 def write_patterns(spark, sf):
-    """The metadata row after writing some patterns, without its time stamp."""
+    """All patterns after writing and reading them, each with the metadata but for its time stamp."""
     path = scratch_path(spark, "patterns")
-    pt.write_patterns(_strongest(spark, sf), path)
-    return pt.read_metadata(spark, path).select("total_patterns", "algorithm")
+    pt.write_patterns(_enriched(spark, sf), path, jobs.PAIR_COUNT)
+    metadata = pt.read_metadata(spark, path)
+    return _flat(pt.read_patterns(spark, path)).withColumns({
+        c: metadata.select(c).scalar() for c in ("total_patterns", "algorithm")})
+
+
+@query
+def write_results(spark, sf):
+    """Validated patterns and statistics of a run after writing and reading them."""
+    path = scratch_path(spark, "results")
+    split, found = staging.split(spark, sf), _validated(spark, sf)
+    pt.write_results(mi.mining_stats(split, found), en.enriched_validated(found, staging.products(spark, sf)), path)
+    rows = spark.read.schema("products array<bigint>, train_support bigint, test_support bigint, total_support bigint") \
+        .json(f"{path}/patterns")
+    stats = spark.read.schema("num_patterns bigint, train_reviews bigint").json(f"{path}/stats")
+    return rows.select(joined("products"), "train_support", "test_support", "total_support").withColumns({
+        c: stats.select(c).scalar() for c in ("num_patterns", "train_reviews")})
 
 
 @query

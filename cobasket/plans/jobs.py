@@ -14,11 +14,9 @@ from cobasket.session import checkpointed
 from cobasket.sources import patterns, tables, typed_csv
 from cobasket.sources.records import read_records
 
-# Settings of the job that prepares served patterns.
+# Fixed value: the share of baskets that a served pattern is in.
 SERVED_SUPPORT = 0.0005
-SERVED_BASKETS = 2_000_000
-# Fixed value: the basket budget of the validated run.
-VALIDATED_BASKETS = 15_000
+PAIR_COUNT = "pair counting over blocks of basket rows"
 
 
 def ingest(spark: SparkSession, text: str, root: str, fill_defaults: bool = True, csv: bool = False) -> Graph:
@@ -65,34 +63,42 @@ def enriched(ranked: DataFrame, products: DataFrame, reviews: DataFrame) -> Data
 def serve_patterns(pairs: DataFrame, n_baskets: Column | int, products: DataFrame, reviews: DataFrame,
                    path: str) -> None:
     """Rank and enrich all pairs and write them. The ranking is used twice, and ends in a checkpoint anyhow."""
-    patterns.write_patterns(enriched(mining.ranked_patterns(pairs, n_baskets), products, reviews), path)
+    patterns.write_patterns(enriched(mining.ranked_patterns(pairs, n_baskets), products, reviews), path, PAIR_COUNT)
+
+
+def _rows(reviews: DataFrame, max_baskets: int | None) -> DataFrame:
+    rows = checkpointed(bk.basket_rows(reviews))
+    return rows if max_baskets is None else bk.sample_baskets(rows, max_baskets)
 
 
 def mine_patterns(graph: Graph, path: str, min_support: float = SERVED_SUPPORT, min_count: int | None = None,
-                  max_items: int = bk.MAX_ITEMS_SERVED, max_baskets: int = SERVED_BASKETS) -> DataFrame:
-    """Mine a graph's reviews and write the served patterns to ``path``; gives the metadata row.
+                  max_baskets: int | None = None) -> DataFrame:
+    """Mine a graph's reviews and write the served patterns to ``path`` and their rules to ``path/rules``; gives the
+    metadata row.
 
-    The threshold is ``min_count`` baskets, or else the share ``min_support`` of them.
+    The threshold is ``min_count`` baskets, or else the share ``min_support`` of them. All baskets are mined, or about
+    ``max_baskets`` if that is given.
     """
     reviews = tables.scan_reviews(graph.reviewed)
-    found = bk.sample_baskets(checkpointed(bk.baskets(reviews, max_items)), max_baskets)
-    total = found.count()
+    found = _rows(reviews, max_baskets)
+    total = found.select("customer_id").distinct().count()
     threshold = min_count or mining.min_count_of(total, min_support)
     pairs = checkpointed(mining.frequent_pairs(found, threshold))
     serve_patterns(pairs, total, graph.products, reviews, path)
+    mining.pair_rules(pairs, mining.frequent_items(found, threshold), total).write.mode("overwrite").json(f"{path}/rules")
     return patterns.read_metadata(reviews.sparkSession, path)
 
 
 def mine_validated(graph: Graph, path: str, min_support: float = mining.MIN_SUPPORT, min_count: int | None = None,
-                   min_test_support: int = mining.MIN_TEST_SUPPORT, max_items: int = bk.MAX_ITEMS,
-                   max_baskets: int = VALIDATED_BASKETS, split_by: str | list[str] | None = None) -> DataFrame:
-    """Mine the training reviews, check the patterns on the test reviews, write both; gives the patterns."""
+                   min_test_support: int = mining.MIN_TEST_SUPPORT, max_baskets: int | None = None,
+                   split_by: str | list[str] | None = None) -> DataFrame:
+    """Mine the training reviews, check the patterns on the test reviews, write both and the rules; gives the patterns."""
     split = bk.train_test_split(graph.reviewed, split_by=split_by)
-    found = bk.sample_baskets(checkpointed(bk.baskets_sampled_items(bk.dataset_or_all(split, "train"), max_items)),
-                              max_baskets)
-    threshold = min_count or mining.min_count_of(found.count(), min_support)
+    found = _rows(split.filter("dataset = 'train'"), max_baskets)
+    total = found.select("customer_id").distinct().count()
+    threshold = min_count or mining.min_count_of(total, min_support)
     train = checkpointed(mining.frequent_pairs(found, threshold))
     validated = checkpointed(mining.validate_patterns(train, split, min_test_support=min_test_support))
-    patterns.write_results(mining.mining_stats(split, validated),
-                           enrich.enriched_validated(validated, graph.products), path)
+    patterns.write_results(mining.mining_stats(split, validated), enrich.enriched_validated(validated, graph.products),
+                           path, mining.pair_rules(train, mining.frequent_items(found, threshold), total))
     return validated

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cobasket.plans import catalog as c, staging as st
+from cobasket.plans import catalog as c, jobs, staging as st
 
 HASH = "CAST('0x' || substr(md5(concat_ws('|', {cols}, '42')), 1, 8) AS BIGINT)"
 
@@ -28,11 +28,10 @@ CTES: dict[str, tuple[list[str], str]] = {
         UNION ALL SELECT p_partkey, p_brand FROM part
         UNION ALL SELECT p_partkey, p_type FROM part
         UNION ALL SELECT p_partkey, 'Size ' || p_size FROM part"""),
-    "order_rows": ([], f"""
-        SELECT order_id, product_id FROM (
-            SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY product_id) AS n
-            FROM (SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem)
-        ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
+    "order_rows": ([], """
+        SELECT order_id, product_id
+        FROM (SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem)
+        QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
     "order_pairs": (["order_rows"], f"""
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
@@ -86,7 +85,10 @@ CTES: dict[str, tuple[list[str], str]] = {
                rating, date, votes, helpful FROM n_reviewed"""),
 
     # ---- baskets and patterns
-    "basket_rows": (["reviews"], f"""
+    "basket_rows": (["reviews"], """
+        SELECT customer_id, product_id FROM (SELECT DISTINCT customer_id, product_id FROM reviews)
+        QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
+    "capped_rows": (["reviews"], f"""
         SELECT customer_id, product_id FROM (
             SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY product_id) AS n
             FROM (SELECT DISTINCT customer_id, product_id FROM reviews)
@@ -111,20 +113,17 @@ CTES: dict[str, tuple[list[str], str]] = {
     "split": (["reviews"], f"""
         SELECT *, CASE WHEN {HASH.format(cols='customer_id, product_id, order_id, rating, date, votes, helpful')} % 100
                        < 70 THEN 'train' ELSE 'test' END AS dataset FROM reviews"""),
-    "train_rows": (["split"], f"""
-        SELECT customer_id, product_id FROM (
-            SELECT *, row_number() OVER (PARTITION BY customer_id
-                                         ORDER BY {HASH.format(cols='customer_id, product_id')}, product_id) AS n
-            FROM (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'train')
-        ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
+    "train_rows": (["split"], """
+        SELECT customer_id, product_id
+        FROM (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'train')
+        QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
     "train_pairs": (["train_rows"], """
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM train_rows x JOIN train_rows y ON x.customer_id = y.customer_id AND x.product_id < y.product_id
         GROUP BY 1, 2"""),
     "validated": (["split", "train_pairs"], f"""
         SELECT item1, item2, train_support, count(*) AS test_support, train_support + count(*) AS total_support
-        FROM (SELECT item1, item2, support AS train_support FROM train_pairs WHERE support >= {st.TRAIN_MIN}
-              ORDER BY support DESC, item1, item2 LIMIT 50)
+        FROM (SELECT item1, item2, support AS train_support FROM train_pairs WHERE support >= {st.TRAIN_MIN})
         JOIN (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'test') x ON x.product_id = item1
         JOIN (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'test') y
           ON y.product_id = item2 AND y.customer_id = x.customer_id
@@ -153,8 +152,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         JOIN reviews x ON x.product_id = src
         JOIN reviews y ON y.product_id = dst AND y.customer_id = x.customer_id
         WHERE a.total_reviews >= 3 AND b.total_reviews >= 3
-        GROUP BY ALL HAVING count(DISTINCT x.customer_id) >= 3
-        ORDER BY support DESC, asin1, asin2 LIMIT 50"""),
+        GROUP BY ALL HAVING count(DISTINCT x.customer_id) >= 3"""),
     "similar_item": (["similar_support"], """
         SELECT asin, min(place) AS place, max(title) AS title, max(support) AS support FROM (
             SELECT asin1 AS asin, title1 AS title, reviews1 AS support,
@@ -249,15 +247,13 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         SELECT * REPLACE (CAST(total_reviews AS BIGINT) AS total_reviews) FROM c_products"""),
     "load_customers": (["n_customers"], "SELECT * FROM n_customers"),
     "merge_categories": (["categories", "n_categories"], """
-        SELECT name FROM categories WHERE name NOT LIKE 'Size%'
+        SELECT name FROM categories
         UNION SELECT name FROM n_categories"""),
     "resolve_belongs_to": (["belongs_to"], "SELECT * FROM belongs_to"),
     "resolve_similar": (["alike", "products"], """
-        SELECT src, dst FROM alike JOIN products a ON a.asin = src JOIN products b ON b.asin = dst
-        WHERE a.title IS NOT NULL AND b.title IS NOT NULL"""),
+        SELECT src, dst FROM alike JOIN products a ON a.asin = src JOIN products b ON b.asin = dst"""),
     "resolve_reviews": (["reviews", "products"], """
-        SELECT customer_id, product_id, rating, date, votes, helpful FROM reviews JOIN products ON asin = product_id
-        WHERE title IS NOT NULL"""),
+        SELECT customer_id, product_id, rating, date, votes, helpful FROM reviews JOIN products ON asin = product_id"""),
     "counts_by_label": (["products", "customers", "categories"], """
         SELECT 'Product' AS label, count(*) AS n_rows FROM products
         UNION ALL SELECT 'Customer', count(*) FROM customers
@@ -358,15 +354,15 @@ ORACLES: dict[str, tuple[list[str], str]] = {
             FROM similar_support
             UNION ALL SELECT asin2, asin1, reviews2, reviews1, support FROM similar_support)
         WHERE n1 > 0 AND n2 > 0"""),
-    "baskets": (["basket_rows"], """
+    "baskets": (["capped_rows"], """
         SELECT customer_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS items
-        FROM basket_rows GROUP BY 1"""),
+        FROM capped_rows GROUP BY 1"""),
     "baskets_sampled_items": (["sampled_rows"], """
         SELECT customer_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS items
         FROM sampled_rows GROUP BY 1"""),
-    "sample_baskets": (["basket_rows", "n_baskets"], f"""
+    "sample_baskets": (["capped_rows", "n_baskets"], f"""
         SELECT customer_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS items
-        FROM basket_rows, n_baskets
+        FROM capped_rows, n_baskets
         WHERE n <= {c.SAMPLE_MAX} OR {HASH.format(cols='customer_id')} / CAST(4294967296.0 AS DOUBLE)
                                      < CAST({c.SAMPLE_MAX} AS DOUBLE) / n
         GROUP BY 1"""),
@@ -374,8 +370,8 @@ ORACLES: dict[str, tuple[list[str], str]] = {
     "train_test_split_by_customer": (["reviews"], f"""
         SELECT *, CASE WHEN {HASH.format(cols='customer_id')} % 100 < 70 THEN 'train' ELSE 'test' END AS dataset
         FROM reviews"""),
-    "split_preserved": (["reviews"], """
-        SELECT *, CASE votes WHEN 1 THEN 'train' WHEN 2 THEN 'test' END AS dataset FROM reviews"""),
+    "split_preserved": (["split"], """
+        SELECT * REPLACE (CASE votes WHEN 1 THEN 'train' WHEN 2 THEN 'test' ELSE dataset END AS dataset) FROM split"""),
     "split_counts": (["split"], "SELECT dataset, count(*) AS n_reviews FROM split GROUP BY 1"),
     "dataset_or_all": (["split"], """
         SELECT *, 'test' AS asked_for FROM split WHERE dataset = 'test'
@@ -407,6 +403,19 @@ ORACLES: dict[str, tuple[list[str], str]] = {
                round(r.support / least(a.support, b.support), 6) AS rule_confidence
         FROM ranked r JOIN items a ON a.item = item1 JOIN items b ON b.item = item2"""),
     "train_patterns": (["train_pairs"], f"SELECT * FROM train_pairs WHERE support >= {c.SAMPLED_MIN}"),
+    "train_rules": (["train_rows", "train_pairs"], f"""
+        SELECT antecedent, consequent, round(f / a.support, 6) AS confidence,
+               round((f / a.support) / (b.support / n), 6) AS lift, round(f / n, 6) AS support
+        FROM (SELECT item1 AS antecedent, item2 AS consequent, support AS f FROM train_pairs
+              UNION ALL SELECT item2, item1, support FROM train_pairs)
+        JOIN (SELECT product_id, count(*) AS support FROM train_rows GROUP BY 1) a ON a.product_id = antecedent
+        JOIN (SELECT product_id, count(*) AS support FROM train_rows GROUP BY 1) b ON b.product_id = consequent,
+             (SELECT count(DISTINCT customer_id) AS n FROM train_rows)
+        WHERE f >= {c.SAMPLED_MIN} AND f / a.support >= 0.1"""),
+    "write_results": (["split", "validated"], """
+        SELECT item1 || ',' || item2 AS products, train_support, test_support, total_support,
+               (SELECT count(*) FROM validated) AS num_patterns,
+               (SELECT count(*) FROM split WHERE dataset = 'train') AS train_reviews FROM validated"""),
     "validate_patterns": (["validated"], "SELECT * FROM validated"),
     "top_validated": (["validated"], "SELECT * FROM validated ORDER BY total_support DESC, item1, item2 LIMIT 10"),
     "mining_stats": (["split", "validated"], """
@@ -419,16 +428,17 @@ ORACLES: dict[str, tuple[list[str], str]] = {
                coalesce(a.title, 'Unknown') AS title1, a.avg_rating AS avg_rating1,
                coalesce(b.title, 'Unknown') AS title2, b.avg_rating AS avg_rating2
         FROM ranked LEFT JOIN products a ON a.asin = item1 LEFT JOIN products b ON b.asin = item2"""),
-    "patterns_nested": (["served"], f"SELECT {_SERVED} FROM served {_TOP}"),
-    "write_patterns": (["pairs"], f"""
-        SELECT least(count(*), {c.TOP}) AS total_patterns, 'FP-Growth (Spark MLlib)' AS algorithm FROM pairs"""),
+    "patterns_nested": (["served"], f"SELECT {_SERVED} FROM served"),
+    "write_patterns": (["served"], f"""
+        SELECT {_SERVED}, (SELECT count(*) FROM served) AS total_patterns, '{jobs.PAIR_COUNT}' AS algorithm
+        FROM served"""),
     "read_patterns": (["served"], f"SELECT {_SERVED} FROM served"),
     "enriched_validated": (["validated", "products"], """
         SELECT item1 || ',' || item2 AS products,
                coalesce(a.title, 'Unknown') || ',' || coalesce(b.title, 'Unknown') AS titles,
                coalesce(a.avg_rating, 0.0) || ',' || coalesce(b.avg_rating, 0.0) AS ratings,
                train_support, test_support, total_support, CAST(0 AS DOUBLE) AS confidence
-        FROM (SELECT * FROM validated ORDER BY train_support DESC, item1, item2 LIMIT 25)
+        FROM validated
         LEFT JOIN products a ON a.asin = item1 LEFT JOIN products b ON b.asin = item2"""),
     "pattern_list": (["served"], """
         SELECT rank, substr(title1, 1, 40) AS title1, substr(title2, 1, 40) AS title2, support,

@@ -7,6 +7,7 @@ executor memory, losing an executor loses nothing.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,21 +20,40 @@ from cobasket.sources import patterns, tables, typed_csv
 from cobasket.sources.records import read_records
 
 # Thresholds for the order database's tables.
-MAX_ITEMS = 20  # items per basket
+MAX_ITEMS = 20  # items per basket, where the limit itself is shown
 CUSTOMER_MIN = 4  # baskets of customers that a pair must be in
 ORDER_MIN = 2  # baskets of orders that an itemset must be in
 TRAIN_MIN = 2  # training baskets that a pair must be in
 
 _written: dict[tuple[str, str, str], str] = {}
+_lock = threading.RLock()
 
 
 def _once(spark: SparkSession, sf_dir: str, stage: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, stage)
-    if key not in _written:
-        path = scratch_path(spark, stage)
-        write(path)
-        _written[key] = path
-    return _written[key]
+    with _lock:  # a stage is written by one thread
+        if key not in _written or not _path(spark, _written[key])[0].exists(_path(spark, _written[key])[1]):
+            path = scratch_path(spark, stage)
+            write(path)
+            _written[key] = path
+        return _written[key]
+
+
+def _path(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as the JVM sees them."""
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove the stages this session has written; the number of them. Later queries write theirs again."""
+    with _lock:
+        own = [key for key in _written if key[0] == spark.sparkContext.applicationId]
+        for key in own:
+            system, path = _path(spark, _written.pop(key))
+            system.delete(path, True)
+        return len(own)
 
 
 def _table(spark: SparkSession, sf_dir: str, stage: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -119,12 +139,12 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
 
 def customer_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer_baskets",
-                  lambda: bk.baskets(reviews(spark, sf_dir), MAX_ITEMS))
+                  lambda: bk.basket_rows(reviews(spark, sf_dir)))
 
 
 def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "order_baskets",
-                  lambda: bk.baskets(views.order_lines(spark, sf_dir), MAX_ITEMS, "order_id"))
+                  lambda: bk.baskets(views.order_lines(spark, sf_dir), basket="order_id"))
 
 
 def customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +164,7 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "train_pairs",
-                  lambda: mining.train_patterns(split(spark, sf_dir), TRAIN_MIN, max_items=MAX_ITEMS))
+                  lambda: mining.train_patterns(split(spark, sf_dir), TRAIN_MIN))
 
 
 def served_path(spark: SparkSession, sf_dir: str) -> str:

@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cobasket.schemas import PATTERN
 
-# The algorithm label and time format of the metadata row.
-ALGORITHM = "FP-Growth (Spark MLlib)"
+# Fixed value: the time format of the metadata row.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def write_patterns(patterns: DataFrame, path: str, algorithm: str = ALGORITHM) -> None:
-    """Write ``path/patterns`` (one JSON object per line, any number of files) and ``path/metadata``."""
+def write_patterns(patterns: DataFrame, path: str, algorithm: str | None = None) -> None:
+    """Write ``path/patterns`` (one JSON object per line, any number of files) and ``path/metadata``, with the name of
+    the method that found them."""
     patterns.write.mode("overwrite").json(f"{path}/patterns")
     written = read_patterns(patterns.sparkSession, path)
     metadata = written.agg(
         F.date_format(F.current_timestamp(), TIME_FORMAT).alias("generated_at"),
         F.count("*").alias("total_patterns"),
-        F.lit(algorithm).alias("algorithm"),
+        F.lit(algorithm).cast("string").alias("algorithm"),
     )
     metadata.write.mode("overwrite").json(f"{path}/metadata")
 
@@ -31,7 +31,9 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("generated_at string, total_patterns bigint, algorithm string").json(f"{path}/metadata")
 
 
-def write_results(stats: DataFrame, patterns: DataFrame, path: str) -> None:
-    """Write the validated patterns of a run and its one-row statistics."""
+def write_results(stats: DataFrame, patterns: DataFrame, path: str, rules: DataFrame | None = None) -> None:
+    """Write the validated patterns of a run, its one-row statistics, and its rules if given."""
+    if rules is not None:
+        rules.write.mode("overwrite").json(f"{path}/rules")
     patterns.write.mode("overwrite").json(f"{path}/patterns")
     stats.write.mode("overwrite").json(f"{path}/stats")

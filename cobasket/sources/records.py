@@ -34,7 +34,7 @@ _FIELD_LINE = f"(?Um)^{_BLANK}*+((?:{'|'.join(FIELD_KEYS)})(?:[^\\n]*\\S)?)"
 _CATEGORY_NAME = "(?U)\\|(?=[^|]*\\])\\s*([^|\\[]*?)\\s*\\["
 
 
-_NUMBER = "([+-]?\\d{1,9})"
+_NUMBER = "([+-]?\\d+)"
 _MARK = "\x01"  # starts a review line that was rewritten to its values
 _VALUES = f"{_MARK}$1\t$2\t$3\t$4\t$5"
 
@@ -105,7 +105,7 @@ def _reviews() -> Column:
         value = F.split(text, "\t")
         return F.struct(F.substring(F.get(value, F.lit(0)), 2, 1 << 30).alias("date"),
                         F.get(value, F.lit(1)).alias("customer"),
-                        *[F.get(value, F.lit(i)).cast("int").alias(name)
+                        *[F.get(value, F.lit(i)).try_cast("int").alias(name)
                           for i, name in enumerate(("rating", "votes", "helpful"), 2)])
 
     return F.transform(F.filter(F.split(values, "\n"), lambda text: text.startswith(_MARK)), review)

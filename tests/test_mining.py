@@ -84,15 +84,57 @@ def test_split_is_by_row_and_near_its_share(spark):
 def test_split_that_exists_is_kept(spark):
     rows = spark.createDataFrame([("c", "a", "test"), ("d", "a", None)],
                                  "customer_id string, product_id string, dataset string")
-    assert tuples(bk.train_test_split(rows)) == [("c", "a", "test"), ("d", "a", None)]
+    found = {r.customer_id: r.dataset for r in bk.train_test_split(rows).collect()}
+    assert found["c"] == "test" and found["d"] in {"train", "test"}
     fresh = bk.train_test_split(rows.withColumn("dataset", F.lit(None).cast("string")))
     assert {r.dataset for r in fresh.collect()} <= {"train", "test"}
 
 
-def test_small_dataset_falls_back_to_all_rows(spark):
-    rows = spark.range(300).select("id", F.when(F.col("id") < 99, "a").otherwise("b").alias("dataset"))
-    assert bk.dataset_or_all(rows, "a").count() == 300
-    assert bk.dataset_or_all(rows, "b").count() == 201
+def test_partial_split_loses_no_row(spark):
+    rows = spark.range(400).select("id", F.when(F.col("id") == 7, "test").alias("dataset"))
+    found = dict(tuples(bk.split_counts(bk.train_test_split(rows))))
+    assert set(found) == {"train", "test"} and sum(found.values()) == 400
+
+
+def test_only_a_dataset_without_rows_stands_for_all_unless_asked(spark):
+    rows = spark.range(400).select("id", F.when(F.col("id") < 99, "a").otherwise("b").alias("dataset"))
+    assert bk.dataset_or_all(rows, "a").count() == 99
+    assert bk.dataset_or_all(rows, "none").count() == 400
+    assert bk.dataset_or_all(rows, "a", min_rows=100).count() == 400
+
+
+def test_small_training_set_is_not_mixed_with_test_rows(spark):
+    rows = spark.createDataFrame([("c", p, 1, "train") for p in "ab"] + [("d", p, 1, "test") for p in "xyz"],
+                                 SCHEMA + ", dataset string")
+    assert tuples(mining.train_patterns(rows, 1)) == [("a", "b", 1)]
+
+
+@pytest.mark.parametrize("block", [1, 2, 8, 64])
+def test_pairs_of_whole_baskets(spark, reviews, rows, block):
+    """One customer holds a third of all rows; blocks change the groups, not the pairs."""
+    found = mining.frequent_pairs(bk.basket_rows(reviews), 2, block=block)
+    want = {pair: n for pair, n in brute_counts(brute_baskets(rows, None), 2).items() if n >= 2}
+    assert {(r.item1, r.item2): r.support for r in found.collect()} == want
+
+
+def test_large_basket_is_spread(spark):
+    rows = spark.range(1000).select(F.lit("c").alias("customer_id"), F.col("id").alias("item"))
+    pairs = mining.pair_rows(rows, block=50)
+    assert pairs.count() == pairs.distinct().count() == 1000 * 999 // 2
+    assert pairs.filter("item1 >= item2").isEmpty()
+
+
+def test_no_rows_no_pairs(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert mining.frequent_pairs(bk.basket_rows(none), 1).isEmpty()
+
+
+def test_basket_rows_are_sampled_by_basket(spark):
+    rows = spark.range(4000).select((F.col("id") % 1000).alias("customer_id"), F.col("id").alias("product_id"))
+    kept = bk.sample_baskets(rows, 300)
+    sizes = kept.groupBy("customer_id").count()
+    assert 230 < sizes.count() < 370 and sizes.filter("count != 4").isEmpty()
+    assert rows.select(bk.basket_count(rows)).first()[0] == 1000
 
 
 @pytest.mark.parametrize("min_count", [1, 3, 8])
@@ -167,12 +209,12 @@ def test_ranked_patterns(reviews):
 def test_validation_counts_customers_with_both_items(spark, reviews, rows):
     split = bk.train_test_split(reviews)
     train = mining.frequent_pairs(bk.baskets(split.filter("dataset = 'train'"), 6), 2)
-    found = mining.validate_patterns(train, split, candidates=10, min_test_support=2)
+    found = mining.validate_patterns(train, split, min_test_support=2)
     test = defaultdict(set)
     for r in split.filter("dataset = 'test'").collect():
         test[r.customer_id].add(r.product_id)
     want = set()
-    for r in train.orderBy(*mining.pair_order()).limit(10).collect():
+    for r in train.collect():
         n = sum(r.item1 in items and r.item2 in items for items in test.values())
         if n >= 2:
             want.add((r.item1, r.item2, r.support, n, r.support + n))

@@ -3,9 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registry
 from cobasket.operators import baskets as bk, enrich, mining, search, summary
-from cobasket.plans import staging
+from cobasket.plans import catalog, staging
 
 BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 
@@ -23,14 +22,13 @@ def large(spark):
     spark.conf.set(BROADCAST, before)
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_no_query_compares_all_rows_with_all(large, small, name):
-    plan = plan_of(registry.queries()[name](large, small))
+    plan = plan_of(catalog.queries()[name](large, small))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # A broadcast that the threshold does not choose must be one of the bounded ones.
     if "BroadcastHashJoin" in plan:
-        assert name in {"ranked_patterns", "enriched_patterns", "validate_patterns", "top_validated", "mining_stats",
-                        "enriched_validated"}
+        assert name in {"ranked_patterns", "enriched_patterns", "patterns_nested", "similar_items"}  # of a global rank
     assert "Python" not in plan
 
 
@@ -62,9 +60,9 @@ def test_category_analysis_shuffles_edges_once(large, small):
     assert plan.count("Exchange hashpartitioning") == 3  # both sides of the join, and the sums per category
 
 
-def test_validation_does_not_shuffle_for_its_join(large, small):
+def test_validation_forces_no_broadcast(large, small):
     plan = plan_of(mining.validate_patterns(staging.train_pairs(large, small), staging.split(large, small)))
-    assert "BroadcastHashJoin" in plan
+    assert "Broadcast" not in plan
 
 
 def test_text_is_parsed_without_a_shuffle(large, small):

@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from cobasket.plans import catalog, oracles
 from tools.check import rows_of
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,7 @@ def database(small):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= registry.queries().keys() and ORACLES.keys() <= registry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
