@@ -32,6 +32,7 @@ END = b"\r\n\r\n"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"  # pages carry no date
 SEPARATOR = END + VERSION
+START = SEPARATOR[:-2]
 
 
 def payloads(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -55,9 +56,10 @@ def chunks(payload: bytes, size: int = CHUNK) -> Iterator[memoryview]:
     view, at, n = memoryview(payload), 0, len(payload)
     while True:
         end = min(at + size, n)
-        look = payload.find(SEPARATOR, at, end + len(SEPARATOR) - 1)
+        # What stands before a chunk ends like a record, so a start may also lie across the chunk's beginning.
+        look = (END + payload[at:end]).find(START)
         if look >= 0:
-            end = min(end, look + len(END) + 2)
+            end = at + look + 2
         while end < n and end > at + 1 and payload[end] & 0xC0 == 0x80:
             end -= 1
         yield view[at:end]
@@ -112,7 +114,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
     Of rows with equal payloads of ``min_shared`` bytes or more, the one with the smallest id is a response and the
     others revisit it. Null payloads are empty; repeated rows give repeated records; rows without an id give
-    records without one and, among equal payloads, revisit one that has an id. An empty table gives no record.
+    responses without one. An empty table gives no record.
     """
     rows = payloads(pages, id_col, url_col, payload_col)
     marked = rows.join(revisits(rows, min_shared), ["page_id", "digest"], "left").select(
