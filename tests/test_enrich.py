@@ -61,12 +61,12 @@ def test_nested_pattern(patterns):
 
 
 def test_json_round_trip(spark, patterns, tmp_path):
-    files.write_patterns(patterns, str(tmp_path))
+    files.write_patterns(patterns, str(tmp_path), "pairs")
     back = files.read_patterns(spark, str(tmp_path))
     assert back.schema.simpleString() == spark.createDataFrame([], PATTERN).schema.simpleString()
     assert tuples(back) == tuples(patterns)
     metadata = files.read_metadata(spark, str(tmp_path)).collect()
-    assert [(m.total_patterns, m.algorithm) for m in metadata] == [(3, "FP-Growth (Spark MLlib)")]
+    assert [(m.total_patterns, m.algorithm) for m in metadata] == [(3, "pairs")]
     assert len(metadata[0].generated_at) == 19
 
 
