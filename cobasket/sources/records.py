@@ -1,19 +1,19 @@
 """Product records in block-structured text.
 
     Id:   1
-    ASIN: 0000000001
-      title: First Book: A Sample
-      group: Book
-      salesrank: 396585
-      similar: 2  0000000002  0000000003
+    ASIN: K100000001
+      title: Knots: A Handbook
+      group: Garden
+      salesrank: 8041
+      similar: 2  K200000002  K300000003
       categories: 1
-       |Books[283155]|History[22]
-      reviews: total: 1  downloaded: 1  avg rating: 5
-        2000-7-28  cutomer: C1  rating: 5  votes: 10  helpful: 9
+       |Tools[51]|Sailing[7]
+      reviews: total: 1  downloaded: 1  avg rating: 3
+        2011-3-5  cutomer: K71  rating: 3  votes: 14  helpful: 2
 
 A blank line ends a record. Spark splits the file before each line that starts with ``Id:``, so a file of any size is
 read in parallel; each row is then cut at its blank lines, which leaves one block per record. Fields are read from a
-block's text by regular expressions, which Spark compiles once per task and runs in generated code.
+block's text by regular expressions, which Spark compiles once per task.
 """
 
 from __future__ import annotations

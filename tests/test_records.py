@@ -5,17 +5,17 @@ import pytest
 from cobasket.sources.records import read_records
 
 FULL = """Id:   1
-ASIN: 0000000001
-  title: First Book: A Sample
-  group: Book
-  salesrank: 396585
-  similar: 2  0000000002  0000000003
+ASIN: K100000001
+  title: Knots: A Handbook
+  group: Garden
+  salesrank: 8041
+  similar: 2  K200000002  K300000003
   categories: 2
-   |Books[283155]|Subjects[1000]|History[22]
-   |Books[283155]|Subjects[1000]|Travel[23]
-  reviews: total: 2  downloaded: 2  avg rating: 4.5
-    2000-7-28  cutomer: C1  rating: 5  votes:  10  helpful:   9
-    2003-12-14  cutomer: C2  rating: 4  votes:   6  helpful:   5
+   |Tools[51]|Ropes[520]|Sailing[7]
+   |Tools[51]|Ropes[520]|Climbing[8]
+  reviews: total: 2  downloaded: 2  avg rating: 3.5
+    2011-3-5  cutomer: K71  rating: 3  votes:   14  helpful:   2
+    2012-10-30  cutomer: K72  rating: 4  votes:   3  helpful:   1
 """
 
 
@@ -36,12 +36,20 @@ def block(*lines, id=1):
 
 def test_full_record(parse):
     assert parse(FULL) == [{
-        "id": 1, "asin": "0000000001", "title": "First Book: A Sample", "product_group": "Book", "salesrank": 396585,
-        "similar": ["0000000002", "0000000003"],
-        "categories": [["Books", "Subjects", "History"], ["Books", "Subjects", "Travel"]],
-        "total_reviews": 2, "downloaded_reviews": 2, "avg_rating": 4.5,
-        "reviews": [{"date": "2000-7-28", "customer": "C1", "rating": 5, "votes": 10, "helpful": 9},
-                    {"date": "2003-12-14", "customer": "C2", "rating": 4, "votes": 6, "helpful": 5}]}]
+        "id": 1, "asin": "K100000001", "title": "Knots: A Handbook", "product_group": "Garden", "salesrank": 8041,
+        "similar": ["K200000002", "K300000003"],
+        "categories": [["Tools", "Ropes", "Sailing"], ["Tools", "Ropes", "Climbing"]],
+        "total_reviews": 2, "downloaded_reviews": 2, "avg_rating": 3.5,
+        "reviews": [{"date": "2011-3-5", "customer": "K71", "rating": 3, "votes": 14, "helpful": 2},
+                    {"date": "2012-10-30", "customer": "K72", "rating": 4, "votes": 3, "helpful": 1}]}]
+
+
+def test_numbers_of_any_length(parse):
+    """A number beyond the type is null; its review stays."""
+    found = parse(block("  reviews: total: 2  downloaded: 2  avg rating: 4",
+                        "    2001-1-1  cutomer: A  rating: 5  votes: 2147483647  helpful: 0",
+                        "    2001-1-2  cutomer: B  rating: 5  votes: 12345678901  helpful: 1"))[0]["reviews"]
+    assert [(r["customer"], r["votes"], r["helpful"]) for r in found] == [("A", 2147483647, 0), ("B", None, 1)]
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
@@ -49,8 +57,8 @@ def test_records_are_split_at_blank_lines(parse, newline):
     text = "# Full information\nTotal items: 3\n\n" + FULL + "\n\n  \nId:   2\nASIN: 2\n  discontinued product\n\nId: 3\nASIN: 3"
     found = parse(text.replace("\n", newline))
     assert [r["id"] for r in found] == [1, 2, 3]
-    assert found[0] == parse(FULL)[0] or found[0]["asin"] == "0000000001"
-    assert len(found[0]["reviews"]) == 2 and found[0]["categories"][1][-1] == "Travel"
+    assert found[0] == parse(FULL)[0] or found[0]["asin"] == "K100000001"
+    assert len(found[0]["reviews"]) == 2 and found[0]["categories"][1][-1] == "Climbing"
 
 
 def test_bare_record(parse):
