@@ -44,7 +44,13 @@ def item_rows(baskets: DataFrame, basket: str = "customer_id") -> DataFrame:
     return baskets.select(basket, item.alias("item"))
 
 
-def frequent_items(baskets: DataFrame, min_count: int, basket: str = "customer_id") -> DataFrame:
+def count_of_share(baskets: DataFrame, min_support: float, basket: str = "customer_id") -> Column:
+    """The number of baskets that reaches a relative support, as a scalar subquery: a threshold that grows with the data
+    and needs no action of its own."""
+    return F.greatest(F.lit(1), F.ceil(F.lit(float(min_support)) * basket_count(baskets, basket)))
+
+
+def frequent_items(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id") -> DataFrame:
     return (item_rows(baskets, basket).groupBy("item").agg(F.count("*").alias("support"))
             .filter(F.col("support") >= min_count))
 
@@ -68,7 +74,7 @@ def pair_rows(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK)
         .select(basket, "item1", F.col("_second.item").alias("item2"))
 
 
-def frequent_pairs(baskets: DataFrame, min_count: int, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
+def frequent_pairs(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
     """Item pairs in at least ``min_count`` baskets: item1 < item2, support.
 
     Infrequent items are taken out first, as no frequent pair holds one. Pairs are counted in the tasks that make them
@@ -80,6 +86,25 @@ def frequent_pairs(baskets: DataFrame, min_count: int, basket: str = "customer_i
             .filter(F.col("support") >= min_count))
 
 
+def frequent_triples(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id",
+                     block: int = BLOCK) -> DataFrame:
+    """Triples in at least ``min_count`` baskets: item1 < item2 < item3, support, grown from frequent pairs.
+
+    Two frequent pairs of a basket with the same first item make a triple when their second items are a frequent pair
+    too. For baskets that are small by nature; no list of items is kept on the driver.
+    """
+    rows = item_rows(baskets, basket)
+    pairs = frequent_pairs(baskets, min_count, basket, block).select("item1", "item2")
+    own = pair_rows(rows.join(frequent_items(baskets, min_count, basket).select("item"), "item", "left_semi"), basket,
+                    block).join(pairs, ["item1", "item2"], "left_semi")
+    thirds = own.select(basket, "item1", F.col("item2").alias("item3"))
+    grown = own.join(thirds, [basket, "item1"]).filter(F.col("item2") < F.col("item3"))
+    whole = grown.join(pairs.select(F.col("item1").alias("item2"), F.col("item2").alias("item3")), ["item2", "item3"],
+                       "left_semi")
+    return (whole.groupBy("item1", "item2", "item3").agg(F.count("*").alias("support"))
+            .filter(F.col("support") >= min_count))
+
+
 def frequent_itemsets(baskets: DataFrame, min_count: int, n_baskets: int | None = None,
                       num_partitions: int | None = None) -> DataFrame:
     """Itemsets of any size in at least ``min_count`` baskets, by FP-Growth: items (sorted), support.

@@ -477,6 +477,31 @@ def pair_rules(spark, sf):
         .orderBy(*mi.rule_order())
 
 
+# Sets of brands and sizes of an order, by their share of the orders.
+
+@query
+def attribute_items(spark, sf):
+    return mi.frequent_items(staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf), "order_id")
+
+
+@query
+def attribute_pairs(spark, sf):
+    return mi.frequent_pairs(staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf), "order_id")
+
+
+@query
+def attribute_triples(spark, sf):
+    return mi.frequent_triples(staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf), "order_id")
+
+
+@query
+def attribute_rules(spark, sf):
+    rows, threshold = staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf)
+    rules = mi.pair_rules(mi.frequent_pairs(rows, threshold, "order_id"), mi.frequent_items(rows, threshold, "order_id"),
+                          mi.basket_count(rows, "order_id"))
+    return rules.select("antecedent", "consequent", rounded("confidence"), rounded("lift"), rounded("support"))
+
+
 def _ranked(spark: SparkSession, sf: str, top: int | None = None, with_rules: bool = False) -> DataFrame:
     found = staging.customer_baskets(spark, sf)
     items = mi.frequent_items(found, CUSTOMER_MIN) if with_rules else None

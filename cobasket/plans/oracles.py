@@ -36,6 +36,21 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
         GROUP BY 1, 2 HAVING count(*) >= {st.ORDER_MIN}"""),
+    "attribute_rows": ([], """
+        SELECT order_id, item FROM (
+            SELECT l_orderkey AS order_id, p_brand AS item FROM lineitem JOIN part ON p_partkey = l_partkey
+            UNION SELECT l_orderkey, 'Size ' || p_size FROM lineitem JOIN part ON p_partkey = l_partkey)
+        QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
+    "attribute_min": (["attribute_rows"], f"""
+        SELECT count(DISTINCT order_id) AS n,
+               greatest(1, ceil({st.ATTRIBUTE_SHARE} * count(DISTINCT order_id))) AS least FROM attribute_rows"""),
+    "attribute_items": (["attribute_rows", "attribute_min"], """
+        SELECT item, count(*) AS support FROM attribute_rows GROUP BY 1
+        HAVING count(*) >= (SELECT least FROM attribute_min)"""),
+    "attribute_pairs": (["attribute_rows", "attribute_min"], """
+        SELECT x.item AS item1, y.item AS item2, count(*) AS support
+        FROM attribute_rows x JOIN attribute_rows y ON x.order_id = y.order_id AND x.item < y.item
+        GROUP BY 1, 2 HAVING count(*) >= (SELECT least FROM attribute_min)"""),
     "alike": (["order_pairs"], "SELECT item1 AS src, item2 AS dst FROM order_pairs"),
     "customers": (["reviews"], "SELECT DISTINCT customer_id FROM reviews"),
     "categories": (["belongs_to"], "SELECT DISTINCT category AS name FROM belongs_to"),
@@ -416,6 +431,20 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         SELECT item1 || ',' || item2 AS products, train_support, test_support, total_support,
                (SELECT count(*) FROM validated) AS num_patterns,
                (SELECT count(*) FROM split WHERE dataset = 'train') AS train_reviews FROM validated"""),
+    "attribute_items": (["attribute_items"], "SELECT * FROM attribute_items"),
+    "attribute_pairs": (["attribute_pairs"], "SELECT * FROM attribute_pairs"),
+    "attribute_triples": (["attribute_rows", "attribute_min"], """
+        SELECT x.item AS item1, y.item AS item2, z.item AS item3, count(*) AS support
+        FROM attribute_rows x JOIN attribute_rows y ON x.order_id = y.order_id AND x.item < y.item
+        JOIN attribute_rows z ON z.order_id = y.order_id AND y.item < z.item
+        GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT least FROM attribute_min)"""),
+    "attribute_rules": (["attribute_pairs", "attribute_items", "attribute_min"], """
+        SELECT antecedent, consequent, round(f / a.support, 6) AS confidence,
+               round((f / a.support) / (b.support / n), 6) AS lift, round(f / n, 6) AS support
+        FROM (SELECT item1 AS antecedent, item2 AS consequent, support AS f FROM attribute_pairs
+              UNION ALL SELECT item2, item1, support FROM attribute_pairs)
+        JOIN attribute_items a ON a.item = antecedent JOIN attribute_items b ON b.item = consequent, attribute_min
+        WHERE f / a.support >= 0.1"""),
     "validate_patterns": (["validated"], "SELECT * FROM validated"),
     "top_validated": (["validated"], "SELECT * FROM validated ORDER BY total_support DESC, item1, item2 LIMIT 10"),
     "mining_stats": (["split", "validated"], """

@@ -23,6 +23,7 @@ from cobasket.sources.records import read_records
 MAX_ITEMS = 20  # items per basket, where the limit itself is shown
 CUSTOMER_MIN = 4  # baskets of customers that a pair must be in
 ORDER_MIN = 2  # baskets of orders that an itemset must be in
+ATTRIBUTE_SHARE = 0.002  # share of orders that a set of brands and sizes must be in
 TRAIN_MIN = 2  # training baskets that a pair must be in
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -147,6 +148,15 @@ def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
                   lambda: bk.baskets(views.order_lines(spark, sf_dir), basket="order_id"))
 
 
+def attribute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "attribute_rows",
+                  lambda: bk.basket_rows(views.order_attributes(spark, sf_dir), "order_id"))
+
+
+def attribute_threshold(spark: SparkSession, sf_dir: str):
+    return mining.count_of_share(attribute_rows(spark, sf_dir), ATTRIBUTE_SHARE, "order_id")
+
+
 def customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer_pairs",
                   lambda: mining.frequent_pairs(customer_baskets(spark, sf_dir), CUSTOMER_MIN))

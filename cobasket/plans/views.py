@@ -56,6 +56,15 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.col("l_partkey").alias("product_id"))
 
 
+def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands and sizes of the parts of each order, as items: few kinds, so real patterns at every scale."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.array(
+        "p_brand", F.concat(F.lit("Size "), F.col("p_size").cast("string"))).alias("items"))
+    return (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            .select(F.col("l_orderkey").alias("order_id"), F.explode("items").alias("product_id")))
+
+
 def similar(order_baskets: DataFrame) -> DataFrame:
     pairs = frequent_pairs(order_baskets, SIMILAR_ORDERS, "order_id")
     return pairs.select(F.col("item1").alias("src"), F.col("item2").alias("dst"))

@@ -154,6 +154,20 @@ def test_itemsets_by_both_ways(reviews, rows):
     assert tuples(mining.itemsets_of_size(itemsets, 1)) == tuples(mining.frequent_items(baskets, 4))
 
 
+def test_triples_by_both_ways(reviews):
+    baskets = bk.baskets(reviews, 6)
+    rows = baskets.select("customer_id", F.explode("items").alias("product_id"))
+    want = tuples(mining.itemsets_of_size(mining.frequent_itemsets(baskets, 4), 3))
+    assert tuples(mining.frequent_triples(rows, 4)) == want and len(want) > 10
+
+
+def test_share_of_baskets_as_threshold(spark):
+    rows = spark.createDataFrame([(c, p) for c in range(10) for p in ("a", "b", "c")[:2 + (c < 3)]],
+                                 "customer_id int, product_id string")
+    found = {share: tuples(mining.frequent_items(rows, mining.count_of_share(rows, share))) for share in (0.0, 0.3, 0.31)}
+    assert found[0.0] == found[0.3] == [("a", 10), ("b", 10), ("c", 3)] and found[0.31] == [("a", 10), ("b", 10)]
+
+
 def test_rules_are_those_of_the_library(reviews):
     baskets = bk.baskets(reviews, 6).persist()
     n = baskets.count()
