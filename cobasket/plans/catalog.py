@@ -130,14 +130,20 @@ def clean_products(spark, sf):
     return cl.clean_products(staging.normalized(spark, sf).products)
 
 
+def _doubtful(nodes: DataFrame, key: str) -> DataFrame:
+    """Nodes twice, and once more each with an empty key and with none."""
+    empty = [nodes.select(F.lit(value).cast("string").alias(key)) for value in ("", None)]
+    return nodes.unionByName(nodes).unionByName(empty[0]).unionByName(empty[1])
+
+
 @query
 def clean_customers(spark, sf):
-    return cl.clean_keys(staging.normalized(spark, sf).customers, "customer_id")
+    return cl.clean_keys(_doubtful(staging.normalized(spark, sf).customers, "customer_id"), "customer_id")
 
 
 @query
 def clean_categories(spark, sf):
-    return cl.clean_keys(staging.normalized(spark, sf).categories, "name")
+    return cl.clean_keys(_doubtful(staging.normalized(spark, sf).categories, "name"), "name")
 
 
 @query
@@ -206,8 +212,12 @@ def merge_categories(spark, sf):
 
 @query
 def resolve_belongs_to(spark, sf):
-    return ld.resolve_belongs_to(staging.belongs_to(spark, sf), staging.products(spark, sf),
-                                 staging.categories(spark, sf))
+    """All edges, and for each one more of a product, or to a category, that there isn't."""
+    edges = staging.belongs_to(spark, sf)
+    odd = F.col("product_id") % 2 == 1
+    strays = edges.select(F.when(odd, -F.col("product_id") - 1).otherwise(F.col("product_id")).alias("product_id"),
+                          F.when(odd, F.col("category")).otherwise(F.concat(F.lit("no "), "category")).alias("category"))
+    return ld.resolve_belongs_to(edges.unionByName(strays), staging.products(spark, sf), staging.categories(spark, sf))
 
 
 @query
@@ -248,6 +258,20 @@ def compare_snapshots(spark, sf):
     return ld.compare_snapshots(before, staging.cleaned(spark, sf))
 
 
+@query
+def compare_changed_copy(spark, sf):
+    """A graph and a copy with as many rows: one title changed, similar links turned around, an empty text for a null."""
+    graph = staging.graph(spark, sf)
+    title = F.when(F.col("asin") == 1, F.lit("changed")).otherwise(F.col("title"))
+    dates = F.when(F.col("votes") != 1, F.col("date"))
+    emptied = graph.reviewed.withColumn("date", dates)
+    copy = Graph(graph.products.withColumn("title", title), graph.customers, graph.categories, graph.belongs_to,
+                 graph.similar.select(F.col("dst").alias("src"), F.col("src").alias("dst")),
+                 emptied.withColumn("date", F.coalesce("date", F.lit(""))))
+    graph = Graph(graph.products, graph.customers, graph.categories, graph.belongs_to, graph.similar, emptied)
+    return ld.compare_snapshots(graph, copy)
+
+
 # ---- scans
 
 @query

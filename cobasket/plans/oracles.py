@@ -290,6 +290,15 @@ ORACLES: dict[str, tuple[list[str], str]] = {
             UNION ALL SELECT 'BELONGS_TO', (SELECT count(*) FROM n_belongs_to), (SELECT count(*) FROM c_belongs_to)
             UNION ALL SELECT 'SIMILAR', (SELECT count(*) FROM n_similar), (SELECT count(*) FROM c_similar)
             UNION ALL SELECT 'REVIEWED', (SELECT count(*) FROM n_reviewed), (SELECT count(*) FROM n_reviewed))"""),
+    "compare_changed_copy": (["products", "customers", "categories", "belongs_to", "alike", "reviews"], """
+        SELECT label, n AS n_left, n AS n_right, true AS same_count,
+               label IN ('Customer', 'Category', 'BELONGS_TO') OR n = 0 AS same_rows FROM (
+            SELECT 'Product' AS label, count(*) AS n FROM products
+            UNION ALL SELECT 'Customer', count(*) FROM customers
+            UNION ALL SELECT 'Category', count(*) FROM categories
+            UNION ALL SELECT 'BELONGS_TO', count(*) FROM belongs_to
+            UNION ALL SELECT 'SIMILAR', count(*) FROM alike
+            UNION ALL SELECT 'REVIEWED', count(*) FROM reviews)"""),
     "load_relationships": (["alike", "products"], """
         SELECT a.asin AS source_asin, a.title AS source_title, a.product_group AS source_product_group,
                a.salesrank AS source_salesrank, a.avg_rating AS source_avg_rating,
