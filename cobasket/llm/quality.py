@@ -95,8 +95,8 @@ class GatedAttention:
         return h, t, s, a, z, sizes, _sigmoid(z @ p["w"] + p["c"])
 
     def score(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Scores of bags: rows of ``x`` from each start to the next."""
-        return self._forward((x - self.mean) / self.scale, starts)[-1]
+        """Scores of bags: rows of ``x`` from each start to the next, rounded past what the order of sums may change."""
+        return np.round(self._forward((x - self.mean) / self.scale, starts)[-1], 10)
 
     def fit(self, x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> GatedAttention:
         """Full-batch Adam on the log loss with a small penalty."""

@@ -237,6 +237,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
                                [model.features(t.as_py() or b"").tobytes() for t in batch.column("text")])
 
     found = rows.select("text", "label").mapInArrow(measured, "label int, features binary").collect()
+    if not found:
+        return model
     found.sort(key=lambda row: (row[0], bytes(row[1])))
     x, y = np.array([np.frombuffer(r[1]) for r in found]), np.array([r[0] for r in found], float)
     w = model.weights.copy()
