@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from cobasket.llm.common import blocks, id_and_text, record_batch
 from cobasket.llm.transducer import MergeAutomaton, Merges, Transducer
 
-MEMO = 300_000  # words that a task remembers
+MEMO = 350_000  # pieces in a generation of what a worker remembers
 CELLS = 4 << 20  # (words x bytes) encoded side by side
 LATIN_END = "\u0250"
 FINAL = 256  # added to the symbol of a word's last byte
@@ -146,18 +146,41 @@ class Codec:
 
 
 class Memo:
-    """Encodes texts piece by piece between ASCII white space, which no token spans; remembers ``limit`` pieces."""
+    """Encodes texts piece by piece between ASCII white space, which no token spans, and remembers pieces in two
+    generations of ``limit`` each: when the younger is full, the older is forgotten, but for what was used since.
+
+    Pieces that differ in the case of ASCII letters share an entry, and a mark that ends a word has one of its own:
+    the tokenizer lowers case, and parts a mark from a letter or digit before it.
+    """
+
+    MARK = re.compile(rb"(?<=[a-z0-9])(?=[.,](?:\s|$))")
 
     def __init__(self, encode: Callable[[list[bytes]], list[bytes]], limit: int = MEMO):
-        self.encode, self.limit, self.known = encode, limit, {}
+        self.encode, self.limit = encode, limit
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def encode_texts(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+    def split(self, text: bytes) -> list[bytes]:
+        if b"<|" not in text:  # the names of special tokens have a case
+            text = text.lower()
+        return self.MARK.sub(b" ", text).split()
+
+    def learn(self, split: list[list[bytes]]) -> None:
         need = set().union(*split)
-        if len(self.known) + len(need) > self.limit:
-            self.known = {p: self.known[p] for p in need if p in self.known}
-        new = [p for p in need if p not in self.known]
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}
+        new = []
+        for piece in need - self.known.keys():
+            ids = self.older.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
         self.known.update(zip(new, self.encode(new)))
+
+    def encode_texts(self, texts: list[bytes]) -> list[bytes]:
+        split = [self.split(t) for t in texts]
+        self.learn(split)
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
 
 
