@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from cobasket.llm.common import blocks, id_and_text, record_batch
 from cobasket.llm.transducer import MergeAutomaton, Merges, Transducer
 
-MEMO = 350_000  # pieces in a generation of what a worker remembers
+MEMO = 300_000  # pieces in a generation of what a worker remembers
 CELLS = 4 << 20  # (words x bytes) encoded side by side
 LATIN_END = "\u0250"
 FINAL = 256  # added to the symbol of a word's last byte
@@ -149,11 +149,11 @@ class Memo:
     """Encodes texts piece by piece between ASCII white space, which no token spans, and remembers pieces in two
     generations of ``limit`` each: when the younger is full, the older is forgotten, but for what was used since.
 
-    Pieces that differ in the case of ASCII letters share an entry, and a mark that ends a word has one of its own:
-    the tokenizer lowers case, and parts a mark from a letter or digit before it.
+    Pieces that differ in the case of ASCII letters share an entry, and the ASCII marks that end a word have one of
+    their own: the tokenizer lowers case, and parts marks from an ASCII or Latin-1 letter or a digit before them.
     """
 
-    MARK = re.compile(rb"(?<=[a-z0-9])(?=[.,](?:\s|$))")
+    MARK = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-/:-@\[-`{-~]+(?:\s|$))")
 
     def __init__(self, encode: Callable[[list[bytes]], list[bytes]], limit: int = MEMO):
         self.encode, self.limit = encode, limit
@@ -161,9 +161,9 @@ class Memo:
         self.older: dict[bytes, bytes] = {}
 
     def split(self, text: bytes) -> list[bytes]:
-        if b"<|" not in text:  # the names of special tokens have a case
-            text = text.lower()
-        return self.MARK.sub(b" ", text).split()
+        if b"<|" in text:  # special tokens have a case, and marks
+            return text.split()
+        return self.MARK.sub(b" ", text.lower()).split()
 
     def learn(self, split: list[list[bytes]]) -> None:
         need = set().union(*split)

@@ -31,7 +31,7 @@ def words():
 def random_texts(n, seed=1):
     rng = random.Random(seed)
     parts = ["the", "ing", " ", "  ", "a", "aa", "é", "ß", "漢", "🙂", "'s", "3", "%%", "\n", "\t", "▁", "<|endoftext|>", "ch",
-             "tion", "ción", "Th", "x", " ", "​", "Σ"]
+             "tion", "ción", "Th", "x", "!?", "ó", "É", "×", "÷", ".,", "'", "'S", "_", "<|", "|>", "&&&", " ", "​", "Σ"]
     return ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(n)]
 
 
