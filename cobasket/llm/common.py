@@ -59,6 +59,26 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def about(rows: DataFrame, n: int, total: int, key: str = "id") -> DataFrame:
+    """About ``n`` of ``total`` rows, the same ones every time: those whose key has a small hash. Nothing is sorted, and
+    no task passes on more than its share."""
+    if total <= n:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(n / total * (1 << 30)))
+
+
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """Rows with the largest ``n``, ``limit`` at most: all from the smallest count on that keeps to the limit, by classes
+    of counts that are a twelfth of a doubling wide. Only the size of each class reaches the driver."""
+    level = F.floor(F.log2(F.col("n")) * 12).cast("int")
+    left, least = limit, None
+    for at, size in counts.filter("n > 0").groupBy(level.alias("at")).agg(F.count("*")).orderBy(F.desc("at")).collect():
+        if size > left:
+            break
+        left, least = left - size, at
+    return counts.filter((F.col("n") > 0) & (level >= least)) if least is not None else counts.filter("false")
+
+
 def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """Keys and texts of consecutive rows, about ``limit`` bytes of text at a time, a row at least."""
     for batch in batches:

@@ -5,8 +5,8 @@ words; a gated attention net, learned from the labels of whole documents, gives
 logistic layer scores the weighted sum. So a label is never copied to passages, and a long document is judged by the
 passages that matter.
 
-The model is fitted on the driver to at most :data:`FIT_DOCS` labelled rows of at most :data:`FIT_BYTES` bytes each, the
-ones with the smallest hash of their key; scoring reads every text whole, in one pass without a shuffle.
+The model is fitted on the driver to about :data:`FIT_DOCS` labelled rows of at most :data:`FIT_BYTES` bytes each, chosen
+by the hash of their key; scoring reads every text whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import blocks, crc_mod, id_and_text, record_batch
+from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch
 
 PASSAGE = 64  # words
 FIT_DOCS = 3000
@@ -127,8 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     """A model from rows outside the held-out fold; None without any labelled row of each kind."""
     key = F.col(id_col)
     chosen = (labels.filter(F.col(label_col).isNotNull() & key.isNotNull() & (crc_mod(id_col, FOLDS) != HELD_OUT))
-              .select(key.cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
-              .orderBy(F.xxhash64("id"), "id", "label").limit(fit_docs))
+              .select(key.cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).distinct())
+    chosen = about(chosen, fit_docs, chosen.count())
     rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")) \
         .filter(F.octet_length("text") <= fit_bytes)
     schema = pa.schema([("label", pa.int32()), ("features", pa.binary())])
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
             yield record_batch(schema, batch.column("label"),
                                [passages(t.as_py() or b"").tobytes() for t in batch.column("text")])
 
-    found = rows.join(F.broadcast(chosen), "id").select("id", "label", "text")  # fit_docs rows of two numbers
+    found = rows.join(F.broadcast(chosen), "id").select("id", "label", "text")  # about fit_docs rows of two numbers
     bags = found.select("label", "text").mapInArrow(mapped, "label int, features binary").collect()
     bags.sort(key=lambda row: (row[0], bytes(row[1])))  # the same model whatever order the rows came in
     y = np.array([row[0] for row in bags], float)

@@ -7,7 +7,7 @@ restored words are then looked up among word stems that labelled documents show
 a document's strongest evidence into a score.
 
 Trigram counts are summed by Spark over all training texts (27 letters, so a table of fixed size). Stems are learned
-from at most :data:`FIT_DOCS` labelled rows, and at most :data:`MAX_STEMS` of them make the model.
+from about :data:`FIT_DOCS` labelled rows, and at most :data:`MAX_STEMS` of them make the model.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import blocks, crc_mod, id_and_text, record_batch
+from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch
 
 FIT_DOCS = 20_000
 MAX_STEMS = 4000
@@ -199,10 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     channel = Channel(channel_counts(docs, id_col, text_col))
     key = F.col(id_col)
     chosen = (labels.filter(F.col(label_col).isNotNull() & key.isNotNull() & (crc_mod(id_col, FOLDS) != HELD_OUT))
-              .select(key.cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
-              .orderBy(F.xxhash64("id"), "id", "label").limit(fit_docs))
+              .select(key.cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).distinct())
+    chosen = about(chosen, fit_docs, chosen.count())
     rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")) \
-        .join(F.broadcast(chosen), "id")  # fit_docs rows of two numbers
+        .join(F.broadcast(chosen), "id")  # about fit_docs rows of two numbers
     schema = pa.schema([("stem", pa.string()), ("label", pa.int32()), ("n", pa.int64())])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

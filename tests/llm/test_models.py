@@ -168,3 +168,16 @@ def test_language_model(spark):
 
 def test_language_model_of_nothing(spark, none):
     assert attention_lm.score(none, WORDS).count() == 0
+
+
+def test_bounded_choices(spark):
+    from pyspark.sql import functions as F
+
+    from cobasket.llm.common import about, most_frequent
+
+    rows = spark.range(20_000)
+    assert 850 < about(rows, 1000, 20_000).count() < 1150 and about(rows, 30_000, 20_000).count() == 20_000
+    counts = rows.select("id", (F.lit(100_000) / (F.col("id") + 1)).cast("long").alias("n"))
+    top = {r.id for r in most_frequent(counts, 500).collect()}
+    assert 400 < len(top) <= 500 and top == set(range(len(top)))
+    assert most_frequent(counts, 0).count() == 0 and most_frequent(counts, 50_000).count() == 20_000
