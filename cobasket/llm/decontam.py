@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.common import written
+from cobasket.llm.common import free, without, written
 
 N = 10
 BROADCAST_GRAMS = 500_000  # n-grams that are broadcast at most (some 100 MB); beyond, the lookup is a shuffled join
@@ -132,19 +132,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs`` without any hit, with all their columns. Rows without an id stay."""
     found = contamination(docs, benchmark, id_col=id_col, **settings).filter("contaminated")
-    gone = found.select(F.col(id_col).alias("_gone")).filter("_gone is not null")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without(docs, found, id_col)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  **settings) -> DataFrame:
     """``docs`` with the hit words, and what separates them from the next word, taken out of the text."""
     found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **settings).filter("contaminated")
-    joined = docs.join(found.select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")),
-                       F.col(id_col) == F.col("_id"), "left")
+    own, spans = free(docs, "_id"), free(docs, "_spans")
+    joined = docs.join(found.select(F.col(id_col).alias(own), F.col("spans").alias(spans)),
+                       F.col(id_col) == F.col(own), "left")
     parts = F.regexp_extract_all(F.col(text_col), F.lit(f"^{NO_WORD}+|{WORD}+{NO_WORD}*"), F.lit(0))
     lead = F.when(F.regexp_like(F.col(text_col), F.lit(f"^{NO_WORD}")), 1).otherwise(0)
     clean = F.array_join(F.filter(parts, lambda part, i: ~F.exists(
-        "_spans", lambda s: (i - lead >= s["at"]) & (i - lead < s["at"] + s["size"]))), "")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(clean)) \
-        .drop("_id", "_spans")
+        spans, lambda s: (i - lead >= s["at"]) & (i - lead < s["at"] + s["size"]))), "")
+    return joined.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(clean)) \
+        .drop(own, spans)

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.common import WORDS, record_batch, written
+from cobasket.llm.common import WORDS, free, record_batch, written
 
 SLOTS = 4  # fingerprints in a bucket
 KICKS = 64  # moves before the filter counts as full
@@ -245,12 +245,11 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
     found = written(exact_duplicates(docs, id_col, text_col), "duplicates")
     gone = found.filter(~F.col("kept"))
-    key = [F.col(id_col).cast("long").eqNullSafe(F.col("_id")), F.col("_sha") == F.sha2(
-        normalised(F.col(text_col)).cast("binary"), 256)]
+    own, sha = free(docs, "_id"), free(docs, "_sha")
+    body = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
+    key = [F.col(id_col).cast("long").eqNullSafe(F.col(own)), F.col(sha) == body]
     whole = gone.filter(~F.col("keep_id").eqNullSafe(F.col(id_col)))
-    out = docs.join(whole.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct(), key,
-                    "left_anti")
+    out = docs.join(whole.select(F.col(id_col).alias(own), F.col("text_sha256").alias(sha)).distinct(), key, "left_anti")
     if gone.filter(F.col("keep_id").eqNullSafe(F.col(id_col))).isEmpty():
         return out
-    named = out.withColumn("_sha", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))  # repeated ids: one row each
-    return named.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    return out.withColumn(sha, body).dropDuplicates([id_col, sha]).drop(sha)  # repeated ids: one row each

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch
+from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch, without
 
 PASSAGE = 64  # words
 FIT_DOCS = 3000
@@ -180,5 +180,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that aren't rejected, with all columns. Rows without an id stay."""
     rejected = judged(docs, labels, threshold, id_col=id_col, text_col=text_col).filter("predicted = 0")
-    gone = rejected.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    return without(docs, rejected, id_col)

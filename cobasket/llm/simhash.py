@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import blocks, id_and_text, record_batch, written
+from cobasket.llm.common import blocks, id_and_text, record_batch, without, written
 from cobasket.llm.components import connected_components
 
 BITS = 64
@@ -129,5 +129,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """One row of each component, the one with the smallest id, with all columns of ``docs``. Rows that repeat
     the id that stays all stay, and so do rows without an id."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone.distinct(), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    return without(docs, found.filter(F.col(id_col) != F.col("component_id")), id_col)

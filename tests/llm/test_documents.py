@@ -71,8 +71,9 @@ def test_repeated_rows_keep_one(spark):
     found = exact_dedup.exact_duplicates(rows).collect()
     assert sorted(str(r.doc_id) for r in found if r.kept) == ["1", "2"]
     assert {r.group_size for r in found if r.doc_id == 1} == {3}
-    left = exact_dedup.drop_duplicates(rows.select("doc_id", "text"))
-    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(1, "a"), (2, "b")]
+    left = exact_dedup.drop_duplicates(rows)
+    assert left.columns == rows.columns
+    assert sorted(tuple(r) for r in left.collect()) == [(1, "a", "p"), (2, "b", "s")]
 
 
 def test_index_changes(spark):
@@ -232,7 +233,8 @@ def test_contamination_of_nothing(spark, docs, none):
 def test_documents_and_spans_are_removed(spark):
     benchmark = spark.createDataFrame([(1, "secret answer is here")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "-- Well, the SECRET answer, is here! Bye.", 7), (2, "Nothing to see.", 8),
-                                  (3, None, 9), (None, "secret answer is here", 1)], "doc_id long, text string, spans int")
+                                  (3, None, 9), (None, "secret answer is here", 1)], "doc_id long, text string, _gone int") \
+        .withColumns({"_id": F.lit(1), "_spans": F.lit(2)})
     assert {r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()} == {2, 3, None}
     left = {r.doc_id: r.text for r in decontam.remove_spans(docs, benchmark).collect()}
     assert left[1] == "-- Well, the Bye." and left[2] == "Nothing to see." and left[3] is None
