@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from cobasket.llm.common import blocks, id_and_text, record_batch
 from cobasket.llm.transducer import MergeAutomaton, Merges, Transducer
 
-MEMO = 300_000  # pieces in a generation of what a worker remembers
-CELLS = 4 << 20  # (words x bytes) encoded side by side
+TOGETHER = 16_384  # new pieces encoded at a time
+MEMO = 250_000  # pieces in a generation of what a worker remembers
+CELLS = 1 << 20  # (words x bytes) encoded side by side
 LATIN_END = "\u0250"
 FINAL = 256  # added to the symbol of a word's last byte
 
@@ -176,7 +177,9 @@ class Memo:
                 new.append(piece)
             else:
                 self.known[piece] = ids
-        self.known.update(zip(new, self.encode(new)))
+        for at in range(0, len(new), TOGETHER):
+            part = new[at:at + TOGETHER]
+            self.known.update(zip(part, self.encode(part)))
 
     def encode_texts(self, texts: list[bytes]) -> list[bytes]:
         split = [self.split(t) for t in texts]

@@ -22,6 +22,7 @@ import numpy as np
 
 NEVER = 1 << 60
 SYMBOL_BITS = 21
+CACHED = 300_000  # entries of a cache
 
 
 class Merges:
@@ -148,7 +149,7 @@ class MergeAutomaton:
         key = (state, token)
         found = self._arcs.get(key)
         if found is None:
-            if len(self._arcs) > 2_000_000:  # a cache only
+            if len(self._arcs) > CACHED:  # a cache only
                 self._arcs.clear()
             found = self._arcs[key] = self.follows(self._of[state - 1], token)
         return found
@@ -161,7 +162,7 @@ class Transducer:
     Tables hold ``max_transitions`` at most; when full, they are emptied and filled anew from the states in use.
     """
 
-    def __init__(self, automaton: MergeAutomaton, unknown=None, max_transitions: int = 3_000_000):
+    def __init__(self, automaton: MergeAutomaton, unknown=None, max_transitions: int = 1_000_000):
         self.automaton, self.unknown, self.max_transitions = automaton, unknown, max_transitions
         self.trie: list[dict[int, int]] = [{}]
         self.ends: list[int] = [-1]
@@ -206,7 +207,7 @@ class Transducer:
                 shut = tuple(t for t in tokens if not self.automaton.arc(state, t))
                 found = 0 if not shut else -1 if len(shut) == len(tokens) else \
                     self._alike.setdefault((node, shut), state)
-            if len(self._narrowed) > 2_000_000:  # a cache only
+            if len(self._narrowed) > CACHED:  # a cache only
                 self._narrowed.clear()
             self._narrowed[key] = found
         return found
