@@ -178,6 +178,10 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **c
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't rejected, with all columns. Rows without an id stay."""
-    rejected = judged(docs, labels, threshold, id_col=id_col, text_col=text_col).filter("predicted = 0")
+    """The rows of ``docs`` that aren't rejected, with all columns. Rows without an id stay. Without a model, from no
+    label or labels of one kind outside the held-out fold, nothing is rejected."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col)
+    if model is None:
+        return docs
+    rejected = scores(docs, model, id_col, text_col).filter(F.col("score") < threshold)
     return without(docs, rejected, id_col)
