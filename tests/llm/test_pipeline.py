@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry():
     assert {"pipeline", *queries.queries()} <= registry.queries().keys()
-    assert len(queries.queries()) == 10 and queries.oracle_sql().keys() <= queries.queries().keys()
+    assert len(queries.queries()) == 13 and queries.oracle_sql().keys() <= queries.queries().keys()
     assert len(corpus_pipeline.STAGES) == 5
 
 
