@@ -66,13 +66,6 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
-def without(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id isn't among those of ``found``, with all columns. Rows without an id stay."""
-    gone = free(docs, "_gone")
-    ids = found.select(F.col(id_col).alias(gone)).filter(F.col(gone).isNotNull()).distinct()
-    return docs.join(ids, F.col(id_col) == F.col(gone), "left_anti")
-
-
 def about(rows: DataFrame, n: int, total: int, key: str = "id") -> DataFrame:
     """About ``n`` of ``total`` rows, the same ones every time: those whose key has a small hash. Nothing is sorted, and
     no task passes on more than its share."""

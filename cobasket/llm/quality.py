@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch, without
+from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch
 
 PASSAGE = 64  # words
 FIT_DOCS = 3000
@@ -149,6 +149,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return GatedAttention(FEATURES).fit(np.concatenate(x).astype(float), starts, y)
 
 
+def _scored(model: GatedAttention, texts: list[bytes]) -> np.ndarray:
+    bags = [passages(t) for t in texts]
+    return model.score(np.concatenate(bags), np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]]))
+
+
 SCORES = pa.schema([("id", pa.int64()), ("score", pa.float64())])
 
 
@@ -160,9 +165,7 @@ def scores(docs: DataFrame, model: GatedAttention | None, id_col: str = "doc_id"
             if model is None:
                 yield record_batch(SCORES, keys, [0.5] * len(keys))
                 continue
-            bags = [passages(t) for t in texts]
-            starts = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]])
-            yield record_batch(SCORES, keys, model.score(np.concatenate(bags), starts))
+            yield record_batch(SCORES, keys, _scored(model, texts))
 
     rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     return rows.mapInArrow(mapped, "id long, score double").withColumnRenamed("id", id_col)
@@ -178,10 +181,19 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **c
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't rejected, with all columns. Rows without an id stay. Without a model, from no
-    label or labels of one kind outside the held-out fold, nothing is rejected."""
+    """The rows of ``docs`` that aren't rejected, with all columns. Each row is judged by its own text, where it is read,
+    whatever its id. Without a model, from no label or labels of one kind outside the held-out fold, nothing is
+    rejected."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
     if model is None:
         return docs
-    rejected = scores(docs, model, id_col, text_col).filter(F.col("score") < threshold)
-    return without(docs, rejected, id_col)
+    at = docs.columns.index(text_col)
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.record_batch([pa.array(range(batch.num_rows)), batch.column(at).cast(pa.binary())],
+                                   names=["id", "text"])
+            kept = [scored >= threshold for _, texts in blocks(iter([rows]), BLOCK) for scored in _scored(model, texts)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(mapped, docs.schema)

@@ -18,9 +18,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.common import blocks, id_and_text, record_batch, without, written
+from cobasket.llm.common import blocks, free, record_batch, written
 from cobasket.llm.components import connected_components
 
 BITS = 64
@@ -54,19 +54,24 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(((1 << np.arange(BITS, dtype=np.uint64)) * (2 * sums > len(stops)).astype(np.uint64)).sum(dtype=np.uint64))
 
 
-PRINTS = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+PRINTS = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("fp", pa.int64())])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """id, fp (the fingerprint as a signed number) of every row. One pass over whole texts, no shuffle."""
+                 text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """id, row (a number of its own, unless given), fp (the fingerprint as a signed number) of every row. One pass over
+    whole texts, no shuffle."""
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in blocks(batches):
-            prints = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64)
-            yield record_batch(PRINTS, keys, prints)
+        for batch in batches:
+            begin = 0
+            for keys, texts in blocks(iter([batch])):
+                prints = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64)
+                yield record_batch(PRINTS, keys, batch.column("row").slice(begin, len(keys)), prints)
+                begin += len(keys)
 
-    return id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")).mapInArrow(
-        mapped, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+                       .alias("text"), (F.monotonically_increasing_id() if row is None else row).alias("row"))
+    return rows.mapInArrow(mapped, "id long, row long, fp long")
 
 
 def masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -105,6 +110,21 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
                       F.explode(F.slice("members", F.lit(2), F.size("members"))).alias("b")).distinct()
 
 
+def _components(docs: DataFrame, radius: int, shingle: int, seed: int, id_col: str, text_col: str,
+                row: Column | None = None) -> DataFrame:
+    """id, row, fp, component_id, keep_row (the row of the component that comes first by id)."""
+    prints = written(fingerprints(docs, shingle, seed, id_col, text_col, row), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("low")
+    distinct = written(prints.groupBy("fp").agg(first), "distinct-fingerprints")
+    roots = written(connected_components(links(distinct, radius)), "roots")
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    lowest = written(rooted.groupBy("root").agg(F.min("low").alias("least")), "lowest")
+    of = rooted.join(lowest, "root").select("fp", F.col("least.id").alias("component_id"),
+                                            F.col("least.row").alias("keep_row"))
+    return prints.join(of, "fp")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, fingerprint (16 hexadecimal digits), component_id: the smallest id reachable over links of
@@ -114,19 +134,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     A component whose rows have no id has none. An empty table gives no rows; other columns are not read. Copies are
     reduced to one fingerprint before anything is compared.
     """
-    prints = written(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("id").alias("low")), "distinct-fingerprints")
-    roots = written(connected_components(links(distinct, radius)), "roots")
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0"))
-                                        .alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """One row of each component, the one with the smallest id, with all columns of ``docs``. Rows that repeat
-    the id that stays all stay, and so do rows without an id."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
-    return without(docs, found.filter(F.col(id_col) != F.col("component_id")), id_col)
+    found = _components(docs, radius, shingle, seed, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """One row of each component, the first by id (rows without one last), with all columns of ``docs``. Rows are told
+    apart by their number in a stored copy: of rows that share an id, only those go that are copies."""
+    own = free(docs, "_row")
+    stored = written(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    found = _components(stored, radius, shingle, seed, id_col, text_col, F.col(own))
+    gone = found.filter(F.col("row") != F.col("keep_row")).select(F.col("row").alias(own))
+    return stored.join(gone, own, "left_anti").drop(own)

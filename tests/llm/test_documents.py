@@ -235,7 +235,7 @@ def test_documents_and_spans_are_removed(spark):
     docs = spark.createDataFrame([(1, "-- Well, the SECRET answer, is here! Bye.", 7), (2, "Nothing to see.", 8),
                                   (3, None, 9), (None, "secret answer is here", 1)], "doc_id long, text string, _gone int") \
         .withColumns({"_id": F.lit(1), "_spans": F.lit(2)})
-    assert {r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()} == {2, 3, None}
+    assert {r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()} == {2, 3}
     left = {r.doc_id: r.text for r in decontam.remove_spans(docs, benchmark).collect()}
     assert left[1] == "-- Well, the Bye." and left[2] == "Nothing to see." and left[3] is None
 
@@ -296,3 +296,48 @@ def test_damage_is_noticed():
     assert warc.parse_record(record)[-1] == b"hello"
     with pytest.raises(ValueError):
         warc.parse_record(record.replace(b"hello", b"hullo"))
+
+
+# ---- rows, not ids
+
+SHARED = [(3, "one two three four five six seven eight nine ten"), (5, "one two three four five six seven eight nine ten"),
+          (5, "something else entirely, in more words than the other one has"),
+          (None, "one two three four five six seven eight nine ten"), (None, "a lone text without any id"),
+          (7, "a lone text without any id but with one"), (7, "a lone text without any id but with one"), (8, None), (9, "")]
+
+
+def shared(spark):
+    rows = [(i, t, k, str(k), None) for k, (i, t) in enumerate(SHARED)]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_tokens long, id string, kept boolean")
+
+
+def test_near_copies_go_by_row(spark):
+    """Of equal texts the first by id stays, repeated rows and rows without an id included; a clean text that shares an id
+    with a copy stays as well."""
+    kept = simhash.keep_one(shared(spark))
+    assert kept.columns == shared(spark).columns and sorted(r.n_tokens for r in kept.collect()) == [0, 2, 4, 5, 7]
+    assert simhash.near_duplicates(shared(spark)).count() == len(SHARED)
+
+
+def test_contamination_goes_by_text(spark):
+    benchmark = spark.createDataFrame([(1, SHARED[0][1]), (None, SHARED[0][1]), (2, "a lone text")], "item_id int, text string")
+    docs = shared(spark)
+    found = decontam.contamination(docs, benchmark).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r["items"])) for r in found) == sorted(
+        (str(i), len(t.replace(",", " ").split()), *((10, ("1",)) if k in (0, 1, 3) else (3, ("2",)) if k in (4, 5, 6) else (0, ())))
+        for k, (i, t) in enumerate((i, t or "") for i, t in SHARED))
+    kept = decontam.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(r.n_tokens for r in kept.collect()) == [2, 7, 8]
+    cleaned = decontam.remove_spans(docs, benchmark)
+    assert cleaned.columns == docs.columns
+    assert {r.n_tokens: r.text for r in cleaned.collect()} == {
+        k: "" if k in (0, 1, 3) else t and t.replace("a lone text ", "") for k, (_, t) in enumerate(SHARED)}
+
+
+def test_an_item_of_many_holders_and_a_text_of_many_rows(spark):
+    """One n-gram in every item, and one contaminated text in a third of all rows: each row gets its own result."""
+    gram = " ".join(f"w{i}" for i in range(10))
+    benchmark = spark.createDataFrame([(i, gram) for i in range(300)], "item_id int, text string")
+    docs = spark.createDataFrame([(i, f"x {gram} y" if i % 3 == 0 else f"clean {i}") for i in range(300)], "doc_id long, text string")
+    found = decontam.contamination(docs, benchmark).collect()
+    assert len(found) == 300 and all((len(r["items"]), r.n_hit) == ((300, 10) if r.doc_id % 3 == 0 else (0, 0)) for r in found)

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from cobasket.llm import attention_lm, quality, toxicity
 from cobasket.llm.common import read
@@ -61,6 +62,16 @@ def test_quality_of_odd_rows(spark, docs, none):
     assert {r.score for r in quality.judged(docs, marks.filter("quality = 1")).collect()} == {0.5}
     kept = quality.keep_good(docs, marks)
     assert kept.columns == docs.columns
+    same = docs.withColumn("doc_id", F.lit(5).cast("long"))  # rows are judged by their own texts, whatever their ids
+    got = {r.doc_id: r.score for r in got}
+    want = sorted((t or "") for i, t in enumerate(TEXTS) if got[i] >= 0.7)
+    assert sorted(r.text or "" for r in quality.keep_good(docs, marks).collect()) == want
+    model = quality.fit(docs, marks)
+    quality_fit, quality.fit = quality.fit, lambda *a, **k: model
+    try:
+        assert sorted(r.text or "" for r in quality.keep_good(same, marks).collect()) == want
+    finally:
+        quality.fit = quality_fit
 
 
 # ---- toxicity
