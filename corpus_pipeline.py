@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.llm import bpe_codec, decontam, exact_dedup, near_copies, quality
+from cobasket.llm import bpe_codec, decontam, exact_dedup, quality, simhash
 from cobasket.llm.common import read, written
 from cobasket.llm.queries import WORDS
 
@@ -23,8 +23,9 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: at least 0.8 of the shingles of five words in common."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near copies: fingerprints of shingles of three words that differ in two bits or
+    fewer."""
+    return simhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
