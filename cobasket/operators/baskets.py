@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cobasket.functions.hashing import hash_text, percent_bucket, unit_hash
 from cobasket.functions.ranking import first_per_group
+from cobasket.session import stored
 
 # Shares and thresholds of the two mining jobs.
 TRAIN_PERCENT = 70
@@ -25,11 +26,12 @@ def _limited(reviews: DataFrame, max_items: int | None, basket: str, *order: str
 def basket_rows(reviews: DataFrame, basket: str = "customer_id") -> DataFrame:
     """One row per basket and distinct product, of baskets with two products or more.
 
-    Sizes are counted in the tasks before they are shuffled, and a basket of any size is split by the skew join.
+    Sizes are counted in the tasks before they are shuffled. They are stored before they are joined, so that both sides
+    of the join are plain shuffles and the skew join splits a basket that holds a third of all rows.
     """
     items = _limited(reviews, None, basket)
     larger = items.groupBy(basket).agg(F.count("*").alias("_n")).filter("_n >= 2").select(basket)
-    return items.join(larger, basket, "left_semi")
+    return items.join(stored(larger, "larger-baskets"), basket, "left_semi")
 
 
 def _collect(items: DataFrame, basket: str) -> DataFrame:

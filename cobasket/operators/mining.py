@@ -1,8 +1,8 @@
-"""Frequent itemsets, association rules and their check on held-out data.
+"""Frequent pairs, association rules and their check on held-out data. Sets of any size are in ``itemsets``.
 
-Pairs are counted with DataFrame operators, itemsets of any size with MLlib's FP-Growth. Pairs come from basket rows of
-any number: a basket is dealt out in blocks of some products, and pairs are made within two blocks at a time, so a
-customer with a third of all rows is spread over many groups of bounded size and nothing is left out.
+Pairs come from basket rows of any number: a basket is dealt out in blocks of some products, and pairs are made within
+two blocks at a time, so a customer with a third of all rows is spread over many groups of bounded size and nothing is
+left out.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cobasket.functions.ranking import top_ranked, with_rank
-from cobasket.session import checkpointed
+from cobasket.session import checkpointed, stored
 from cobasket.operators.baskets import basket_count, basket_rows, sample_baskets
 
 __all__ = ["basket_count"]
@@ -26,6 +26,7 @@ MIN_TEST_SUPPORT = 5
 TOP_VALIDATED = 10
 
 BLOCK = 64  # products of a basket in a block
+BUCKETS = 1 << 20  # hash buckets that pairs are counted in first
 
 
 def pair_order(support: str = "support") -> list[Column]:
@@ -55,18 +56,22 @@ def frequent_items(baskets: DataFrame, min_count: int | Column, basket: str = "c
             .filter(F.col("support") >= min_count))
 
 
-def pair_rows(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
-    """Every pair of every basket once: basket, item1 < item2, from distinct rows (basket, item).
+def pair_groups(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
+    """Groups that together hold every pair of every basket: basket, _i, _j, _items, from distinct rows (basket, item).
 
     A basket of n items has ceil(n / block) blocks by the hash of the item. An item goes to the groups of its block
     with each block, so a group holds two blocks: some 2 x ``block`` items, whatever the basket. Pairs inside one block
-    are made in its group with itself.
+    are made in its group with itself. The numbers of blocks are stored before they are joined: see ``session.stored``.
     """
-    sizes = rows.groupBy(basket).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    sizes = stored(rows.groupBy(basket).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks")), "basket-blocks")
     placed = rows.join(sizes, basket).withColumn("_own", F.pmod(F.xxhash64("item"), F.col("_blocks")).cast("int"))
     dealt = placed.select(basket, "item", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_with"))
-    groups = dealt.groupBy(basket, F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j")).agg(
+    return dealt.groupBy(basket, F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j")).agg(
         F.sort_array(F.collect_list(F.struct("item", "_own"))).alias("_items")).filter(F.size("_items") > 1)
+
+
+def pairs_of(groups: DataFrame, basket: str = "customer_id") -> DataFrame:
+    """Every pair of :func:`pair_groups` once: basket, item1 < item2. A projection."""
     firsts = groups.select(basket, "_i", "_j", "_items", F.posexplode("_items").alias("_at", "_first"))
     later = F.slice("_items", F.col("_at") + 2, F.size("_items"))
     wanted = F.filter(later, lambda x: (F.col("_i") == F.col("_j")) | (x["_own"] != F.col("_first._own")))
@@ -74,43 +79,67 @@ def pair_rows(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK)
         .select(basket, "item1", F.col("_second.item").alias("item2"))
 
 
-def frequent_pairs(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
-    """Item pairs in at least ``min_count`` baskets: item1 < item2, support.
+def pair_rows(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK) -> DataFrame:
+    """Every pair of every basket once: basket, item1 < item2, from distinct rows (basket, item)."""
+    return pairs_of(pair_groups(rows, basket, block), basket)
 
-    Infrequent items are taken out first, as no frequent pair holds one. Pairs are counted in the tasks that make them
-    before they are shuffled.
-    """
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("item1", "item2"), F.lit(buckets))
+
+
+def frequent_buckets(pairs: DataFrame, min_count: int | Column, buckets: int = BUCKETS) -> DataFrame:
+    """A bitmap of the hash buckets whose pairs are, all together, in ``min_count`` baskets: word, bits. At most
+    ``buckets`` / 64 rows. A frequent pair is in a frequent bucket; a bucket may be frequent without one."""
+    counts = pairs.groupBy(_bucket(buckets).alias("_bucket")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_bucket") % 64).cast("int"))
+    return counts.groupBy((F.col("_bucket") / 64).cast("long").alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def in_frequent_buckets(pairs: DataFrame, bitmap: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The pairs whose bucket is in the bitmap, left out in the tasks that make them."""
+    at = pairs.withColumn("_bucket", _bucket(buckets)).withColumn("word", (F.col("_bucket") / 64).cast("long"))
+    found = at.join(F.broadcast(bitmap), "word")  # at most `buckets` / 64 rows
+    bit = F.call_function("getbit", "bits", (F.col("_bucket") % 64).cast("int"))
+    return found.filter(bit == 1).select(pairs.columns)
+
+
+def kept_rows(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id") -> DataFrame:
+    """Rows (basket, item) of frequent items: no other item is in a frequent set. Stored."""
     rows = item_rows(baskets, basket)
-    kept = rows.join(frequent_items(baskets, min_count, basket).select("item"), "item", "left_semi")
-    return (pair_rows(kept, basket, block).groupBy("item1", "item2").agg(F.count("*").alias("support"))
+    return stored(rows.join(stored(frequent_items(baskets, min_count, basket).select("item"), "frequent-items"), "item",
+                            "left_semi"), "kept-rows")
+
+
+def counted_pairs(groups: DataFrame, min_count: int | Column, basket: str = "customer_id",
+                  buckets: int = BUCKETS) -> DataFrame:
+    """Pairs of stored groups in at least ``min_count`` baskets: item1 < item2, support."""
+    pairs = pairs_of(groups, basket)
+    bitmap = stored(frequent_buckets(pairs, min_count, buckets), "frequent-buckets")
+    return (in_frequent_buckets(pairs, bitmap, buckets).groupBy("item1", "item2").agg(F.count("*").alias("support"))
             .filter(F.col("support") >= min_count))
 
 
-def frequent_triples(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id",
-                     block: int = BLOCK) -> DataFrame:
-    """Triples in at least ``min_count`` baskets: item1 < item2 < item3, support, grown from frequent pairs.
+def frequent_pairs(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id", block: int = BLOCK,
+                   buckets: int = BUCKETS) -> DataFrame:
+    """Item pairs in at least ``min_count`` baskets: item1 < item2, support.
 
-    Two frequent pairs of a basket with the same first item make a triple when their second items are a frequent pair
-    too. For baskets that are small by nature; no list of items is kept on the driver.
+    Infrequent items are taken out first, as no frequent pair holds one. Pairs are then made twice from stored groups:
+    first only counted by hash bucket, which shuffles at most ``buckets`` numbers a task, then those of frequent buckets
+    are counted themselves. So the pairs that are shuffled are few beside those that are not frequent.
     """
-    rows = item_rows(baskets, basket)
-    pairs = frequent_pairs(baskets, min_count, basket, block).select("item1", "item2")
-    own = pair_rows(rows.join(frequent_items(baskets, min_count, basket).select("item"), "item", "left_semi"), basket,
-                    block).join(pairs, ["item1", "item2"], "left_semi")
-    thirds = own.select(basket, "item1", F.col("item2").alias("item3"))
-    grown = own.join(thirds, [basket, "item1"]).filter(F.col("item2") < F.col("item3"))
-    whole = grown.join(pairs.select(F.col("item1").alias("item2"), F.col("item2").alias("item3")), ["item2", "item3"],
-                       "left_semi")
-    return (whole.groupBy("item1", "item2", "item3").agg(F.count("*").alias("support"))
-            .filter(F.col("support") >= min_count))
+    kept = kept_rows(baskets, min_count, basket)
+    return counted_pairs(stored(pair_groups(kept, basket, block), "pair-groups"), min_count, basket, buckets)
 
 
-def frequent_itemsets(baskets: DataFrame, min_count: int, n_baskets: int | None = None,
+def fpgrowth_itemsets(baskets: DataFrame, min_count: int, n_baskets: int | None = None,
                       num_partitions: int | None = None) -> DataFrame:
-    """Itemsets of any size in at least ``min_count`` baskets, by FP-Growth: items (sorted), support.
+    """Itemsets of any size in at least ``min_count`` baskets, by MLlib's FP-Growth: items (sorted), support.
 
-    The baskets are kept on disk while the trees are built, and the itemsets are checkpointed, so that using them
-    does not mine again. ``min_count - 0.5`` keeps the relative support clear of rounding.
+    For baskets as lists that are short, and items that fit the driver: MLlib keeps the frequent ones there.
+    ``itemsets.frequent_itemsets`` needs neither. The baskets are kept on disk while the trees are built, and the
+    itemsets are checkpointed, so that using them does not mine again. ``min_count - 0.5`` keeps the relative support
+    clear of rounding.
     """
     kept = baskets.select("items").persist(StorageLevel.DISK_ONLY)
     try:
@@ -152,7 +181,7 @@ def association_rules(itemsets: DataFrame, n_baskets: Column | int, min_confiden
 
 def pair_rules(pairs: DataFrame, items: DataFrame, n_baskets: Column | int,
                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules between single items, in both directions, from frequent pairs and frequent items."""
+    """Rules between single items, in both directions, from frequent pairs and all items of theirs."""
     n = F.lit(n_baskets) if isinstance(n_baskets, int) else n_baskets
     both = F.array(F.struct(F.col("item1").alias("antecedent"), F.col("item2").alias("consequent")),
                    F.struct(F.col("item2").alias("antecedent"), F.col("item1").alias("consequent")))
@@ -187,21 +216,18 @@ def ranked_patterns(pairs: DataFrame, n_baskets: Column | int, items: DataFrame
             .select(*out.columns, (F.col("support") / F.least("_n1", "_n2")).alias("rule_confidence")))
 
 
+def train_rows(reviews: DataFrame, dataset: str = "train") -> DataFrame:
+    """The basket rows of one dataset. Store them: its patterns, items, rules and number of baskets all read them."""
+    return basket_rows(reviews.filter(F.col("dataset") == dataset))
+
+
 def train_patterns(reviews: DataFrame, min_count: int, dataset: str = "train",
                    max_baskets: int | None = None) -> DataFrame:
     """Frequent pairs of one dataset's baskets; of about ``max_baskets`` of them if that is given."""
-    rows = basket_rows(reviews.filter(F.col("dataset") == dataset))
+    rows = train_rows(reviews, dataset)
     return frequent_pairs(rows if max_baskets is None else sample_baskets(rows, max_baskets), min_count)
 
 
-def train_rules(reviews: DataFrame, min_count: int, dataset: str = "train",
-                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules between single items of one dataset's baskets, beside its :func:`train_patterns`."""
-    rows = basket_rows(reviews.filter(F.col("dataset") == dataset))
-    return pair_rules(frequent_pairs(rows, min_count), frequent_items(rows, min_count), basket_count(rows),
-                      min_confidence)
-
-
 def validate_patterns(train_pairs: DataFrame, reviews: DataFrame, min_test_support: int = MIN_TEST_SUPPORT,
                       dataset: str = "test") -> DataFrame:
     """Count all training pairs in the held-out rows: item1, item2, train_support, test_support, total_support.

@@ -9,17 +9,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cobasket.operators import baskets as bk, clean as cl, enrich as en, load as ld, mining as mi, search as se, \
-    summary as su, views as vw
+from cobasket.operators import baskets as bk, clean as cl, enrich as en, itemsets as it, load as ld, mining as mi, \
+    search as se, summary as su, views as vw
 from cobasket.plans import jobs, staging
-from cobasket.plans.staging import CUSTOMER_MIN, MAX_ITEMS, ORDER_MIN
+from cobasket.plans.staging import MAX_ITEMS, SAMPLED_SHARE, SETS_SHARE
 from cobasket.schemas import Graph
 from cobasket.session import scratch_path
-from cobasket.sources import patterns as pt, tables as tb
+from cobasket.sources import patterns as pt, records as rc, tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SAMPLED_MIN = 3  # training baskets with sampled items that a pair must be in
 TEST_MIN = 1  # held-out baskets that a pair must be in
 TOP = 20  # patterns shown
 SAMPLE_MAX = 500  # baskets in the sample
@@ -91,6 +90,40 @@ def parse_nested(spark, sf):
                      ";").alias("ratings"))
 
 
+# Text with junk, undecodable bytes, quotes, and numbers that can't be read.
+
+@query
+def parse_rejects(spark, sf):
+    """What of the text was not taken over, line by line, without the file's name."""
+    return rc.rejects_of(staging.parsed_dirty(spark, sf)).drop("file")
+
+
+@query
+def parse_counts(spark, sf):
+    """Blocks and review lines that were taken over, and what was not, by reason: all of the text."""
+    return rc.parse_counts(staging.parsed_dirty(spark, sf))
+
+
+@query
+def parse_dirty(spark, sf):
+    """Records of the dirty text, which keep what could be read."""
+    paths = F.array_join(F.transform("categories", lambda path: F.array_join(path, "/")), ";")
+    return rc.records_of(staging.parsed_dirty(spark, sf)).select(
+        "id", "asin", "title", "total_reviews", "downloaded_reviews", "avg_rating", paths.alias("categories"),
+        F.size("reviews").alias("n_reviews"))
+
+
+@query
+def dirty_products_csv(spark, sf):
+    """Products of the dirty text, quotes and all, after typed CSV and back."""
+    return staging.dirty_csv(spark, sf).products
+
+
+@query
+def dirty_categories_csv(spark, sf):
+    return staging.dirty_csv(spark, sf).belongs_to
+
+
 # ---- records -> nodes and edges
 
 @query
@@ -153,8 +186,12 @@ def clean_similar(spark, sf):
 
 @query
 def clean_belongs_to(spark, sf):
+    """All edges, and for each one more of a product that there isn't, or without one."""
     nodes = staging.cleaned(spark, sf)
-    return cl.clean_belongs_to(staging.normalized(spark, sf).belongs_to, nodes.products, nodes.categories)
+    edges = staging.normalized(spark, sf).belongs_to
+    strays = edges.select(F.when(F.length("category") % 2 == 1, F.concat(F.lit("X"), "product_id")).alias("product_id"),
+                          "category")
+    return cl.clean_belongs_to(edges.unionByName(strays), nodes.products, nodes.categories)
 
 
 @query
@@ -199,7 +236,10 @@ def load_products_nulls(spark, sf):
 
 @query
 def load_customers(spark, sf):
-    return ld.load_customers(staging.csv(spark, sf).customers)
+    """Stored customers, some of them twice and some without a key: the load keeps repeated rows and no keyless one."""
+    nodes = staging.csv(spark, sf).customers
+    again = nodes.select(F.when(F.col("customer_id").endswith("7"), F.col("customer_id")).alias("customer_id"))
+    return ld.load_customers(nodes.unionByName(again))
 
 
 @query
@@ -272,8 +312,51 @@ def compare_changed_copy(spark, sf):
     return ld.compare_snapshots(graph, copy)
 
 
+def _later_graph(spark: SparkSession, sf: str) -> Graph:
+    """The graph after changes: some titles, some products gone, a category more, some dates, one review in fifty twice."""
+    graph = staging.graph(spark, sf)
+    key = F.col("asin")
+    products = graph.products.filter(key % 19 != 0).withColumn(
+        "title", F.when(key % 23 == 0, F.lit("changed")).otherwise(F.col("title")))
+    categories = graph.categories.unionByName(spark.range(1).select(F.concat(F.lit("New "), "id").alias("name")))
+    dated = graph.reviewed.withColumn("date", F.when((F.col("customer_id") % 40 == 0) & (F.col("votes") == 1), F.lit("2000-1-1"))
+                                      .otherwise(F.col("date")))
+    again = graph.reviewed.filter("customer_id % 50 = 1 AND votes = 2")
+    return Graph(products, graph.customers, categories, graph.belongs_to, graph.similar.filter("src % 3 <> 0"),
+                 dated.unionByName(again))
+
+
+@query
+def snapshot_differences(spark, sf):
+    """The rows that differ between the graph and a later one: added, removed and changed."""
+    return ld.snapshot_differences(staging.graph(spark, sf), _later_graph(spark, sf))
+
+
+@query
+def replace_graph(spark, sf):
+    """The stored graph replaced by a later one: rows by label of the snapshot before and of the one readers get now."""
+    root = scratch_path(spark, "graph")
+    before = tb.write_graph(staging.graph(spark, sf), root)
+    tb.write_graph(_later_graph(spark, sf), root)
+    parts = [ld.verify_counts(tb.read_graph(spark, root, name)).withColumn("snapshot", F.lit(label))
+             for label, name in (("before", before), ("current", None))]
+    return parts[0].unionByName(parts[1])
+
+
 # ---- scans
 
+@query
+def scan_reviews_by_product(spark, sf):
+    """Reviews with their product's properties, joined bucket by bucket."""
+    return tb.scan_end(spark, staging.bucketed(spark, sf), "reviewed", "product_id").drop("rel_order_id")
+
+
+@query
+def scan_similar_buckets(spark, sf):
+    """The rows of ``load_relationships`` from buckets."""
+    return tb.scan_both_ends(spark, staging.bucketed(spark, sf), "similar")
+
+
 @query
 def load_relationships(spark, sf):
     return tb.scan_relationship(staging.graph(spark, sf), "similar")
@@ -461,23 +544,28 @@ def dataset_or_all(spark, sf):
 
 @query
 def frequent_items(spark, sf):
-    return mi.frequent_items(staging.customer_baskets(spark, sf), CUSTOMER_MIN)
+    return mi.frequent_items(staging.customer_baskets(spark, sf), staging.customer_threshold(spark, sf))
 
 
 @query
 def frequent_pairs(spark, sf):
-    return mi.frequent_pairs(staging.customer_baskets(spark, sf), CUSTOMER_MIN)
+    return mi.frequent_pairs(staging.customer_baskets(spark, sf), staging.customer_threshold(spark, sf))
+
+
+def _sets(found: DataFrame) -> DataFrame:
+    return found.select(joined("items"), F.size("items").alias("n_items"), "support")
 
 
 @query
 def frequent_itemsets(spark, sf):
-    found = mi.frequent_itemsets(staging.order_baskets(spark, sf), ORDER_MIN)
-    return found.select(joined("items"), F.size("items").alias("n_items"), "support")
+    return _sets(it.frequent_itemsets(staging.order_rows(spark, sf), staging.order_threshold(spark, sf), "order_id"))
 
 
 @query
 def frequent_pairs_fpgrowth(spark, sf):
-    return mi.itemsets_of_size(staging.order_itemsets(spark, sf), 2)
+    found = staging.order_baskets(spark, sf)
+    least = mi.min_count_of(found.count(), staging.ORDER_SHARE)
+    return mi.itemsets_of_size(mi.fpgrowth_itemsets(found, least), 2)
 
 
 @query
@@ -487,7 +575,7 @@ def frequent_triples(spark, sf):
 
 @query
 def association_rules(spark, sf):
-    rules = mi.association_rules(staging.order_itemsets(spark, sf), mi.basket_count(staging.order_baskets(spark, sf)))
+    rules = mi.association_rules(staging.order_itemsets(spark, sf), mi.basket_count(staging.order_rows(spark, sf), "order_id"))
     return rules.select(joined("antecedent"), "consequent", rounded("confidence"), rounded("lift"),
                         rounded("support"))
 
@@ -495,8 +583,8 @@ def association_rules(spark, sf):
 @query
 def pair_rules(spark, sf):
     found = staging.customer_baskets(spark, sf)
-    rules = mi.pair_rules(staging.customer_pairs(spark, sf), mi.frequent_items(found, CUSTOMER_MIN),
-                          mi.basket_count(found))
+    rules = mi.pair_rules(staging.customer_pairs(spark, sf),
+                          mi.frequent_items(found, staging.customer_threshold(spark, sf)), mi.basket_count(found))
     return rules.select("antecedent", "consequent", rounded("confidence"), rounded("lift"), rounded("support")) \
         .orderBy(*mi.rule_order())
 
@@ -515,20 +603,36 @@ def attribute_pairs(spark, sf):
 
 @query
 def attribute_triples(spark, sf):
-    return mi.frequent_triples(staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf), "order_id")
+    found = it.frequent_itemsets(staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf, SETS_SHARE),
+                                 "order_id", max_size=3)
+    return mi.itemsets_of_size(found, 3)
 
 
 @query
 def attribute_rules(spark, sf):
     rows, threshold = staging.attribute_rows(spark, sf), staging.attribute_threshold(spark, sf)
-    rules = mi.pair_rules(mi.frequent_pairs(rows, threshold, "order_id"), mi.frequent_items(rows, threshold, "order_id"),
+    rules = mi.pair_rules(staging.attribute_pairs(spark, sf), mi.frequent_items(rows, threshold, "order_id"),
                           mi.basket_count(rows, "order_id"))
     return rules.select("antecedent", "consequent", rounded("confidence"), rounded("lift"), rounded("support"))
 
 
+@query
+def train_itemsets(spark, sf):
+    """All sets of two and more brands and sizes of the training orders."""
+    return _sets(staging.attribute_train_sets(spark, sf))
+
+
+@query
+def validate_itemsets(spark, sf):
+    """Their support in the held-out orders, sets of any size at once."""
+    found = it.validate_itemsets(staging.attribute_train_sets(spark, sf), staging.attribute_split(spark, sf),
+                                 basket="order_id")
+    return found.withColumn("items", joined("items"))
+
+
 def _ranked(spark: SparkSession, sf: str, top: int | None = None, with_rules: bool = False) -> DataFrame:
     found = staging.customer_baskets(spark, sf)
-    items = mi.frequent_items(found, CUSTOMER_MIN) if with_rules else None
+    items = mi.frequent_items(found, staging.customer_threshold(spark, sf)) if with_rules else None
     return mi.ranked_patterns(staging.customer_pairs(spark, sf), mi.basket_count(found), items, top)
 
 
@@ -540,12 +644,15 @@ def ranked_patterns(spark, sf):
 
 @query
 def train_patterns(spark, sf):
-    return mi.train_patterns(staging.split(spark, sf), SAMPLED_MIN)
+    return mi.frequent_pairs(staging.train_rows(spark, sf), staging.train_threshold(spark, sf, SAMPLED_SHARE))
 
 
 @query
 def train_rules(spark, sf):
-    rules = mi.train_rules(staging.split(spark, sf), SAMPLED_MIN)
+    """Rules of the stored training pairs that are in enough baskets."""
+    rows, threshold = staging.train_rows(spark, sf), staging.train_threshold(spark, sf, SAMPLED_SHARE)
+    rules = mi.pair_rules(staging.train_pairs(spark, sf).filter(F.col("support") >= threshold),
+                          mi.frequent_items(rows, threshold), mi.basket_count(rows))
     return rules.select("antecedent", "consequent", rounded("confidence"), rounded("lift"), rounded("support"))
 
 
@@ -643,17 +750,17 @@ def pattern_list(spark, sf):
 
 @query
 def top_patterns(spark, sf):
-    return vw.top_patterns(staging.served(spark, sf))
+    return vw.top_patterns(staging.ranked(spark, sf))
 
 
 @query
 def pattern_detail(spark, sf):
-    return vw.pattern_detail(staging.served(spark, sf), rank=3)
+    return vw.pattern_detail(staging.ranked(spark, sf), rank=3)
 
 
 @query
 def pattern_overview(spark, sf):
-    return vw.pattern_overview(staging.served(spark, sf)).withColumn("confidence_percent",
+    return vw.pattern_overview(staging.ranked(spark, sf)).withColumn("confidence_percent",
                                                                      rounded("confidence_percent"))
 
 

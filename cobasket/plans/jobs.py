@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from cobasket.operators import baskets as bk, clean, enrich, load, mining, normalize
 from cobasket.schemas import Graph
-from cobasket.session import checkpointed
+from cobasket.session import checkpointed, stored
 from cobasket.sources import patterns, tables, typed_csv
-from cobasket.sources.records import read_records
+from cobasket.sources.records import parse_text, records_of
 
 # Fixed value: the share of baskets that a served pattern is in.
 SERVED_SUPPORT = 0.0005
@@ -20,13 +20,13 @@ PAIR_COUNT = "pair counting over blocks of basket rows"
 
 
 def ingest(spark: SparkSession, text: str, root: str, fill_defaults: bool = True, csv: bool = False) -> Graph:
-    """Text files to a stored graph: ``root/records``, ``root/nodes`` and ``root/graph`` [, ``root/csv``].
+    """Text files to a stored graph: ``root/parsed``, ``root/nodes`` and ``root/graph`` [, ``root/csv``].
 
-    Cleaned node tables are written before the edges are checked against them. Edges that passed the check have both
+    ``root/parsed`` holds the records and what could not be read (``records.rejects_of``), from one pass. Cleaned node tables are written before the edges are checked against them. Edges that passed the check have both
     ends, and node keys are unique, so loading needs no further join.
     """
-    read_records(spark, text).write.mode("overwrite").parquet(f"{root}/records")
-    raw = normalize.normalize(spark.read.parquet(f"{root}/records"))
+    parse_text(spark, text).write.mode("overwrite").parquet(f"{root}/parsed")
+    raw = normalize.normalize(records_of(spark.read.parquet(f"{root}/parsed")))
     nodes = {"products": clean.clean_products(raw.products),
              "customers": clean.clean_keys(raw.customers, "customer_id"),
              "categories": clean.clean_keys(raw.categories, "name")}
@@ -62,8 +62,11 @@ def enriched(ranked: DataFrame, products: DataFrame, reviews: DataFrame) -> Data
 
 def serve_patterns(pairs: DataFrame, n_baskets: Column | int, products: DataFrame, reviews: DataFrame,
                    path: str) -> None:
-    """Rank and enrich all pairs and write them. The ranking is used twice, and ends in a checkpoint anyhow."""
-    patterns.write_patterns(enriched(mining.ranked_patterns(pairs, n_baskets), products, reviews), path, PAIR_COUNT)
+    """Rank and enrich all pairs and write them, by rank to be read from and as JSON lines. The ranking is used twice, and
+    ends in a checkpoint anyhow."""
+    found = stored(enriched(mining.ranked_patterns(pairs, n_baskets), products, reviews), "enriched")
+    patterns.write_ranked(found, path)
+    patterns.write_patterns(found, path, PAIR_COUNT)
 
 
 def _rows(reviews: DataFrame, max_baskets: int | None) -> DataFrame:

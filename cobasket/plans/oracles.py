@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cobasket.plans import catalog as c, jobs, staging as st
+from cobasket.plans import catalog as c, jobs, staging as st, views
 
 HASH = "CAST('0x' || substr(md5(concat_ws('|', {cols}, '42')), 1, 8) AS BIGINT)"
 
@@ -35,7 +35,13 @@ CTES: dict[str, tuple[list[str], str]] = {
     "order_pairs": (["order_rows"], f"""
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
-        GROUP BY 1, 2 HAVING count(*) >= {st.ORDER_MIN}"""),
+        GROUP BY 1, 2 HAVING count(*) >= {views.SIMILAR_ORDERS}"""),
+    "order_min": (["order_rows"], f"""
+        SELECT greatest(1, ceil({st.ORDER_SHARE} * count(DISTINCT order_id))) AS least FROM order_rows"""),
+    "order_frequent_pairs": (["order_rows", "order_min"], """
+        SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
+        FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
+        GROUP BY 1, 2 HAVING count(*) >= (SELECT least FROM order_min)"""),
     "attribute_rows": ([], """
         SELECT order_id, item FROM (
             SELECT l_orderkey AS order_id, p_brand AS item FROM lineitem JOIN part ON p_partkey = l_partkey
@@ -43,7 +49,43 @@ CTES: dict[str, tuple[list[str], str]] = {
         QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
     "attribute_min": (["attribute_rows"], f"""
         SELECT count(DISTINCT order_id) AS n,
-               greatest(1, ceil({st.ATTRIBUTE_SHARE} * count(DISTINCT order_id))) AS least FROM attribute_rows"""),
+               greatest(1, ceil({st.ATTRIBUTE_SHARE} * count(DISTINCT order_id))) AS least,
+               greatest(1, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least_sets FROM attribute_rows"""),
+    "attribute_train": (["attribute_rows"], f"""
+        SELECT * FROM attribute_rows WHERE {HASH.format(cols='order_id')} % 100 < 70"""),
+    "attribute_test": (["attribute_rows"], f"""
+        SELECT * FROM attribute_rows WHERE {HASH.format(cols='order_id')} % 100 >= 70"""),
+    "train_sets_min": (["attribute_train"], f"""
+        SELECT greatest(1, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least FROM attribute_train"""),
+    # Occurrences of the sets of each size, for frequent ones of the size before; up to size 5, of which there are none.
+    "in2": (["attribute_train", "train_sets_min"], """
+        SELECT x.order_id, [x.item, y.item] AS items FROM attribute_train x JOIN attribute_train y
+        ON x.order_id = y.order_id AND x.item < y.item"""),
+    "sets2": (["in2", "train_sets_min"], """
+        SELECT items, count(*) AS support FROM in2 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
+    "in3": (["in2", "sets2", "attribute_train"], """
+        SELECT order_id, list_append(items, item) AS items FROM in2 SEMI JOIN sets2 USING (items)
+        JOIN attribute_train USING (order_id) WHERE item > items[-1]"""),
+    "sets3": (["in3", "train_sets_min"], """
+        SELECT items, count(*) AS support FROM in3 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
+    "in4": (["in3", "sets3", "attribute_train"], """
+        SELECT order_id, list_append(items, item) AS items FROM in3 SEMI JOIN sets3 USING (items)
+        JOIN attribute_train USING (order_id) WHERE item > items[-1]"""),
+    "sets4": (["in4", "train_sets_min"], """
+        SELECT items, count(*) AS support FROM in4 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
+    "in5": (["in4", "sets4", "attribute_train"], """
+        SELECT order_id, list_append(items, item) AS items FROM in4 SEMI JOIN sets4 USING (items)
+        JOIN attribute_train USING (order_id) WHERE item > items[-1]"""),
+    "sets5": (["in5", "train_sets_min"], """
+        SELECT items, count(*) AS support FROM in5 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
+    "train_sets": (["sets2", "sets3", "sets4", "sets5"], """
+        SELECT items, len(items) AS n_items, support FROM (
+            SELECT * FROM sets2 UNION ALL SELECT * FROM sets3 UNION ALL SELECT * FROM sets4
+            UNION ALL SELECT * FROM sets5)"""),
+    "tested_sets": (["train_sets", "attribute_test"], """
+        SELECT items, n_items, support AS train_support, count(*) AS test_support FROM (
+            SELECT items, n_items, support, order_id FROM (SELECT *, unnest(items) AS item FROM train_sets)
+            JOIN attribute_test USING (item) GROUP BY ALL HAVING count(*) = n_items) GROUP BY ALL"""),
     "attribute_items": (["attribute_rows", "attribute_min"], """
         SELECT item, count(*) AS support FROM attribute_rows GROUP BY 1
         HAVING count(*) >= (SELECT least FROM attribute_min)"""),
@@ -108,14 +150,16 @@ CTES: dict[str, tuple[list[str], str]] = {
             SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY product_id) AS n
             FROM (SELECT DISTINCT customer_id, product_id FROM reviews)
         ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
-    "n_baskets": (["basket_rows"], "SELECT count(DISTINCT customer_id) AS n FROM basket_rows"),
-    "items": (["basket_rows"], f"""
+    "n_baskets": (["basket_rows"], f"""
+        SELECT count(DISTINCT customer_id) AS n,
+               greatest(1, ceil({st.CUSTOMER_SHARE} * count(DISTINCT customer_id))) AS least FROM basket_rows"""),
+    "items": (["basket_rows", "n_baskets"], """
         SELECT product_id AS item, count(*) AS support FROM basket_rows GROUP BY 1
-        HAVING count(*) >= {st.CUSTOMER_MIN}"""),
-    "pairs": (["basket_rows"], f"""
+        HAVING count(*) >= (SELECT least FROM n_baskets)"""),
+    "pairs": (["basket_rows", "n_baskets"], """
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM basket_rows x JOIN basket_rows y ON x.customer_id = y.customer_id AND x.product_id < y.product_id
-        GROUP BY 1, 2 HAVING count(*) >= {st.CUSTOMER_MIN}"""),
+        GROUP BY 1, 2 HAVING count(*) >= (SELECT least FROM n_baskets)"""),
     "ranked": (["pairs", "n_baskets"], """
         SELECT row_number() OVER (ORDER BY support DESC, item1, item2) AS rank, item1, item2, support,
                support / n AS confidence FROM pairs, n_baskets"""),
@@ -132,13 +176,17 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT customer_id, product_id
         FROM (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'train')
         QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
+    "train_min": (["train_rows"], f"""
+        SELECT greatest(1, ceil({st.TRAIN_SHARE} * count(DISTINCT customer_id))) AS least,
+               greatest(1, ceil({st.SAMPLED_SHARE} * count(DISTINCT customer_id))) AS least_sampled FROM train_rows"""),
     "train_pairs": (["train_rows"], """
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM train_rows x JOIN train_rows y ON x.customer_id = y.customer_id AND x.product_id < y.product_id
         GROUP BY 1, 2"""),
-    "validated": (["split", "train_pairs"], f"""
+    "validated": (["split", "train_pairs", "train_min"], f"""
         SELECT item1, item2, train_support, count(*) AS test_support, train_support + count(*) AS total_support
-        FROM (SELECT item1, item2, support AS train_support FROM train_pairs WHERE support >= {st.TRAIN_MIN})
+        FROM (SELECT item1, item2, support AS train_support FROM train_pairs
+              WHERE support >= (SELECT least FROM train_min))
         JOIN (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'test') x ON x.product_id = item1
         JOIN (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'test') y
           ON y.product_id = item2 AND y.customer_id = x.customer_id
@@ -176,15 +224,29 @@ CTES: dict[str, tuple[list[str], str]] = {
             SELECT asin2, title2, reviews2, 2 * row_number() OVER (ORDER BY support DESC, asin1, asin2) + 1
             FROM similar_support) GROUP BY 1"""),
     # Subsets of a basket, grown along frequent pairs, then counted.
-    "order_subsets": (["order_rows", "order_pairs"], """
+    "order_subsets": (["order_rows", "order_frequent_pairs"], """
         SELECT order_id, [product_id] AS items, product_id AS last FROM order_rows
         UNION ALL
         SELECT s.order_id, list_append(s.items, y.product_id), y.product_id FROM order_subsets s
         JOIN order_rows y ON y.order_id = s.order_id AND y.product_id > s.last
-        JOIN order_pairs p ON p.item1 = s.last AND p.item2 = y.product_id"""),
-    "order_sets": (["order_subsets"], f"""
+        JOIN order_frequent_pairs p ON p.item1 = s.last AND p.item2 = y.product_id"""),
+    "order_sets": (["order_subsets", "order_min"], """
         SELECT items, len(items) AS n_items, count(*) AS support FROM order_subsets GROUP BY 1
-        HAVING count(*) >= {st.ORDER_MIN}"""),
+        HAVING count(*) >= (SELECT least FROM order_min)"""),
+
+    # ---- what the dirty text holds
+    "soiled": (["listed"], r"""
+        SELECT l.* REPLACE (
+               CASE line WHEN 3 THEN NULL ELSE id END AS id,
+               CASE line WHEN 1 THEN '"' || p_name || '", \ ' || k || ' "' WHEN 2 THEN p_name || ' ' || k ELSE title END AS title,
+               CASE line WHEN 5 THEN NULL ELSE total_reviews END AS total_reviews,
+               CASE line WHEN 5 THEN 3.0 ELSE avg_rating END AS avg_rating,
+               CASE line WHEN 1 THEN [['"' || l.p_type || '"', 'a, "b" \']] ELSE paths END AS paths),
+               CASE WHEN line = 6 THEN 0 WHEN supplier % 2 = 0 THEN 2 ELSE 1 END AS n_reviews
+        FROM listed l JOIN part ON p_partkey = k"""),
+    "later_products": (["products"], """
+        SELECT * REPLACE (CASE WHEN asin % 23 = 0 THEN 'changed' ELSE title END AS title) FROM products
+        WHERE asin % 19 <> 0"""),
 }
 
 
@@ -260,7 +322,57 @@ ORACLES: dict[str, tuple[list[str], str]] = {
                CAST(coalesce(total_reviews, 0) AS BIGINT) AS total_reviews FROM c_products"""),
     "load_products_nulls": (["c_products"], """
         SELECT * REPLACE (CAST(total_reviews AS BIGINT) AS total_reviews) FROM c_products"""),
-    "load_customers": (["n_customers"], "SELECT * FROM n_customers"),
+    "load_customers": (["n_customers"], """
+        SELECT * FROM n_customers UNION ALL SELECT * FROM n_customers WHERE customer_id LIKE '%7'"""),
+    "parse_rejects": (["soiled"], """
+        SELECT NULL::BIGINT AS id, NULL::VARCHAR AS asin, 'no field line' AS reason,
+               '# dump' || chr(10) || 'total items: 12' AS text FROM soiled WHERE supplier % 7 = 0
+        UNION ALL SELECT id, asin, 'unreadable id', 'Id:   n/a' FROM soiled WHERE line = 3
+        UNION ALL SELECT id, asin, 'unreadable totals', 'reviews: total: many  downloaded: 2  avg rating: 3'
+                  FROM soiled WHERE line = 5
+        UNION ALL SELECT id, asin, 'unreadable review line', '2000-1-1  cutomer: C1  rating: x  votes: 1  helpful: 0'
+                  FROM soiled WHERE supplier % 3 = 0 AND line <> 6"""),
+    "parse_counts": (["soiled"], """
+        SELECT * FROM (
+            SELECT 'block' AS part, NULL AS reason, count(*) AS n_rows FROM soiled
+            UNION ALL SELECT 'block', 'no field line', count(*) FROM soiled WHERE supplier % 7 = 0
+            UNION ALL SELECT 'review line', NULL, CAST(sum(n_reviews) AS BIGINT) FROM soiled
+            UNION ALL SELECT 'review line', 'unreadable review line', count(*) FROM soiled
+                      WHERE supplier % 3 = 0 AND line <> 6
+            UNION ALL SELECT 'field', 'unreadable id', count(*) FROM soiled WHERE line = 3
+            UNION ALL SELECT 'field', 'unreadable totals', count(*) FROM soiled WHERE line = 5) WHERE n_rows > 0"""),
+    "parse_dirty": (["soiled"], """
+        SELECT id, asin, title, total_reviews, downloaded_reviews, avg_rating,
+               array_to_string([array_to_string(p, '/') FOR p IN paths], ';') AS categories, n_reviews FROM soiled"""),
+    "dirty_products_csv": (["soiled"], """
+        SELECT asin, title, product_group, salesrank, avg_rating, CAST(total_reviews AS BIGINT) AS total_reviews
+        FROM soiled"""),
+    "dirty_categories_csv": (["soiled"], """
+        SELECT product_id, nullif(category, '') AS category FROM (
+            SELECT asin AS product_id, unnest(flatten(paths)) AS category FROM soiled WHERE paths IS NOT NULL)"""),
+    "snapshot_differences": (["products", "alike", "reviews"], """
+        SELECT 'Product' AS label, CAST(asin AS VARCHAR) AS key, 'removed' AS change, 1 AS n_left, 0 AS n_right
+        FROM products WHERE asin % 19 = 0
+        UNION ALL SELECT 'Product', CAST(asin AS VARCHAR), 'changed', 1, 1 FROM products WHERE asin % 19 <> 0 AND asin % 23 = 0
+        UNION ALL SELECT 'Category', 'New 0', 'added', 0, 1
+        UNION ALL SELECT 'SIMILAR', src || '|' || dst, 'removed', 1, 0 FROM alike WHERE src % 3 = 0
+        UNION ALL SELECT 'REVIEWED', customer_id || '|' || product_id, 'changed', count(*),
+                         count(*) + count(*) FILTER (customer_id % 50 = 1 AND votes = 2)
+                  FROM reviews GROUP BY customer_id, product_id
+                  HAVING count(*) FILTER (customer_id % 40 = 0 AND votes = 1 OR customer_id % 50 = 1 AND votes = 2) > 0"""),
+    "replace_graph": (["products", "customers", "categories", "belongs_to", "alike", "reviews"], """
+        SELECT label, unnest([n, n + more]) AS n_rows, unnest(['before', 'current']) AS snapshot FROM (
+            SELECT 'Product' AS label, count(*) AS n, -count(*) FILTER (asin % 19 = 0) AS more FROM products
+            UNION ALL SELECT 'Customer', count(*), 0 FROM customers
+            UNION ALL SELECT 'Category', count(*), 1 FROM categories
+            UNION ALL SELECT 'BELONGS_TO', count(*), 0 FROM belongs_to
+            UNION ALL SELECT 'SIMILAR', count(*), -count(*) FILTER (src % 3 = 0) FROM alike
+            UNION ALL SELECT 'REVIEWED', count(*), count(*) FILTER (customer_id % 50 = 1 AND votes = 2) FROM reviews)"""),
+    "scan_reviews_by_product": (["reviews", "products"], """
+        SELECT customer_id AS rel_customer_id, product_id AS rel_product_id, rating AS rel_rating, date AS rel_date,
+               votes AS rel_votes, helpful AS rel_helpful, asin AS node_asin, title AS node_title,
+               product_group AS node_product_group, salesrank AS node_salesrank, avg_rating AS node_avg_rating,
+               total_reviews AS node_total_reviews FROM reviews JOIN products ON asin = product_id"""),
     "merge_categories": (["categories", "n_categories"], """
         SELECT name FROM categories
         UNION SELECT name FROM n_categories"""),
@@ -404,7 +516,7 @@ ORACLES: dict[str, tuple[list[str], str]] = {
     "frequent_pairs": (["pairs"], "SELECT * FROM pairs"),
     "frequent_itemsets": (["order_sets"], """
         SELECT array_to_string(items, ',') AS items, n_items, support FROM order_sets"""),
-    "frequent_pairs_fpgrowth": (["order_pairs"], "SELECT * FROM order_pairs"),
+    "frequent_pairs_fpgrowth": (["order_frequent_pairs"], "SELECT * FROM order_frequent_pairs"),
     "frequent_triples": (["order_sets"], """
         SELECT items[1] AS item1, items[2] AS item2, items[3] AS item3, support FROM order_sets WHERE n_items = 3"""),
     "association_rules": (["order_rows", "order_sets"], """
@@ -426,8 +538,9 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         SELECT rank, item1, item2, r.support, round(confidence, 6) AS confidence,
                round(r.support / least(a.support, b.support), 6) AS rule_confidence
         FROM ranked r JOIN items a ON a.item = item1 JOIN items b ON b.item = item2"""),
-    "train_patterns": (["train_pairs"], f"SELECT * FROM train_pairs WHERE support >= {c.SAMPLED_MIN}"),
-    "train_rules": (["train_rows", "train_pairs"], f"""
+    "train_patterns": (["train_pairs", "train_min"], """
+        SELECT * FROM train_pairs WHERE support >= (SELECT least_sampled FROM train_min)"""),
+    "train_rules": (["train_rows", "train_pairs", "train_min"], """
         SELECT antecedent, consequent, round(f / a.support, 6) AS confidence,
                round((f / a.support) / (b.support / n), 6) AS lift, round(f / n, 6) AS support
         FROM (SELECT item1 AS antecedent, item2 AS consequent, support AS f FROM train_pairs
@@ -435,7 +548,11 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         JOIN (SELECT product_id, count(*) AS support FROM train_rows GROUP BY 1) a ON a.product_id = antecedent
         JOIN (SELECT product_id, count(*) AS support FROM train_rows GROUP BY 1) b ON b.product_id = consequent,
              (SELECT count(DISTINCT customer_id) AS n FROM train_rows)
-        WHERE f >= {c.SAMPLED_MIN} AND f / a.support >= 0.1"""),
+        WHERE f >= (SELECT least_sampled FROM train_min) AND f / a.support >= 0.1"""),
+    "train_itemsets": (["train_sets"], "SELECT * REPLACE (array_to_string(items, ',') AS items) FROM train_sets"),
+    "validate_itemsets": (["tested_sets"], """
+        SELECT *, train_support + test_support AS total_support FROM (
+            SELECT * REPLACE (array_to_string(items, ',') AS items) FROM tested_sets)"""),
     "write_results": (["split", "validated"], """
         SELECT item1 || ',' || item2 AS products, train_support, test_support, total_support,
                (SELECT count(*) FROM validated) AS num_patterns,
@@ -446,7 +563,7 @@ ORACLES: dict[str, tuple[list[str], str]] = {
         SELECT x.item AS item1, y.item AS item2, z.item AS item3, count(*) AS support
         FROM attribute_rows x JOIN attribute_rows y ON x.order_id = y.order_id AND x.item < y.item
         JOIN attribute_rows z ON z.order_id = y.order_id AND y.item < z.item
-        GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT least FROM attribute_min)"""),
+        GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT least_sets FROM attribute_min)"""),
     "attribute_rules": (["attribute_pairs", "attribute_items", "attribute_min"], """
         SELECT antecedent, consequent, round(f / a.support, 6) AS confidence,
                round((f / a.support) / (b.support / n), 6) AS lift, round(f / n, 6) AS support
@@ -506,5 +623,8 @@ ORACLES: dict[str, tuple[list[str], str]] = {
 }
 
 
+ORACLES["scan_similar_buckets"] = ORACLES["load_relationships"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _sql(names, body) for name, (names, body) in ORACLES.items()}

@@ -10,21 +10,23 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from cobasket.operators import baskets as bk, clean as cleaning, mining, normalize
+from cobasket.operators import baskets as bk, clean as cleaning, itemsets, mining, normalize
 from cobasket.plans import jobs, views
 from cobasket.schemas import Graph
-from cobasket.session import scratch_path
+from cobasket.session import file_of, scratch_path
 from cobasket.sources import patterns, tables, typed_csv
-from cobasket.sources.records import read_records
+from cobasket.sources.records import parse_text, read_records, records_of
 
 # Thresholds for the order database's tables.
 MAX_ITEMS = 20  # items per basket, where the limit itself is shown
-CUSTOMER_MIN = 4  # baskets of customers that a pair must be in
-ORDER_MIN = 2  # baskets of orders that an itemset must be in
-ATTRIBUTE_SHARE = 0.002  # share of orders that a set of brands and sizes must be in
-TRAIN_MIN = 2  # training baskets that a pair must be in
+CUSTOMER_SHARE = 0.0025  # share of customers that a pair must be in
+ORDER_SHARE = 0.00014  # share of orders that an itemset must be in
+ATTRIBUTE_SHARE = 0.01  # share of orders that a pair of brands and sizes must be in
+SETS_SHARE = 0.002  # and a larger set of them
+TRAIN_SHARE = 0.0012  # share of training baskets that a pair must be in to be checked
+SAMPLED_SHARE = 0.0018  # and to be reported as a pattern of its own
 
 _written: dict[tuple[str, str, str], str] = {}
 _lock = threading.RLock()
@@ -33,26 +35,21 @@ _lock = threading.RLock()
 def _once(spark: SparkSession, sf_dir: str, stage: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, stage)
     with _lock:  # a stage is written by one thread
-        if key not in _written or not _path(spark, _written[key])[0].exists(_path(spark, _written[key])[1]):
+        if key in _written:
+            system, path = file_of(spark, _written[key])
+        if key not in _written or not system.exists(path):
             path = scratch_path(spark, stage)
             write(path)
             _written[key] = path
         return _written[key]
 
 
-def _path(spark: SparkSession, path: str) -> tuple:
-    """A path and its file system, as the JVM sees them."""
-    sc = spark.sparkContext
-    found = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
-
-
 def clean_up(spark: SparkSession) -> int:
     """Remove the stages this session has written; the number of them. Later queries write theirs again."""
     with _lock:
         own = [key for key in _written if key[0] == spark.sparkContext.applicationId]
         for key in own:
-            system, path = _path(spark, _written.pop(key))
+            system, path = file_of(spark, _written.pop(key))
             system.delete(path, True)
         return len(own)
 
@@ -72,6 +69,19 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, raw_text(spark, sf_dir))
 
 
+def parsed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything one pass gives of text with junk, undecodable bytes, quotes and unreadable numbers."""
+    path = _once(spark, sf_dir, "dirty", lambda out: views.write_dirty_listings(spark, sf_dir, out))
+    return _table(spark, sf_dir, "parsed_dirty", lambda: parse_text(spark, path))
+
+
+def dirty_csv(spark: SparkSession, sf_dir: str) -> Graph:
+    """The records of the dirty text as a graph, after a round trip through typed CSV."""
+    path = _once(spark, sf_dir, "dirty_csv", lambda out: typed_csv.write_graph_csv(
+        normalize.normalize(records_of(parsed_dirty(spark, sf_dir))), out))
+    return typed_csv.read_graph_csv(spark, path)
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "records", lambda: parsed(spark, sf_dir))
 
@@ -129,7 +139,7 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "similar", lambda: views.similar(order_baskets(spark, sf_dir)))
+    return _table(spark, sf_dir, "similar", lambda: views.similar(order_rows(spark, sf_dir)))
 
 
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
@@ -138,12 +148,36 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
                                                       reviewed)])
 
 
+def bucketed(spark: SparkSession, sf_dir: str) -> str:
+    """The graph in buckets: the prefix of its tables' names in this session."""
+    path = _once(spark, sf_dir, "bucketed", lambda out: _prefixes.__setitem__(out, tables.write_buckets(
+        graph(spark, sf_dir), out, GRAPH_BUCKETS)))
+    return _prefixes[path]
+
+
+GRAPH_BUCKETS = 8
+_prefixes: dict[str, str] = {}
+
+
 def customer_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer_baskets",
                   lambda: bk.basket_rows(reviews(spark, sf_dir)))
 
 
+def customer_threshold(spark: SparkSession, sf_dir: str) -> Column:
+    return mining.count_of_share(customer_baskets(spark, sf_dir), CUSTOMER_SHARE)
+
+
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "order_rows", lambda: bk.basket_rows(views.order_lines(spark, sf_dir), "order_id"))
+
+
+def order_threshold(spark: SparkSession, sf_dir: str) -> Column:
+    return mining.count_of_share(order_rows(spark, sf_dir), ORDER_SHARE, "order_id")
+
+
 def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lists, which MLlib's FP-Growth takes; nothing else reads them."""
     return _table(spark, sf_dir, "order_baskets",
                   lambda: bk.baskets(views.order_lines(spark, sf_dir), basket="order_id"))
 
@@ -153,18 +187,38 @@ def attribute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                   lambda: bk.basket_rows(views.order_attributes(spark, sf_dir), "order_id"))
 
 
-def attribute_threshold(spark: SparkSession, sf_dir: str):
-    return mining.count_of_share(attribute_rows(spark, sf_dir), ATTRIBUTE_SHARE, "order_id")
+def attribute_threshold(spark: SparkSession, sf_dir: str, share: float = ATTRIBUTE_SHARE) -> Column:
+    return mining.count_of_share(attribute_rows(spark, sf_dir), share, "order_id")
+
+
+def attribute_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "attribute_pairs", lambda: mining.frequent_pairs(
+        attribute_rows(spark, sf_dir), attribute_threshold(spark, sf_dir), "order_id"))
+
+
+def attribute_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole orders as training or held-out rows; a projection, so not written."""
+    return bk.train_test_split(attribute_rows(spark, sf_dir), split_by="order_id")
+
+
+def attribute_train_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of two and more brands and sizes of training orders."""
+    def build() -> DataFrame:
+        rows = attribute_split(spark, sf_dir).filter("dataset = 'train'").drop("dataset")
+        found = itemsets.frequent_itemsets(rows, mining.count_of_share(rows, SETS_SHARE, "order_id"), "order_id")
+        return found.filter("size(items) >= 2")
+
+    return _table(spark, sf_dir, "attribute_train_sets", build)
 
 
 def customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer_pairs",
-                  lambda: mining.frequent_pairs(customer_baskets(spark, sf_dir), CUSTOMER_MIN))
+    return _table(spark, sf_dir, "customer_pairs", lambda: mining.frequent_pairs(
+        customer_baskets(spark, sf_dir), customer_threshold(spark, sf_dir)))
 
 
 def order_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "order_itemsets",
-                  lambda: mining.frequent_itemsets(order_baskets(spark, sf_dir), ORDER_MIN))
+    return _table(spark, sf_dir, "order_itemsets", lambda: itemsets.frequent_itemsets(
+        order_rows(spark, sf_dir), order_threshold(spark, sf_dir), "order_id"))
 
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,9 +226,18 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bk.train_test_split(reviewed(spark, sf_dir))
 
 
+def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training baskets."""
+    return _table(spark, sf_dir, "train_rows", lambda: mining.train_rows(split(spark, sf_dir)))
+
+
+def train_threshold(spark: SparkSession, sf_dir: str, share: float = TRAIN_SHARE) -> Column:
+    return mining.count_of_share(train_rows(spark, sf_dir), share)
+
+
 def train_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "train_pairs",
-                  lambda: mining.train_patterns(split(spark, sf_dir), TRAIN_MIN))
+    return _table(spark, sf_dir, "train_pairs", lambda: mining.frequent_pairs(
+        train_rows(spark, sf_dir), train_threshold(spark, sf_dir)))
 
 
 def served_path(spark: SparkSession, sf_dir: str) -> str:
@@ -186,3 +249,8 @@ def served_path(spark: SparkSession, sf_dir: str) -> str:
 
 def served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.read_patterns(spark, served_path(spark, sf_dir))
+
+
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served patterns in the order of their ranks."""
+    return patterns.read_ranked(spark, served_path(spark, sf_dir))

@@ -65,17 +65,20 @@ def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("l_orderkey").alias("order_id"), F.explode("items").alias("product_id")))
 
 
-def similar(order_baskets: DataFrame) -> DataFrame:
-    pairs = frequent_pairs(order_baskets, SIMILAR_ORDERS, "order_id")
+def similar(order_rows: DataFrame) -> DataFrame:
+    pairs = frequent_pairs(order_rows, SIMILAR_ORDERS, "order_id")
     return pairs.select(F.col("item1").alias("src"), F.col("item2").alias("dst"))
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listings(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Text records (``value``), one per line item, built row by row.
 
     By key of part, line and supplier: titles with a colon or missing, groups missing, sales ranks unreadable or
     missing, none to two similar products, category lines with an unnamed and an id-less part, counts of zero or too
     large, short summaries, a second review, a review that cannot be read, and CRLF line ends.
+
+    ``dirty`` adds, by line: quotes, commas and backslashes in titles and categories; bytes in a title that are no
+    UTF-8; an ``Id:`` and totals that cannot be read; and by supplier, junk without any field in front of a record.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                     "l_quantity")
@@ -112,12 +115,26 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = review(F.date_format("o_orderdate", "yyyy-M-d"), F.col("o_custkey"), rating, line)
     second = F.when(supplier % 2 == 0, review(F.lit("2001-2-3"), F.col("o_custkey") + 1, 6 - rating, supplier))
     broken = F.when(supplier % 3 == 0, F.lit("    2000-1-1  cutomer: C1  rating: x  votes: 1  helpful: 0"))
-    block = F.concat_ws("\n", text("Id:   ", F.col("l_orderkey") * 10 + line), text("ASIN: P", key), title, group,
-                        rank, similar_line, category_lines, summary, first, broken, second)
-    return rows.select(F.when(supplier % 5 == 0, F.regexp_replace(block, "\n", "\r\n")).otherwise(block)
+    number = text("Id:   ", F.col("l_orderkey") * 10 + line)
+    if dirty:
+        quoted = text('  title: "', F.col("p_name"), '", \\ ', key, ' "')
+        odd = text("  title: ", F.col("p_name"), F.unhex(F.lit("FFFE")).cast("string"), " ", key)
+        title = F.when(line == 1, quoted).when(line == 2, odd).otherwise(title)
+        category_lines = F.when(line == 1, F.concat_ws("\n", F.lit("  categories: 1"), text(
+            '   |"', F.col("p_type"), '"[1]|a, "b" \\[2]'))).otherwise(category_lines)
+        number = F.when(line == 3, F.lit("Id:   n/a")).otherwise(number)
+        summary = F.when(line == 5, F.lit("  reviews: total: many  downloaded: 2  avg rating: 3")).otherwise(summary)
+        number = F.when(supplier % 7 == 0, F.concat(F.lit("# dump\ntotal items: 12\n\n"), number)).otherwise(number)
+    block = F.concat_ws("\n", number, text("ASIN: P", key), title, group, rank, similar_line, category_lines, summary,
+                        first, broken, second)
+    return rows.select(F.when(supplier % 5 == 0, F.replace(block, F.lit("\n"), F.lit("\r\n"))).otherwise(block)
                        .alias("value"))
 
 
+def write_dirty_listings(spark: SparkSession, sf_dir: str, path: str) -> None:
+    listings(spark, sf_dir, dirty=True).write.option("lineSep", "\n\n").text(path)
+
+
 def write_listings(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write the text records to files, a blank line after each."""
     listings(spark, sf_dir).write.option("lineSep", "\n\n").text(path)

@@ -43,9 +43,39 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under :func:`shared_dir` that nothing else writes to."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under :func:`shared_dir` that nothing else writes to. :func:`remove_scratch` removes what is there."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def file_of(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as the JVM sees them: any store that Spark reads."""
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Remove the intermediate tables this session has written, once no result that reads them is needed any more; the
+    number of them. Checkpoints are Spark's to remove (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        system, found = file_of(spark, path)
+        system.delete(found, True)
+    return len(paths)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back. Cuts lineage; and where a join reads it, that side is
+    a plain shuffle, which the skew join needs: it splits no join with an aggregate on its own key."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Served patterns as JSON lines, with a one-row metadata table beside them."""
+"""Served patterns: a Parquet table in the order of their ranks to read from, and JSON lines with a one-row metadata table
+as an export."""
 
 from __future__ import annotations
 
@@ -37,3 +38,18 @@ def write_results(stats: DataFrame, patterns: DataFrame, path: str, rules: DataF
         rules.write.mode("overwrite").json(f"{path}/rules")
     patterns.write.mode("overwrite").json(f"{path}/patterns")
     stats.write.mode("overwrite").json(f"{path}/stats")
+
+
+# Small row groups and pages: what a reader of some ranks fetches.
+RANKED_OPTIONS = {"parquet.block.size": str(4 << 20), "parquet.page.row.count.limit": "1000"}
+
+
+def write_ranked(patterns: DataFrame, path: str) -> None:
+    """Write ``path/ranked``: ranges of ranks, sorted, so that the statistics of files, row groups and pages tell a reader
+    which of them hold the ranks it wants."""
+    (patterns.repartitionByRange("rank").sortWithinPartitions("rank").write.mode("overwrite")
+     .options(**RANKED_OPTIONS).parquet(f"{path}/ranked"))
+
+
+def read_ranked(spark: SparkSession, path: str, schema: str = PATTERN) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/ranked")

@@ -56,23 +56,35 @@ def _any_review() -> str:
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """One row (``value``) per stretch of text between two ``Id:`` line starts; undecodable bytes are left out."""
+    """One row (``value``, ``file``) per stretch of text between two ``Id:`` line starts; undecodable bytes are left
+    out."""
     raw = spark.read.option("lineSep", RECORD_SEPARATOR).text(path)
     readable = F.regexp_replace(F.make_valid_utf8("value"), "\ufffd", "")
-    return raw.select(F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(readable).alias("value"))
+    return raw.select(F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(readable).alias("value"),
+                      F.input_file_name().alias("file"))
 
 
-def split_blocks(chunks: DataFrame) -> DataFrame:
-    """One row (``block``) per block of text: lines without a blank one between them, ended by a line feed each.
+def all_blocks(chunks: DataFrame) -> DataFrame:
+    """One row (``file``, ``block``) per block of text: lines without a blank one between them, ended by a line feed each.
 
     The text source takes the ``Id:`` off every chunk but a file's first, so it is put back in front of a chunk that
-    starts with a number, or that names a product further down. Blocks without any field line are left out.
+    starts with a number, or that names a product further down. Blocks of white space alone are left out.
     """
     text = F.replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    parts = chunks.select(F.posexplode(F.split(text, "(?U)\\n\\s*\\n")).alias("_at", "_part"))
+    parts = chunks.select("file", F.posexplode(F.split(text, "(?U)\\n\\s*\\n")).alias("_at", "_part"))
     lacks_id = (F.col("_at") == 0) & F.col("_part").rlike(f"(?s)^(?!{_STARTS_FIELD})\\s*(?:[+-]?\\d|.*\\n\\s*ASIN:)")
-    blocks = parts.select(F.when(lacks_id, F.concat(F.lit("Id: "), "_part")).otherwise(F.col("_part")).alias("block"))
-    return blocks.filter(F.col("block").rlike(f"(?m)^{_STARTS_FIELD}"))
+    blocks = parts.select("file", F.when(lacks_id, F.concat(F.lit("Id:"), "_part")).otherwise(F.col("_part"))
+                          .alias("block"))
+    return blocks.filter(F.col("block").rlike("(?U)\\S"))
+
+
+def _is_record() -> Column:
+    return F.col("block").rlike(f"(?m)^{_STARTS_FIELD}")
+
+
+def split_blocks(chunks: DataFrame) -> DataFrame:
+    """The blocks (``block``) with a field line: one per record."""
+    return all_blocks(chunks).filter(_is_record()).select("block")
 
 
 def _line(key: str) -> Column:
@@ -95,11 +107,16 @@ def _rewritten_reviews() -> Column:
     return F.regexp_replace(F.array_join(lines, "\n"), _ordered_review(), _VALUES)
 
 
-def _reviews() -> Column:
-    """Review lines that can be read in full, as an array of structs. Lines that are not rewritten yet are looked at
-    once more; what then still has no mark cannot be read."""
+def _review_lines() -> Column:
+    """The lines that name a customer: those that can be read in full begin with the mark. Lines that are not rewritten
+    yet are looked at once more; what then still has no mark cannot be read."""
     rest = F.col("_rewritten").rlike(f"(?m)^[^{_MARK}]")
-    values = F.when(rest, F.regexp_replace("_rewritten", _any_review(), _VALUES)).otherwise(F.col("_rewritten"))
+    return F.split(F.when(rest, F.regexp_replace("_rewritten", _any_review(), _VALUES)).otherwise(F.col("_rewritten")),
+                   "\n")
+
+
+def _reviews() -> Column:
+    """Review lines that can be read in full, as an array of structs."""
 
     def review(text: Column) -> Column:
         value = F.split(text, "\t")
@@ -108,25 +125,53 @@ def _reviews() -> Column:
                         *[F.get(value, F.lit(i)).try_cast("int").alias(name)
                           for i, name in enumerate(("rating", "votes", "helpful"), 2)])
 
-    return F.transform(F.filter(F.split(values, "\n"), lambda text: text.startswith(_MARK)), review)
+    return F.transform(F.filter(_review_lines(), lambda text: text.startswith(_MARK)), review)
+
 
+# Why something of the text was not taken over.
+NO_FIELD, BAD_ID, BAD_TOTALS, BAD_REVIEW = "no field line", "unreadable id", "unreadable totals", "unreadable review line"
 
-def parse_blocks(blocks: DataFrame) -> DataFrame:
-    """Blocks of text to records.
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
+
+
+def _rejects() -> Column:
+    """What of a record could not be read: its number, its totals (the field is null then), review lines (left out)."""
+    def reject(reason: str, text: Column) -> Column:
+        return F.struct(F.lit(reason).alias("reason"), _stripped(text).alias("text"))
+
+    def one(found: Column, reason: str, text: Column) -> Column:
+        return F.when(found, F.array(reject(reason, text))).otherwise(
+            F.array().cast("array<struct<reason:string,text:string>>"))
+
+    number, summary = _line("Id:"), _line("reviews:")
+    values = [F.get("_summary", F.lit(at)).try_cast(kind) for at, kind in ((2, "int"), (4, "int"), (7, "double"))]
+    lines = F.filter(_review_lines(), lambda text: ~text.startswith(_MARK) & (text != ""))
+    return F.concat(one(number.isNotNull() & _second_part(number).try_cast("bigint").isNull(), BAD_ID, number),
+                    one((F.size("_summary") >= 8) & (values[0].isNull() | values[1].isNull() | values[2].isNull()),
+                        BAD_TOTALS, summary),
+                    F.transform(lines, lambda text: reject(BAD_REVIEW, text)))
+
+
+def parse_blocks(blocks: DataFrame, *more: Column) -> DataFrame:
+    """Blocks of text to records; other columns of ``blocks`` that are wanted, and expressions over the lines found, can
+    be given.
 
     The ``n`` lines after a ``categories: n`` header belong to it whatever they hold. When the block has fewer, the
     header takes all of them and the record has no categories.
     """
     # 1. Set the category lines apart.
     header = F.nullif(F.regexp_extract("block", f"(?m)^{_BLANK}*+categories:[^\\n]*", 0), F.lit(""))
-    df = blocks.select("block", header.alias("_header"), F.split("block", "\n").alias("_lines"))
+    kept = [c for c in blocks.columns if c != "block"]
+    df = blocks.select(*kept, "block", header.alias("_header"), F.split("block", "\n").alias("_lines"))
     count = F.greatest(F.coalesce(_second_part(F.col("_header")).try_cast("int"), F.lit(0)), F.lit(0))
-    df = df.select("block", "_header", "_lines",
+    df = df.select(*kept, "block", "_header", "_lines",
                    F.array_position("_lines", F.col("_header")).cast("int").alias("_at"),
                    F.least(count, F.size("_lines")).alias("_count"))
     rest = F.concat(F.slice("_lines", F.lit(1), F.col("_at")),
                     F.slice("_lines", F.col("_at") + F.col("_count") + 1, F.size("_lines")))
-    df = df.select("_header", "_count", F.slice("_lines", F.col("_at") + 1, F.col("_count")).alias("_paths"),
+    df = df.select(*kept, "_header", "_count", F.slice("_lines", F.col("_at") + 1, F.col("_count")).alias("_paths"),
                    F.when(F.col("_count") > 0, F.array_join(rest, "\n")).otherwise(F.col("block")).alias("_body"))
 
     # 2. Find the line of each field once.
@@ -154,10 +199,49 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
         total(2, "int").alias("total_reviews"),
         total(4, "int").alias("downloaded_reviews"),
         total(7, "double").alias("avg_rating"),
-        _reviews().alias("reviews"),
+        _reviews().alias("reviews"), *more
     )
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Parse a text file, or a folder of them, into one row per product record."""
     return parse_blocks(split_blocks(read_chunks(spark, path)))
+
+
+def parse_text(spark: SparkSession, path: str) -> DataFrame:
+    """Everything that one pass over the text gives: the columns of a record, and ``file``, ``is_record``, ``rejects``
+    (array of reason and text). A block without any field line is no record, and its own reject.
+
+    Records and rejects account for the whole text: every block is a record or a reject, and every line that names a
+    customer, in a record, is one of its reviews or one of its rejects.
+    """
+    blocks = all_blocks(read_chunks(spark, path)).withColumns({
+        "is_record": _is_record(), "_junk": F.when(~_is_record(), _stripped(F.col("block")))})
+    junk = F.array(F.struct(F.lit(NO_FIELD).alias("reason"), F.col("_junk").alias("text")))
+    rejects = F.when(F.col("is_record"), _rejects()).otherwise(junk)
+    return parse_blocks(blocks, F.col("file"), F.col("is_record"), rejects.alias("rejects"))
+
+
+def records_of(parsed: DataFrame) -> DataFrame:
+    """The records of :func:`parse_text`, as :func:`read_records` gives them."""
+    return parsed.filter("is_record").drop("file", "is_record", "rejects")
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """The rejects of :func:`parse_text`: file, id and asin of the record (null for a block that is none), reason, text."""
+    return parsed.filter(F.size("rejects") > 0).select("file", "id", "asin", F.inline("rejects"))
+
+
+def parse_counts(parsed: DataFrame) -> DataFrame:
+    """How much of the text was taken over and how much was not: reason (null for what was), part (block, review line or
+    field), n_rows."""
+    parts = F.array(
+        F.struct(F.lit("block").alias("part"), F.when(~F.col("is_record"), F.lit(NO_FIELD)).alias("reason"),
+                 F.lit(1).cast("bigint").alias("n")),
+        F.struct(F.lit("review line").alias("part"), F.lit(None).cast("string").alias("reason"),
+                 F.when(F.col("is_record"), F.size("reviews")).otherwise(0).cast("bigint").alias("n")))
+    lost = F.transform(F.filter("rejects", lambda r: r["reason"] != NO_FIELD), lambda r: F.struct(
+        F.when(r["reason"] == BAD_REVIEW, F.lit("review line")).otherwise(F.lit("field")).alias("part"),
+        r["reason"].alias("reason"), F.lit(1).cast("bigint").alias("n")))
+    return (parsed.select(F.inline(F.concat(parts, lost))).groupBy("part", "reason").agg(F.sum("n").alias("n_rows"))
+            .filter("n_rows > 0"))

@@ -146,7 +146,7 @@ def test_pairs(reviews, rows, min_count):
 
 def test_itemsets_by_both_ways(reviews, rows):
     baskets = bk.baskets(reviews, 6)
-    itemsets = mining.frequent_itemsets(baskets, 4)
+    itemsets = mining.fpgrowth_itemsets(baskets, 4)
     brute = brute_baskets(rows, 6)
     want = {combo: n for size in range(1, 7) for combo, n in brute_counts(brute, size).items() if n >= 4}
     assert {tuple(r["items"]): r.support for r in itemsets.collect()} == want
@@ -154,13 +154,6 @@ def test_itemsets_by_both_ways(reviews, rows):
     assert tuples(mining.itemsets_of_size(itemsets, 1)) == tuples(mining.frequent_items(baskets, 4))
 
 
-def test_triples_by_both_ways(reviews):
-    baskets = bk.baskets(reviews, 6)
-    rows = baskets.select("customer_id", F.explode("items").alias("product_id"))
-    want = tuples(mining.itemsets_of_size(mining.frequent_itemsets(baskets, 4), 3))
-    assert tuples(mining.frequent_triples(rows, 4)) == want and len(want) > 10
-
-
 def test_share_of_baskets_as_threshold(spark):
     rows = spark.createDataFrame([(c, p) for c in range(10) for p in ("a", "b", "c")[:2 + (c < 3)]],
                                  "customer_id int, product_id string")
@@ -174,7 +167,7 @@ def test_rules_are_those_of_the_library(reviews):
     model = FPGrowth(itemsCol="items", minSupport=3.5 / n, minConfidence=0.2).fit(baskets)
     want = {(tuple(sorted(r.antecedent)), r.consequent[0]): (r.confidence, r.lift, r.support)
             for r in model.associationRules.collect()}
-    rules = mining.association_rules(mining.frequent_itemsets(baskets, 4), n, 0.2).collect()
+    rules = mining.association_rules(mining.fpgrowth_itemsets(baskets, 4), n, 0.2).collect()
     got = {(tuple(r.antecedent), r.consequent): (r.confidence, r.lift, r.support) for r in rules}
     assert got.keys() == want.keys() and len(rules) == len(want) > 20
     for key, values in want.items():

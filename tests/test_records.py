@@ -2,6 +2,7 @@
 
 import pytest
 
+from cobasket.sources import records
 from cobasket.sources.records import read_records
 
 FULL = """Id:   1
@@ -179,3 +180,37 @@ def test_review_lines_of_any_order_keep_their_place(parse):
              "2000-1-4  cutomer: C4  rating: 4  votes: 5  helpful: 6  trailing: 7"]
     found = [tuple(r.values()) for r in parse(block(*lines))[0]["reviews"]]
     assert found == [("2000-1-1", "C1", 1, 2, 3), ("2000-1-2", "C:2", 2, 3, 4), ("2000-1-4", "C4", 4, 5, 6)]
+
+
+def test_rejects_and_records_account_for_all_blocks_and_review_lines(spark, tmp_path):
+    review = "    2001-1-2  cutomer: K{}  rating: {}  votes: 1  helpful: 0"
+    first = "\n".join([
+        "# dump of 2005", "total items: 3", "", "Id:   1", "ASIN: A", "  reviews: total: x  downloaded: 1  avg rating: 2",
+        review.format(1, 5), review.format(2, "five"), "", "Id:   n/a", "ASIN: B", "  categories: 2", "   |a[1]", "   |b[2]",
+        review.format(3, 4), "    2001-1-2  cutomer:", "", "Id:   3", "  discontinued product", ""])
+    (tmp_path / "one.txt").write_text(first)
+    (tmp_path / "two.txt").write_bytes(("just words\r\n\r\nASIN: C\r\n  reviews: total: 1\r\n" + review.format(4, 1)).encode()
+                                       + b"\xff\xfe\r\n\r\n \r\n" + "ïd: 3".encode())
+    parsed = records.parse_text(spark, str(tmp_path)).cache()
+    found = sorted((r.file.rpartition("/")[2], r.id, r.asin, r.reason, r.text) for r in records.rejects_of(parsed).fillna(
+        {"id": -1, "asin": ""}).collect())
+    assert found == sorted([
+        ("one.txt", -1, "", "no field line", "# dump of 2005\ntotal items: 3"),
+        ("one.txt", 1, "A", "unreadable totals", "reviews: total: x  downloaded: 1  avg rating: 2"),
+        ("one.txt", 1, "A", "unreadable review line", review.format(2, "five").strip()),
+        ("one.txt", -1, "B", "unreadable id", "Id:   n/a"),
+        ("one.txt", -1, "B", "unreadable review line", "2001-1-2  cutomer:"),
+        ("two.txt", -1, "", "no field line", "just words"), ("two.txt", -1, "", "no field line", "ïd: 3")])
+    counts = {(r.part, r.reason): r.n_rows for r in records.parse_counts(parsed).collect()}
+    assert counts == {("block", None): 4, ("block", "no field line"): 3, ("review line", None): 3,
+                      ("review line", "unreadable review line"): 2, ("field", "unreadable id"): 1,
+                      ("field", "unreadable totals"): 1}
+    assert records.records_of(parsed).exceptAll(read_records(spark, str(tmp_path))).isEmpty()
+    assert records.records_of(parsed).count() == read_records(spark, str(tmp_path)).count() == 4
+    parsed.unpersist()
+
+
+def test_no_text_no_rejects(spark, tmp_path):
+    (tmp_path / "empty.txt").write_text("")
+    parsed = records.parse_text(spark, str(tmp_path))
+    assert records.rejects_of(parsed).isEmpty() and records.parse_counts(parsed).isEmpty()
