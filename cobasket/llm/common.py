@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cobasket.session import scratch_path
 
 BLOCK_BYTES = 4 << 20  # text handled at a time inside a task
+SENT_KEYS = 200_000  # some 20 MB where they are digests
 WORDS = r"[^\x20\x09-\x0D]+"  # a word, as most operators see it: bytes.split() gives the same
 
 
@@ -66,6 +67,14 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def dropped(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` isn't in ``gone``. The keys are stored; up to :data:`SENT_KEYS` of them, numbers or digests
+    and so of a known size, are sent to the tasks and the rows stay where they are. Beyond, both sides are shuffled."""
+    gone = written(gone.select(key).distinct(), "gone")
+    few = gone.limit(SENT_KEYS + 1).count() <= SENT_KEYS
+    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti")
+
+
 def about(rows: DataFrame, n: int, total: int, key: str = "id") -> DataFrame:
     """About ``n`` of ``total`` rows, the same ones every time: those whose key has a small hash. Nothing is sorted, and
     no task passes on more than its share."""

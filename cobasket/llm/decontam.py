@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.common import free, written
+from cobasket.llm.common import dropped, free, written
 
 N = 10
 BROADCAST_GRAMS = 500_000  # n-grams that are broadcast at most (some 100 MB); beyond, the lookup is a shuffled join
@@ -156,8 +156,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of ``docs`` whose text has no hit, with all their columns."""
     _, texts = by_text(docs, benchmark, n, id_col, text_col, item_col, item_text_col)
     own = free(docs, "_key")
-    return docs.withColumn(own, text_key(F.col(text_col))).join(texts.select(F.col("key").alias(own)), own, "left_anti") \
-        .drop(own)
+    return dropped(docs.withColumn(own, text_key(F.col(text_col))), texts.select(F.col("key").alias(own)), own).drop(own)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,

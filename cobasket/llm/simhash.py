@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.common import blocks, free, record_batch, written
+from cobasket.llm.common import blocks, dropped, free, record_batch, written
 from cobasket.llm.components import connected_components
 
 BITS = 64
@@ -147,4 +147,4 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed
     stored = written(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
     found = _components(stored, radius, shingle, seed, id_col, text_col, F.col(own))
     gone = found.filter(F.col("row") != F.col("keep_row")).select(F.col("row").alias(own))
-    return stored.join(gone, own, "left_anti").drop(own)
+    return dropped(stored, gone, own).drop(own)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cobasket.llm.common import about, free, written
+from cobasket.llm.common import about, dropped, free, written
 from cobasket.llm.components import connected_components
 
 THRESHOLD = 0.9
@@ -360,4 +360,4 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_i
     stored = written(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
     found = _results(stored, F.col(own), threshold, id_col, vector_col, cores, cell, left, right)
     gone = found.filter(F.col("row") != F.col("keep_row")).select(F.col("row").alias(own))
-    return stored.join(gone, own, "left_anti").drop(own)
+    return dropped(stored, gone, own).drop(own)
