@@ -154,7 +154,12 @@ class Memo:
     their own: the tokenizer lowers case, and parts marks from an ASCII or Latin-1 letter or a digit before them.
     """
 
-    MARK = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-/:-@\[-`{-~]+(?:\s|$))")
+    # The marks that end a word; a first mark comes first in the pattern, so that a search skips to one.
+    _MARK = rb"[!-/:-@\[-`{-~]"
+    MARK = re.compile(_MARK + rb"(?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))" + _MARK + rb"*(?=\s|\Z)")
+
+    MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+    LETTER = re.compile(rb"(?:[a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
 
     def __init__(self, encode: Callable[[list[bytes]], list[bytes]], limit: int = MEMO):
         self.encode, self.limit = encode, limit
@@ -164,22 +169,43 @@ class Memo:
     def split(self, text: bytes) -> list[bytes]:
         if b"<|" in text:  # special tokens have a case, and marks
             return text.split()
-        return self.MARK.sub(b" ", text.lower()).split()
+        return self.MARK.sub(rb" \g<0>", text.lower()).split()
+
+    def parts(self, piece: bytes) -> tuple[bytes, ...]:
+        """What a piece's ids are put together from: its letters and its marks at the end, or itself."""
+        stem = piece.rstrip(self.MARKS)
+        if len(stem) == len(piece) or not self.LETTER.search(stem) or b"<|" in piece:
+            return (piece,)
+        return stem, piece[len(stem):]
 
     def learn(self, split: list[list[bytes]]) -> None:
+        """Make the ids of all these pieces known. A new piece that still has its marks is put together."""
         need = set().union(*split)
         if len(self.known) > self.limit:
             self.older, self.known = self.known, {}
-        new = []
-        for piece in need - self.known.keys():
-            ids = self.older.get(piece)
-            if ids is None:
-                new.append(piece)
-            else:
-                self.known[piece] = ids
-        for at in range(0, len(new), TOGETHER):
-            part = new[at:at + TOGETHER]
-            self.known.update(zip(part, self.encode(part)))
+        known, older = self.known, self.older
+        made, new = [], set()
+        for piece in need - known.keys():
+            ids = older.get(piece)
+            if ids is not None:
+                known[piece] = ids
+                continue
+            parts = self.parts(piece)
+            if len(parts) > 1:
+                made.append((piece, *parts))
+            for part in parts:
+                if part not in known:
+                    ids = older.get(part)
+                    if ids is None:
+                        new.add(part)
+                    else:
+                        known[part] = ids
+        rows = sorted(new)
+        for at in range(0, len(rows), TOGETHER):
+            batch = rows[at:at + TOGETHER]
+            known.update(zip(batch, self.encode(batch)))
+        for piece, stem, marks in made:
+            known[piece] = known[stem] + known[marks]
 
     def encode_texts(self, texts: list[bytes]) -> list[bytes]:
         split = [self.split(t) for t in texts]
