@@ -1,10 +1,14 @@
 """Token counts from a compiled tokenizer, without building the tokens.
 
 A sentencepiece model of merges is compiled into a deterministic transducer (``transducer.py``) whose transitions
-carry the change of the token count. Text is cut into chunks at any character. A chunk acts on the state before it as
+carry the change of the token count. Text is cut into chunks at any character; a chunk in which no word starts is joined
+to the one before it, so a stretch without blanks is one chunk however long it is. A chunk acts on the state before it as
 a map: up to its first place where a word starts, the map depends on that state (the chunk's head); from there on it is
 constant, as no token spans the start of a word. All constant parts run side by side, one symbol of each chunk at a
-time; a parallel prefix scan then composes the maps of a text's chunks and gives the count at the end of each.
+time; a parallel prefix scan then composes the maps of a text's chunks and gives the count at the end of each. Symbols of
+a constant part run once, those of a head, which is shorter than a chunk but for a text's first, once for each step of
+the scan; that first head is resolved before the scan. Where few stretches are left that are longer than the others, they
+run number by number.
 """
 
 from __future__ import annotations
@@ -91,7 +95,10 @@ def count_strands(transducer: Transducer, strands: list[np.ndarray], carried: np
     sync[1:] = (text[1:] == SPACE) & (text[:-1] != SPACE)
     sync[begin] = False  # what stands before is in another strand
     starts = np.unique(np.concatenate([begin, np.arange(0, len(text), chunk)]))
-    maps = ChunkMaps(transducer, text, starts, np.append(starts[1:], len(text)), np.flatnonzero(sync))
+    syncs = np.flatnonzero(sync)
+    held = np.searchsorted(syncs, np.append(starts[1:], len(text))) > np.searchsorted(syncs, starts)
+    starts = starts[held | np.isin(starts, begin)]  # a chunk without a word start goes on the one before
+    maps = ChunkMaps(transducer, text, starts, np.append(starts[1:], len(text)), syncs)
     strand = np.searchsorted(begin, starts, side="right") - 1
     maps.scan(strand, carried)
     last = np.searchsorted(strand, np.arange(len(begin)), side="right") - 1

@@ -23,6 +23,9 @@ import numpy as np
 NEVER = 1 << 60
 SYMBOL_BITS = 21
 CACHED = 300_000  # entries of a cache
+FEW = 4  # runs that go number by number
+PART = 1 << 16  # symbols turned into numbers at a time
+SINGLE = 50_000  # states in the table of a single run
 
 
 class Merges:
@@ -213,6 +216,7 @@ class Transducer:
         return found
 
     def _clear(self) -> None:
+        self._single: tuple[dict, list, dict] = ({}, [], {})  # numbers of states, states, transitions
         self.shapes: list[tuple] = []
         self.ids: dict[tuple, int] = {}
         self._intern(((0, 0, 0),))  # state 0: before any symbol
@@ -319,6 +323,34 @@ class Transducer:
         if self.n > self.max_transitions:
             self._clear()
 
+    def _alone(self, symbols: np.ndarray, start: int, stop: int, state: int) -> tuple[int, int]:
+        """The end state and the change of the count of a single run, with a table of its own: symbols without word
+        starts lead to ever new states, so the table begins anew when it is full."""
+        numbers, shapes, known = self._single
+        total, at = 0, numbers.setdefault(self.shapes[state], len(shapes))
+        if at == len(shapes):
+            shapes.append(self.shapes[state])
+        for first in range(start, stop, PART):
+            for symbol in symbols[first:min(first + PART, stop)].tolist():
+                key = at << SYMBOL_BITS | symbol
+                found = known.get(key)
+                if found is None:
+                    shape, change, _ = self._compile(shapes[at], symbol)
+                    if len(shapes) > SINGLE:
+                        for table in (numbers, shapes, known):
+                            table.clear()
+                        key = -1
+                    at = numbers.setdefault(shape, len(shapes))
+                    if at == len(shapes):
+                        shapes.append(shape)
+                    if key >= 0:
+                        known[key] = at, change
+                    total += change
+                else:
+                    at = found[0]
+                    total += found[1]
+        return self._intern(shapes[at]), total
+
     def run(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, states: np.ndarray | None = None,
             each=None) -> tuple[np.ndarray, np.ndarray]:
         """Run over many stretches of ``symbols`` side by side: end states and changes of the token count.
@@ -333,6 +365,11 @@ class Transducer:
         active = np.searchsorted(-lengths, -np.arange(longest), side="left")
         for i in range(longest):
             n = int(active[i])
+            if n <= FEW and each is None:  # a few long ones are left: number by number is faster than arrays
+                for k in range(n):
+                    at[k], more = self._alone(symbols, int(starts[k]) + i, int(starts[k] + lengths[k]), int(at[k]))
+                    total[k] += more
+                break
             at[:n], change, last = self.step(at[:n], symbols[starts[:n] + i])
             total[:n] += change
             if each is not None:
