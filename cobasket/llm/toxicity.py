@@ -7,7 +7,7 @@ restored words are then looked up among word stems that labelled documents show
 a document's strongest evidence into a score.
 
 Trigram counts are summed by Spark over all training texts (27 letters, so a table of fixed size). Stems are learned
-from about :data:`FIT_DOCS` labelled rows, and at most :data:`MAX_STEMS` of them make the model.
+from about :data:`FIT_DOCS` labelled rows. A word that is parted by single blanks into longer pieces isn't looked for.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, functions as F
 from cobasket.llm.common import about, blocks, crc_mod, id_and_text, record_batch
 
 FIT_DOCS = 20_000
-MAX_STEMS = 4000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
 MIN_TOXIC = 4  # toxic documents that a stem must be in
@@ -44,7 +43,7 @@ _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "€
 _EDGE_MARKS = "".join(c for c in _MARKS if c not in _LOOK_MARKS)
 _REPEAT = re.compile(r"(.)\1\1")
 _ODD = re.compile(r"[a-z][^a-z\u0080-￿]+[a-z]|[0-9@$!|+(€][a-z]|[a-z][0-9@$!€]")
-_SPACED = re.compile(r"(?:(?<=\s)|^)(?:[^\s] +){3,}[^\s](?=\s|$)")
+_SPACED = re.compile(r"(?:(?<=\s)|^)(?:[^\s] +){2,}[^\s](?=\s|$)")
 
 
 def letter_trigrams(words: list[bytes]) -> np.ndarray:
@@ -68,28 +67,36 @@ class Channel:
         self.cost = -np.log(three)
 
     def restore(self, token: str) -> str:
-        """The likeliest plain word. A letter beyond a-z stands for itself, at a price; nothing else is dropped free."""
-        best = {(0, 0, ""): (0.0, "")}  # (two letters before, last source character) -> cost, word
-        for char in token:
-            step: dict[tuple, tuple[float, str]] = {}
+        """The likeliest plain word. A letter beyond a-z stands for itself, at a price; nothing else is dropped free.
+        Paths share their beginnings as links back, so a token of any length takes time in proportion."""
+        best: dict[tuple, tuple[float, tuple | None]] = {(0, 0, ""): (0.0, None)}
+        for char in token:  # keys: two letters before, last source character; values: cost, (letter, link back)
+            step: dict[tuple, tuple[float, tuple | None]] = {}
 
-            def offer(key: tuple, cost: float, word: str) -> None:
-                if key not in step or (cost, word) < step[key]:
-                    step[key] = (cost, word)
+            def offer(key: tuple, cost: float, path: tuple | None, letter: str = "") -> None:
+                if key not in step or cost < step[key][0]:
+                    step[key] = cost, (letter, path) if letter else path
 
             plain = "a" <= char <= "z"
-            for (a, b, last), (cost, word) in best.items():
+            for (a, b, last), (cost, path) in best.items():
                 for letter in (char if plain else "") + LOOKS.get(char, ""):
                     c = ord(letter) - 96
-                    offer((b, c, char), cost + self.cost[a, b, c] + (0 if letter == char else LOOK_COST), word + letter)
+                    offer((b, c, char), cost + self.cost[a, b, c] + (0 if letter == char else LOOK_COST), path, letter)
                 if char == last and char not in SEPARATORS:
-                    offer((a, b, char), cost + REPEAT_COST / 3, word)
+                    offer((a, b, char), cost + REPEAT_COST / 3, path)
                 if char in SEPARATORS:
-                    offer((a, b, last), cost + SKIP_COST, word)
+                    offer((a, b, last), cost + SKIP_COST, path)
                 if not plain and char not in SEPARATORS:
-                    offer((b, 0, char), cost + FOREIGN_COST, word + char)
+                    offer((b, 0, char), cost + FOREIGN_COST, path, char)
             best = step
-        return min((cost + self.cost[a, b, 0], word) for (a, b, _), (cost, word) in best.items())[1] if best else ""
+        if not best:
+            return ""
+        path = min(((cost + self.cost[a, b, 0], path) for (a, b, _), (cost, path) in best.items()), key=lambda end: end[0])[1]
+        letters = []
+        while path is not None:
+            letter, path = path
+            letters.append(letter)
+        return "".join(reversed(letters))
 
 
 class Restorer:
@@ -104,8 +111,8 @@ class Restorer:
             text = token.decode().lower().strip(_EDGE_MARKS)
             plain = text.strip(_MARKS)
             if _REPEAT.search(plain) or not (plain == text and plain.isalpha()) and _ODD.search(text):
-                found = tuple(dict.fromkeys(w for w in (plain, self.channel.restore(text),
-                                                        self.channel.restore(plain)) if w))
+                restored = [self.channel.restore(t) for t in dict.fromkeys((text, plain))]
+                found = tuple(dict.fromkeys(w for w in (plain, *restored) if w))
             else:
                 found = (plain,) if plain else ()
             if len(self.known) > MEMO:
@@ -118,14 +125,16 @@ class Restorer:
         out = []
         for run in _SPACED.finditer(text):
             letters = run.group().lower().split()
-            if len(set(letters)) > 2:
+            if len(set(letters)) > 1:
                 for at in range(0, len(letters), 200):  # a run's parts overlap by more than a word
                     out.append(self.channel.restore("".join(letters[at:at + 240])))
         return out
 
 
 def stems(word: str) -> set[str]:
-    """The beginnings of a word, itself included."""
+    """The beginnings of a word, itself included; a word of two or three letters as a whole, with an end mark."""
+    if len(word) < STEM[0]:
+        return {f"{word}$"} if len(word) > 1 else set()
     return {word[:n] for n in range(STEM[0], min(len(word), STEM[1]) + 1)}
 
 
@@ -143,8 +152,8 @@ class Model:
 
     def _best(self, words: Iterable[str]) -> tuple[str, float] | None:
         """The strongest stem that any of the words begins with."""
-        hits = [(self.evidence[s], s) for word in words if word[:STEM[0]] in self.heads
-                for n in range(STEM[0], min(len(word), STEM[1]) + 1) if (s := word[:n]) in self.evidence]
+        hits = [(self.evidence[s], s) for word in words if len(word) < STEM[0] or word[:STEM[0]] in self.heads
+                for s in stems(word) if s in self.evidence]
         return max(hits)[::-1] if hits else None
 
     def _of(self, token: bytes) -> tuple[str, float] | None:
@@ -210,7 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         for batch in batches:
             for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
                 raw = text.as_py() or b""
-                found = set().union(*(stems(w) for t in set(raw.split()) for w in restorer.words(t)), set())
+                found = set().union(*(stems(w) for t in set(raw.split()) for w in restorer.words(t)),
+                                    *map(stems, restorer.spaced(raw.decode())))
                 for stem in found:
                     counts[stem, label] = counts.get((stem, label), 0) + 1
             if len(counts) > 2 * MEMO:
@@ -225,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     n_toxic, n_clean = chosen.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") != 1)).first()
     odds = F.log((F.col("toxic") + 0.1) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     top = (sums.filter(F.col("toxic") >= MIN_TOXIC).withColumn("odds", odds).filter("odds > 2.5")
-           .orderBy(F.desc("odds"), "stem").limit(MAX_STEMS).collect())
+           .orderBy(F.desc("odds"), "stem").collect())  # of about fit_docs rows
     model = Model(channel, {row["stem"]: row["odds"] for row in top}, np.array([-3.0, 0.0, 0.0, 0.0]))
     if not n_toxic or not n_clean:
         return model
