@@ -98,22 +98,27 @@ class GatedAttention:
         """Scores of bags: rows of ``x`` from each start to the next, rounded past what the order of sums may change."""
         return np.round(self._forward((x - self.mean) / self.scale, starts)[-1], 10)
 
+    def gradients(self, x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss, by parameter; ``x`` is scaled already."""
+        p = self.p
+        h, t, s, a, z, sizes, y = self._forward(x, starts)
+        dz = (y - labels)[:, None] / len(labels)
+        g = {"w": z.T @ dz[:, 0], "c": dz.sum(axis=0)}
+        dz = np.repeat(dz * p["w"], sizes, axis=0)
+        da = (dz * h).sum(axis=1)
+        de = a * (da - np.repeat(np.add.reduceat(a * da, starts), sizes))
+        dt, ds = de[:, None] * p["u"] * s * (1 - t * t), de[:, None] * p["u"] * t * s * (1 - s)
+        g |= {"u": (t * s).T @ de, "V": h.T @ dt, "U": h.T @ ds}
+        dh = (a[:, None] * dz + dt @ p["V"].T + ds @ p["U"].T) * (1 - h * h)
+        return g | {"W": x.T @ dh, "b": dh.sum(axis=0)}
+
     def fit(self, x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> GatedAttention:
         """Full-batch Adam on the log loss with a small penalty."""
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 0.05
         x, p = (x - self.mean) / self.scale, self.p
         first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
         for step in range(1, STEPS + 1):
-            h, t, s, a, z, sizes, y = self._forward(x, starts)
-            dz = (y - labels)[:, None] / len(labels)
-            g = {"w": z.T @ dz[:, 0], "c": dz.sum(axis=0)}
-            dz = np.repeat(dz * p["w"], sizes, axis=0)
-            da = (dz * h).sum(axis=1)
-            de = a * (da - np.repeat(np.add.reduceat(a * da, starts), sizes))
-            dt, ds = de[:, None] * p["u"] * s * (1 - t * t), de[:, None] * p["u"] * t * s * (1 - s)
-            g |= {"u": (t * s).T @ de, "V": h.T @ dt, "U": h.T @ ds}
-            dh = (a[:, None] * dz + dt @ p["V"].T + ds @ p["U"].T) * (1 - h * h)
-            g |= {"W": x.T @ dh, "b": dh.sum(axis=0)}
+            g = self.gradients(x, starts, labels)
             for k, v in p.items():
                 grad = g[k] + 1e-4 * v
                 first[k] = 0.9 * first[k] + 0.1 * grad
