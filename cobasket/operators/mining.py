@@ -45,10 +45,10 @@ def item_rows(baskets: DataFrame, basket: str = "customer_id") -> DataFrame:
     return baskets.select(basket, item.alias("item"))
 
 
-def count_of_share(baskets: DataFrame, min_support: float, basket: str = "customer_id") -> Column:
+def count_of_share(baskets: DataFrame, min_support: float, basket: str = "customer_id", at_least: int = 2) -> Column:
     """The number of baskets that reaches a relative support, as a scalar subquery: a threshold that grows with the data
-    and needs no action of its own."""
-    return F.greatest(F.lit(1), F.ceil(F.lit(float(min_support)) * basket_count(baskets, basket)))
+    and needs no action of its own. What is in one basket alone is no pattern, so it is ``at_least`` two."""
+    return F.greatest(F.lit(at_least), F.ceil(F.lit(float(min_support)) * basket_count(baskets, basket)))
 
 
 def frequent_items(baskets: DataFrame, min_count: int | Column, basket: str = "customer_id") -> DataFrame:
@@ -61,13 +61,16 @@ def pair_groups(rows: DataFrame, basket: str = "customer_id", block: int = BLOCK
 
     A basket of n items has ceil(n / block) blocks by the hash of the item. An item goes to the groups of its block
     with each block, so a group holds two blocks: some 2 x ``block`` items, whatever the basket. Pairs inside one block
-    are made in its group with itself. The numbers of blocks are stored before they are joined: see ``session.stored``.
+    are made in its group with itself. The numbers of blocks are stored before they are joined (see ``session.stored``);
+    ``rows`` must not be dealt out by basket yet: those of a stored table or of a distinct are not.
     """
     sizes = stored(rows.groupBy(basket).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks")), "basket-blocks")
     placed = rows.join(sizes, basket).withColumn("_own", F.pmod(F.xxhash64("item"), F.col("_blocks")).cast("int"))
     dealt = placed.select(basket, "item", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_with"))
-    return dealt.groupBy(basket, F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j")).agg(
-        F.sort_array(F.collect_list(F.struct("item", "_own"))).alias("_items")).filter(F.size("_items") > 1)
+    # One key instead of three: rows that are dealt out by basket already would otherwise stay where they are.
+    key = F.struct(basket, F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j")).alias("_key")
+    return dealt.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("item", "_own"))).alias("_items")) \
+        .filter(F.size("_items") > 1).select("_key.*", "_items")
 
 
 def pairs_of(groups: DataFrame, basket: str = "customer_id") -> DataFrame:

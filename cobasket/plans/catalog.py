@@ -564,7 +564,7 @@ def frequent_itemsets(spark, sf):
 @query
 def frequent_pairs_fpgrowth(spark, sf):
     found = staging.order_baskets(spark, sf)
-    least = mi.min_count_of(found.count(), staging.ORDER_SHARE)
+    least = max(2, mi.min_count_of(found.count(), staging.ORDER_SHARE))
     return mi.itemsets_of_size(mi.fpgrowth_itemsets(found, least), 2)
 
 

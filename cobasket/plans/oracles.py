@@ -37,7 +37,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
         GROUP BY 1, 2 HAVING count(*) >= {views.SIMILAR_ORDERS}"""),
     "order_min": (["order_rows"], f"""
-        SELECT greatest(1, ceil({st.ORDER_SHARE} * count(DISTINCT order_id))) AS least FROM order_rows"""),
+        SELECT greatest(2, ceil({st.ORDER_SHARE} * count(DISTINCT order_id))) AS least FROM order_rows"""),
     "order_frequent_pairs": (["order_rows", "order_min"], """
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM order_rows x JOIN order_rows y ON x.order_id = y.order_id AND x.product_id < y.product_id
@@ -49,14 +49,14 @@ CTES: dict[str, tuple[list[str], str]] = {
         QUALIFY count(*) OVER (PARTITION BY order_id) >= 2"""),
     "attribute_min": (["attribute_rows"], f"""
         SELECT count(DISTINCT order_id) AS n,
-               greatest(1, ceil({st.ATTRIBUTE_SHARE} * count(DISTINCT order_id))) AS least,
-               greatest(1, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least_sets FROM attribute_rows"""),
+               greatest(2, ceil({st.ATTRIBUTE_SHARE} * count(DISTINCT order_id))) AS least,
+               greatest(2, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least_sets FROM attribute_rows"""),
     "attribute_train": (["attribute_rows"], f"""
         SELECT * FROM attribute_rows WHERE {HASH.format(cols='order_id')} % 100 < 70"""),
     "attribute_test": (["attribute_rows"], f"""
         SELECT * FROM attribute_rows WHERE {HASH.format(cols='order_id')} % 100 >= 70"""),
     "train_sets_min": (["attribute_train"], f"""
-        SELECT greatest(1, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least FROM attribute_train"""),
+        SELECT greatest(2, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least FROM attribute_train"""),
     # Occurrences of the sets of each size, for frequent ones of the size before; up to size 5, of which there are none.
     "in2": (["attribute_train", "train_sets_min"], """
         SELECT x.order_id, [x.item, y.item] AS items FROM attribute_train x JOIN attribute_train y
@@ -152,7 +152,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         ) WHERE n <= {st.MAX_ITEMS} QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
     "n_baskets": (["basket_rows"], f"""
         SELECT count(DISTINCT customer_id) AS n,
-               greatest(1, ceil({st.CUSTOMER_SHARE} * count(DISTINCT customer_id))) AS least FROM basket_rows"""),
+               greatest(2, ceil({st.CUSTOMER_SHARE} * count(DISTINCT customer_id))) AS least FROM basket_rows"""),
     "items": (["basket_rows", "n_baskets"], """
         SELECT product_id AS item, count(*) AS support FROM basket_rows GROUP BY 1
         HAVING count(*) >= (SELECT least FROM n_baskets)"""),
@@ -177,8 +177,8 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM (SELECT DISTINCT customer_id, product_id FROM split WHERE dataset = 'train')
         QUALIFY count(*) OVER (PARTITION BY customer_id) >= 2"""),
     "train_min": (["train_rows"], f"""
-        SELECT greatest(1, ceil({st.TRAIN_SHARE} * count(DISTINCT customer_id))) AS least,
-               greatest(1, ceil({st.SAMPLED_SHARE} * count(DISTINCT customer_id))) AS least_sampled FROM train_rows"""),
+        SELECT greatest(2, ceil({st.TRAIN_SHARE} * count(DISTINCT customer_id))) AS least,
+               greatest(2, ceil({st.SAMPLED_SHARE} * count(DISTINCT customer_id))) AS least_sampled FROM train_rows"""),
     "train_pairs": (["train_rows"], """
         SELECT x.product_id AS item1, y.product_id AS item2, count(*) AS support
         FROM train_rows x JOIN train_rows y ON x.customer_id = y.customer_id AND x.product_id < y.product_id

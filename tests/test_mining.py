@@ -158,6 +158,7 @@ def test_share_of_baskets_as_threshold(spark):
     rows = spark.createDataFrame([(c, p) for c in range(10) for p in ("a", "b", "c")[:2 + (c < 3)]],
                                  "customer_id int, product_id string")
     found = {share: tuples(mining.frequent_items(rows, mining.count_of_share(rows, share))) for share in (0.0, 0.3, 0.31)}
+    assert rows.select(mining.count_of_share(rows, 0.01)).first()[0] == 2
     assert found[0.0] == found[0.3] == [("a", 10), ("b", 10), ("c", 3)] and found[0.31] == [("a", 10), ("b", 10)]
 
 
