@@ -37,7 +37,8 @@ LOADS = {
 QUERIES = ["filter_high_rated", "top_products", "search_form_default", "category_analysis", "top_categories",
            "top_reviewers", "load_relationships", "similarity_network", "similar_pair_support",
            "active_customer_products", "frequent_pairs", "frequent_itemsets", "pair_rules", "ranked_patterns",
-           "attribute_pairs", "attribute_triples", "train_rules",
+           "attribute_pairs", "attribute_triples", "train_rules", "validate_itemsets", "snapshot_differences",
+           "scan_reviews_by_product",
            "sample_customers", "enriched_patterns", "validate_patterns", "pattern_overview", "rating_distribution",
            "parse_products", "parse_reviews", "clean_reviews", "clean_rejects"]
 

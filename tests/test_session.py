@@ -4,10 +4,13 @@ from types import SimpleNamespace
 
 import pytest
 
-from cobasket.session import checkpointed, scratch_path, shared_dir
+from cobasket import session as sessions
+from cobasket.session import checkpointed, scratch_path, shared_dir, stored
 
 
 class Context:
+    applicationId = "fake"
+
     def __init__(self, master, directory=None):
         self.master, self.directory = master, directory
 
@@ -45,3 +48,13 @@ def test_checkpoint_cuts_the_plan(spark):
     df = checkpointed(spark.range(10).filter("id % 2 = 0"))
     assert df.count() == 5
     assert "Filter" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_tables_are_read_back_and_removed(spark, monkeypatch):
+    monkeypatch.setattr(sessions, "_scratch", {})
+    one = stored(spark.range(10).selectExpr("id", "id % 3 AS k"), "one")
+    assert one.count() == 10 and "Range" not in one._jdf.queryExecution().executedPlan().toString()
+    path = sessions._scratch[spark.sparkContext.applicationId][0]
+    system, found = sessions.file_of(spark, path)
+    assert system.exists(found) and sessions.remove_scratch(spark) == 1 and not system.exists(found)
+    assert sessions.remove_scratch(spark) == 0
