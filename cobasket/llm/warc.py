@@ -1,8 +1,9 @@
 """Web archives as tables of chunked records.
 
 An archive row is one WARC/1.1 record of bounded size. A payload beyond that size becomes a first segment and numbered
-continuation records, as the format provides, so a row is named by its record's serial and its chunk number, and no
-writer or reader ever holds more of a payload than a chunk. A chunk carries its own digest and that of the payload up to
+continuation records, as the format provides, so a row is named by its record's serial and its chunk number. The reader
+never holds more of a payload than a chunk; the writer gets a payload whole in its row, and adds one copy of it and no more
+than a chunk of each record. A chunk carries its own digest and that of the payload up to
 its end, taken step by step; the reader takes them again the same way and compares.
 
 Rows are written and read by Spark's text source, whose separators are the ends of records: any store that Spark writes
