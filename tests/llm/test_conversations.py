@@ -73,7 +73,7 @@ def frame(spark, conversations):
     return spark.createDataFrame([(i, *row, -1, "x") for i, rows in conversations for row in rows], SCHEMA)
 
 
-@pytest.mark.parametrize("page", [512, 7, 2, 1])
+@pytest.mark.parametrize("page", [512, 7, 1])
 def test_same_as_all_lists_of_edits(spark, page):
     rng = random.Random(page)
     known = [(i, random_rows(rng, rng.choice([1, 2, 3, 5, 6, 7]))) for i in range(60)]
@@ -86,11 +86,10 @@ def test_inserted_rows(spark):
     rng = random.Random(5)
     for costs in (cv.Costs(), cv.Costs(insert=1), cv.Costs(rerole=3, delete=4, insert=2, truncated=1), cv.Costs(1, 9, 1, 0)):
         known = [(i, random_rows(rng, rng.choice([1, 2, 3, 3]))) for i in range(25)]
-        for page in (512, 2):
-            found = {r.conv_id: tuple(r)[1:] for r in cv.repair(frame(spark, known), costs, page=page).collect()}
-            for i, rows in known:
-                want = brute_report(rows, costs, 5 if costs.insert < 5 else 2)
-                assert found[i] == want, (costs, rows)
+        found = {r.conv_id: tuple(r)[1:] for r in cv.repair(frame(spark, known), costs, page=2).collect()}
+        for i, rows in known:
+            want = brute_report(rows, costs, 5 if costs.insert < 5 else 2)
+            assert found[i] == want, (costs, rows)
     assert any("I" in f[6] for f in found.values())
 
 
