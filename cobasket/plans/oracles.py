@@ -57,31 +57,9 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT * FROM attribute_rows WHERE {HASH.format(cols='order_id')} % 100 >= 70"""),
     "train_sets_min": (["attribute_train"], f"""
         SELECT greatest(2, ceil({st.SETS_SHARE} * count(DISTINCT order_id))) AS least FROM attribute_train"""),
-    # Occurrences of the sets of each size, for frequent ones of the size before; up to size 5, of which there are none.
     "in2": (["attribute_train", "train_sets_min"], """
         SELECT x.order_id, [x.item, y.item] AS items FROM attribute_train x JOIN attribute_train y
         ON x.order_id = y.order_id AND x.item < y.item"""),
-    "sets2": (["in2", "train_sets_min"], """
-        SELECT items, count(*) AS support FROM in2 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
-    "in3": (["in2", "sets2", "attribute_train"], """
-        SELECT order_id, list_append(items, item) AS items FROM in2 SEMI JOIN sets2 USING (items)
-        JOIN attribute_train USING (order_id) WHERE item > items[-1]"""),
-    "sets3": (["in3", "train_sets_min"], """
-        SELECT items, count(*) AS support FROM in3 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
-    "in4": (["in3", "sets3", "attribute_train"], """
-        SELECT order_id, list_append(items, item) AS items FROM in3 SEMI JOIN sets3 USING (items)
-        JOIN attribute_train USING (order_id) WHERE item > items[-1]"""),
-    "sets4": (["in4", "train_sets_min"], """
-        SELECT items, count(*) AS support FROM in4 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
-    "in5": (["in4", "sets4", "attribute_train"], """
-        SELECT order_id, list_append(items, item) AS items FROM in4 SEMI JOIN sets4 USING (items)
-        JOIN attribute_train USING (order_id) WHERE item > items[-1]"""),
-    "sets5": (["in5", "train_sets_min"], """
-        SELECT items, count(*) AS support FROM in5 GROUP BY 1 HAVING count(*) >= (SELECT least FROM train_sets_min)"""),
-    "train_sets": (["sets2", "sets3", "sets4", "sets5"], """
-        SELECT items, len(items) AS n_items, support FROM (
-            SELECT * FROM sets2 UNION ALL SELECT * FROM sets3 UNION ALL SELECT * FROM sets4
-            UNION ALL SELECT * FROM sets5)"""),
     "tested_sets": (["train_sets", "attribute_test"], """
         SELECT items, n_items, support AS train_support, count(*) AS test_support FROM (
             SELECT items, n_items, support, order_id FROM (SELECT *, unnest(items) AS item FROM train_sets)
@@ -250,6 +228,22 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
+# Sets of brands and sizes of an order, which has 7 lines at most and so 14 of them: the occurrences of each size are those
+# of frequent sets of the size before with one item more.
+LARGEST_SET = 14
+for size in range(2, LARGEST_SET + 1):
+    if size > 2:
+        CTES[f"in{size}"] = ([f"in{size - 1}", f"sets{size - 1}", "attribute_train"], f"""
+        SELECT order_id, list_append(items, item) AS items FROM in{size - 1} SEMI JOIN sets{size - 1} USING (items)
+        JOIN attribute_train USING (order_id) WHERE item > items[-1]""")
+    CTES[f"sets{size}"] = ([f"in{size}", "train_sets_min"], f"""
+        SELECT items, count(*) AS support FROM in{size} GROUP BY 1
+        HAVING count(*) >= (SELECT least FROM train_sets_min)""")
+CTES["train_sets"] = ([f"sets{size}" for size in range(2, LARGEST_SET + 1)], f"""
+        SELECT items, len(items) AS n_items, support FROM (
+            {" UNION ALL ".join(f"SELECT * FROM sets{size}" for size in range(2, LARGEST_SET + 1))})""")
+
+
 def _sql(names: list[str], body: str) -> str:
     done: dict[str, str] = {}
 
