@@ -34,3 +34,11 @@ def test_pairs_of_a_fifth_of_a_percent(spark, orders):
     folder, _, _, pairs = orders
     assert min(pairs.values()) == 1
     assert tuples(catalog.queries()["attribute_pairs"](spark, folder)) == sorted((*p, n) for p, n in pairs.items())
+
+
+def test_rules_of_rare_items(spark, orders):
+    folder, n, items, pairs = orders
+    want = [(a, b, round(f / items[a], 6), round(f / items[a] / (items[b] / n), 6), round(f / n, 6))
+            for p, f in pairs.items() for a, b in (p, p[::-1]) if f / items[a] >= 0.1]
+    assert any(items[a] < 0.01 * n for a, *_ in want)
+    assert tuples(catalog.queries()["attribute_rules"](spark, folder)) == sorted(want)
