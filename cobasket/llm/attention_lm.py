@@ -7,29 +7,34 @@ classes of the id before in a table of fixed size, and by the id itself. Counts
 :data:`PAIRS` frequent ones travel to the tasks, and the others that a text meets are added by a join. Texts are cut into
 overlapping windows: each id is scored once, in the window that gives it at least ``WINDOW - STRIDE`` ids of context or all there are.
 
-Attention weights and classes are fitted on the driver to about :data:`FIT_DOCS` training documents of at most
-:data:`FIT_BYTES` bytes, chosen by the hash of their key. Word counts cover all training documents. The
-:data:`FREQUENT` most frequent words travel to the tasks; the others are looked up by a join, once per document.
+Everything is learned from all training documents, whatever their number and length. Classes come from the neighbours
+of each id, counted by Spark. Attention weights are fitted in :data:`ROUNDS`: the tasks go through all windows of the
+round's documents from the same weights, and Spark adds up their changes for the mean, so that only tables of the size of
+the vocabulary reach the driver. Texts are turned into ids once and stored. The :data:`FREQUENT` most frequent words travel
+to the tasks; the others are looked up by a join, once per document.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from math import log, log10
+from collections.abc import Callable, Iterator
+from math import ceil, log, log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import about, blocks, crc_mod, id_and_text, most_frequent, record_batch, written
+from cobasket.llm.common import blocks, crc_mod, id_and_text, most_frequent, record_batch, written
 from cobasket.llm.simhash import LOWER
 from cobasket.llm.token_files import library_memo
 
 FOLDS, HELD_OUT = 10, 0
 WINDOW, STRIDE = 16, 12
 WIDTH, CLASSES = 16, 32
-FIT_DOCS, FIT_BYTES, FIT_STEPS, BATCH = 600, 50_000, 700, 256
+FIT_STEPS, BATCH = 700, 256  # steps in all at least: a smaller corpus is gone through again and again
+ROUNDS = (1, 3, 4, 8)  # shares of the training documents of a larger one; each document is in one round
+COMPANY = 300  # most frequent ids, as neighbours
+BLOCK_IDS = 1 << 19
 FREQUENT = 300_000
 DISTINCT = 1 << 19  # words that a task counts before it gives out what it has
 SCORED = 512  # windows at a time: their arrays stay in a core's cache
@@ -62,24 +67,64 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(mapped, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def classify(sequences: list[np.ndarray], size: int, final: np.ndarray, classes: int = CLASSES) -> np.ndarray:
-    """A class for each id: those of the sample by the company they keep (k-means), the others by whether they end a
-    word."""
-    counts = np.bincount(np.concatenate(sequences), minlength=size)
-    company = np.argsort(-counts, kind="stable")[:300]
-    place = np.full(size, -1)
-    place[company] = np.arange(len(company))
+def id_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_IDS) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Places and marked ids (id x 2 + whether it begins a word) of consecutive texts, about ``limit`` ids at a time."""
+    library_memo.cache_clear()  # the words it holds aren't needed by tasks that have ids
+    for batch in batches:
+        places, column = batch.column("place").to_pylist(), batch.column("ids")
+        texts: list[np.ndarray] = []
+        begin, n = 0, 0
+        for i in range(len(column)):
+            marked = np.frombuffer(column[i].as_py(), "<u4")
+            if texts and n + len(marked) > limit:
+                yield places[begin:i], texts
+                texts, begin, n = [], i, 0
+            texts.append(marked)
+            n += len(marked)
+        if texts:
+            yield places[begin:], texts
+
+
+def company_counts(texts: DataFrame, company: np.ndarray, size: int) -> DataFrame:
+    """at, n: how often each id has each of the ids in ``company`` before and behind it in all of the texts. ``at`` is the
+    id x 2 x the number of those, plus the place of the neighbour, those behind after those before."""
+    schema = pa.schema([("at", pa.int64()), ("n", pa.int64())])
+    many = len(company)
+    kind = np.int32 if size * 2 * many < 1 << 31 else np.int64  # faster to sort, and smaller
+    place = np.full(size, -1, kind)
+    place[company] = np.arange(many)
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, marked in id_blocks(batches, 2 * BLOCK_IDS):
+            ids = (np.concatenate(marked) >> 1).astype(kind)
+            inner = np.ones(len(ids) - 1, bool)
+            inner[np.cumsum([len(m) for m in marked])[:-1] - 1] = False
+            left, right = ids[:-1][inner], ids[1:][inner]
+            before, behind = place[left], place[right]
+            cells = np.concatenate([(right * kind(2 * many) + before)[before >= 0],
+                                    (left * kind(2 * many) + kind(many) + behind)[behind >= 0]])
+            keys, n = np.unique(cells, return_counts=True)
+            yield record_batch(schema, keys.astype(np.int64), n)
+
+    return texts.mapInArrow(mapped, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+
+
+def classify(company: DataFrame, many: int, counts: np.ndarray, final: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """A class for each id: by the company they keep (k-means over :func:`company_counts`), those met less than four times
+    in all training documents by whether they end a word. The table on the driver has a row for each known id, and its
+    counts are fetched in parts."""
     known = np.flatnonzero(counts >= 4)
-    row = np.full(size, -1)
+    row = np.full(len(counts), -1)
     row[known] = np.arange(len(known))
-    table = np.zeros((len(known), 2 * len(company)), np.float32)
-    for s in sequences:
-        for own, other, shift in ((s[1:], s[:-1], 0), (s[:-1], s[1:], len(company))):
-            ok = (row[own] >= 0) & (place[other] >= 0)
-            np.add.at(table, (row[own[ok]], place[other[ok]] + shift), 1)
-    table = np.sqrt(table)
-    table /= np.linalg.norm(table, axis=1, keepdims=True) + 1e-6
-    table = np.concatenate([table, 0.7 * final[known][:, None]], axis=1).astype(np.float32)
+    table = np.zeros((len(known), 2 * many + 1), np.float32)
+    for part in range(8):
+        found = company.filter(F.col("at") % 8 == part).toArrow()
+        own, column = np.divmod(found.column("at").to_numpy(), max(1, 2 * many))
+        ok = row[own] >= 0
+        table[row[own[ok]], column[ok]] = found.column("n").to_numpy()[ok]
+    np.sqrt(table, out=table)
+    table /= np.sqrt(np.einsum("ij,ij->i", table, table))[:, None] + 1e-6
+    table[:, -1] = 0.7 * final[known]
     k = classes - 2
     out = np.where(final, k, k + 1)
     if len(known) >= k:
@@ -127,38 +172,74 @@ class AttentionModel:
         return out, np.log(np.exp(out) @ np.ones(out.shape[1], np.float32))
 
     def fit(self, inputs: np.ndarray, targets: np.ndarray, steps: int = FIT_STEPS, rate: float = 0.01) -> None:
-        """Adam on the log loss; targets of -1 don't count."""
-        p, d, rng = self.p, self.width, np.random.default_rng(11)
-        first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-        for step in range(1, steps + 1):
-            rows = rng.integers(0, len(inputs), min(BATCH, len(inputs)))
-            ids, want = inputs[rows], targets[rows].ravel()
-            x, q, k, v, a, mixed, h = self.hidden(ids)
-            flat = h.reshape(-1, d)
-            y, whole = self.class_scores(flat)
-            y = np.exp(y - whole[:, None])
-            counts = want >= 0
-            y[np.flatnonzero(counts), want[counts]] -= 1
-            y *= (counts / max(1, counts.sum()))[:, None].astype(np.float32)
-            g = {"C": flat.T @ y, "b": y.sum(axis=0)}
-            dh = y @ p["C"].T
-            g["O"] = mixed.reshape(-1, d).T @ dh
-            dmixed = (dh @ p["O"].T).reshape(x.shape)
-            da = np.matmul(dmixed, v.transpose(0, 2, 1))
-            ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(d ** -0.5)
-            dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q),
-                                   np.matmul(a.transpose(0, 2, 1), dmixed)], axis=2).reshape(-1, 3 * d)
-            g["A"] = x.reshape(-1, d).T @ dqkv
-            dx = dh + dqkv @ p["A"].T
-            g["P"] = dx.reshape(x.shape).sum(axis=0)
-            g["E"] = np.zeros_like(p["E"])
-            np.add.at(g["E"], ids.ravel(), dx)
-            pace = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-            for name, value in p.items():
-                first[name] += 0.1 * (g[name] - first[name])
-                second[name] += 0.002 * (g[name] * g[name] - second[name])
-                value -= (pace * (first[name] / (1 - 0.9 ** step))
-                          / (np.sqrt(second[name] / (1 - 0.998 ** step)) + 1e-8)).astype(np.float32)
+        """Adam on the log loss, through all windows again and again; targets of -1 don't count."""
+        adam, taken = Adam(self), 0
+        while taken < steps:
+            for rows in shuffled(len(inputs), adam.rng)[:steps - taken]:
+                taken += 1
+                adam.step(inputs[rows], targets[rows].ravel(), rate * min(1.0, 2 * (1 - taken / (steps + 1))))
+
+    def gradients(self, ids: np.ndarray, want: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """The gradient of the mean log loss by parameter, that of the embeddings for the ids that are returned alone."""
+        p, d = self.p, self.width
+        x, q, k, v, a, mixed, h = self.hidden(ids)
+        flat = h.reshape(-1, d)
+        y, whole = self.class_scores(flat)
+        y = np.exp(y - whole[:, None])
+        counts = want >= 0
+        y[np.flatnonzero(counts), want[counts]] -= 1
+        y *= (counts / max(1, counts.sum()))[:, None].astype(np.float32)
+        g = {"C": flat.T @ y, "b": y.sum(axis=0)}
+        dh = y @ p["C"].T
+        g["O"] = mixed.reshape(-1, d).T @ dh
+        dmixed = (dh @ p["O"].T).reshape(x.shape)
+        da = np.matmul(dmixed, v.transpose(0, 2, 1))
+        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(d ** -0.5)
+        dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q),
+                               np.matmul(a.transpose(0, 2, 1), dmixed)], axis=2).reshape(-1, 3 * d)
+        g["A"] = x.reshape(-1, d).T @ dqkv
+        dx = dh + dqkv @ p["A"].T
+        g["P"] = dx.reshape(x.shape).sum(axis=0)
+        order = np.argsort(ids, axis=None, kind="stable")
+        own = ids.ravel()[order]
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        g["E"] = np.add.reduceat(dx[order], starts)
+        return g, own[starts]
+
+    def packed(self) -> np.ndarray:
+        """All parameters as rows of ``width`` numbers, the embeddings first."""
+        return np.concatenate([self.p[k].reshape(-1, self.width) for k in ("E", "P", "A", "O", "C", "b")])
+
+    def unpack(self, rows: np.ndarray) -> None:
+        at = 0
+        for k in ("E", "P", "A", "O", "C", "b"):
+            n = self.p[k].size // self.width
+            self.p[k] = rows[at:at + n].reshape(self.p[k].shape).astype(np.float32)
+            at += n
+
+
+def shuffled(n: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """All of ``n`` places in batches, in random order."""
+    return np.array_split(rng.permutation(n), range(BATCH, n, BATCH))
+
+
+class Adam:
+    """Steps of a model. Embeddings that a batch doesn't meet rest."""
+
+    def __init__(self, net: AttentionModel):
+        self.net, self.rng, self.taken = net, np.random.default_rng(11), 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
+
+    def step(self, ids: np.ndarray, want: np.ndarray, pace: float) -> None:
+        self.taken += 1
+        g, met = self.net.gradients(ids, want)
+        for name, value in self.net.p.items():
+            rows = met if name == "E" else slice(None)
+            first = self.first[name][rows] + 0.1 * (g[name] - self.first[name][rows])
+            second = self.second[name][rows] + 0.002 * (g[name] * g[name] - self.second[name][rows])
+            self.first[name][rows], self.second[name][rows] = first, second
+            value[rows] -= (pace * (first / (1 - 0.9 ** self.taken))
+                            / (np.sqrt(second / (1 - 0.998 ** self.taken)) + 1e-8)).astype(np.float32)
 
 
 def windows(lengths: np.ndarray, window: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,40 +340,106 @@ def sequence(words: list[bytes], known: dict[bytes, bytes], end: int) -> tuple[n
     return ids, first
 
 
-def fit(docs: DataFrame, counts: DataFrame, n_docs: int, tokenizer: str, id_col: str = "doc_id",
-        text_col: str = "text", fit_docs: int = FIT_DOCS) -> tuple[LanguageModel, DataFrame]:
-    """The model from the training documents and the counts of their words, and the counts of all pairs of ids."""
+def vocabulary(tokenizer: str) -> tuple[int, np.ndarray]:
+    """The number of ids, and which of them end a word."""
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer)
-    size = library.get_vocab_size()
-    end = size - 1  # the tokenizer's own end of text
-    final = np.zeros(size, np.float32)
+    final = np.zeros(library.get_vocab_size(), np.float32)
     for token, i in library.get_vocab().items():
         final[i] = token.endswith("</w>")
-    rows = id_and_text(training(docs, id_col), id_col, text_col).filter(F.octet_length("text") <= FIT_BYTES)
-    texts = sorted(bytes(r[0]) for r in about(rows, fit_docs, n_docs).select("text").collect())
-    memo = library_memo(tokenizer)
-    split = [t.translate(LOWER).split() for t in texts]
-    memo.learn(split)
-    sequences = [sequence(w, memo.known, end)[0] for w in split] or [np.array([end], np.int32)]
-    classes = classify(sequences, size, final)
-    ids = np.concatenate(sequences)
-    before = np.concatenate([np.concatenate([[end], s[:-1]]) for s in sequences])
-    start, stop, _ = windows(np.array([len(s) for s in sequences]), WINDOW, WINDOW)
+    return len(final), final
+
+
+def fit(texts: DataFrame, counts: DataFrame, n_docs: int, tokenizer: str) -> tuple[LanguageModel, DataFrame]:
+    """The model from the ids of all training documents (place, ids) and the counts of their words, and the counts of all
+    pairs of ids."""
+    size, final = vocabulary(tokenizer)
+    end = size - 1
+    sums = id_sums(counts, tokenizer, size)
+    firsts, whole = (by_number(rows, size) for rows in (
+        sums.filter("cell >= 0"),
+        sums.groupBy(F.when(F.col("cell") >= 0, F.col("cell")).otherwise((-1 - F.col("cell")) % size).alias("cell"))
+        .agg(F.sum("n").alias("n"))))
+    firsts[end] += n_docs
+    whole[end] += n_docs
+    company = np.argsort(-whole, kind="stable")[:COMPANY]
+    classes = classify(written(company_counts(texts, company, size), "company"), len(company), whole, final)
+    net = AttentionModel(size)
+    fit_rounds(net, texts, classes, end, int(whole.sum()))
+    shares, pairs = count_shares(sums, firsts, classes, size)
+    return LanguageModel(net, classes, shares, end), pairs
+
+
+def by_number(rows: DataFrame, size: int) -> np.ndarray:
+    """The second column at the places that the first one gives."""
+    table, out = rows.toArrow(), np.zeros(size)
+    out[table.column(0).to_numpy()] = table.column(1).to_numpy()
+    return out
+
+
+def fit_rounds(net: AttentionModel, texts: DataFrame, classes: np.ndarray, end: int, n_ids: int,
+               rate: float = 0.01) -> None:
+    """Fit the net to all windows of all texts (place, ids). In a round each task goes on from the same weights, through
+    all of its windows; the weights move by the mean of the tasks' changes, that of an embedding weighed by how often the
+    task met the id. A task gives out the rows it changed, and what reaches the driver has the size of the weights. Less
+    text than the least number of steps takes, some ten megabytes, is one round in one task, again and again."""
+    names = [f"d{i}" for i in range(net.width)]
+    schema = pa.schema([("key", pa.int64()), ("weight", pa.float64()), *((n, pa.float64()) for n in names)])
+    again = max(1, ceil(FIT_STEPS * BATCH * WINDOW / max(1, n_ids)))
+    rounds, steps = (ROUNDS, 0) if again == 1 else ((1,), again * ceil(n_ids / (BATCH * WINDOW)))
+    limit = BLOCK_IDS if again == 1 else n_ids
+    slot, done = F.pmod(F.xxhash64("place"), F.lit(sum(rounds))), 0
+    for number, share in enumerate(rounds):
+        given = texts.sparkSession.sparkContext.broadcast((net, classes))
+        pace = rate * (1 - number / len(rounds))
+
+        def mapped(batches: Iterator[pa.RecordBatch], given=given, pace=pace) -> Iterator[pa.RecordBatch]:
+            start_net, of = given.value
+            own = AttentionModel(len(of))
+            base = start_net.packed()
+            own.unpack(base.copy())
+            adam, met = Adam(own), np.zeros(len(of))
+            for _, marked in id_blocks(batches, limit):
+                inputs, targets = examples(marked, of, end)
+                met += np.bincount(inputs[targets >= 0], minlength=len(of))
+                for _ in range(again):
+                    for rows in shuffled(len(inputs), adam.rng):
+                        slower = max(0.02, min(1.0, 2 * (1 - adam.taken / (steps + 1)))) if steps else 1.0
+                        adam.step(inputs[rows], targets[rows].ravel(), pace * slower)
+            weight = np.concatenate([met, np.full(len(base) - len(met), met.sum())])
+            keys = np.flatnonzero(weight)
+            change = (own.packed()[keys].astype(float) - base[keys]) * weight[keys, None]
+            yield record_batch(schema, keys, weight[keys], *change.T)
+
+        rows = texts.filter((slot >= done) & (slot < done + share))
+        sums = (rows.coalesce(1) if again > 1 else rows).mapInArrow(mapped, ", ".join(["key long", "weight double", *(f"{n} double" for n in names)])) \
+            .groupBy("key").agg(F.sum("weight").alias("weight"), *(F.sum(n).alias(n) for n in names)).toArrow()
+        whole = net.packed()
+        change = np.stack([sums.column(n).to_numpy() for n in names], axis=1)
+        whole[sums.column("key").to_numpy()] += change / sums.column("weight").to_numpy()[:, None]
+        net.unpack(whole)
+        given.unpersist()
+        done += share
+
+
+def examples(marked: list[np.ndarray], classes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the ids before, and the classes to predict; -1 behind the end of a text."""
+    ids = (np.concatenate(marked) >> 1).astype(np.int64)
+    lengths = np.array([len(m) for m in marked])
+    before = np.empty_like(ids)
+    before[1:] = ids[:-1]
+    before[np.cumsum(lengths) - lengths] = end
+    start, stop, _ = windows(lengths, WINDOW, WINDOW)
     index = start[:, None] + np.arange(WINDOW)
     ok = index < stop[:, None]
     index = np.where(ok, index, 0)
-    net = AttentionModel(size)
-    net.fit(before[index], np.where(ok, classes[ids[index]], -1))
-    shares, pairs = count_shares(counts, n_docs, tokenizer, classes, end, size)
-    return LanguageModel(net, classes, shares, end), pairs
+    return before[index], np.where(ok, classes[ids[index]], -1)
 
 
-def count_shares(counts: DataFrame, n_docs: int, tokenizer: str, classes: np.ndarray, end: int,
-                 size: int) -> tuple[Shares, DataFrame]:
-    """Counts of ids by what precedes them in a word, over all training words, and those of all pairs (pair, n). At most
-    2 x (classes + 1) x ids sums and :data:`PAIRS` pairs reach the driver; pairs have negative cells on the way."""
+def id_sums(counts: DataFrame, tokenizer: str, size: int) -> DataFrame:
+    """cell, n: over all training words, how often each id begins a word (cell: the id) and how often it follows another
+    inside one (cell: -1 - (the other x ``size`` + the id)). Stored."""
     schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,58 +452,54 @@ def count_shares(counts: DataFrame, n_docs: int, tokenizer: str, classes: np.nda
                 ids = [np.frombuffer(memo.known[w], "<u4") for w in words]
                 lengths = np.array([len(i) for i in ids])
                 flat = np.concatenate(ids).astype(np.int64)
-                context, before = np.empty(len(flat), np.int64), np.empty(len(flat), np.int64)
+                before = np.empty(len(flat), np.int64)
                 before[1:] = flat[:-1]
-                context[1:] = classes[flat[:-1]]
+                cells = -1 - (before * size + flat)
                 first = (np.cumsum(lengths) - lengths)[lengths > 0]
-                context[first] = CLASSES
-                weights = np.repeat(part.column(1).to_numpy(), lengths)
-                inner = np.ones(len(flat), bool)
-                inner[first] = False
-                cells = np.concatenate([context * size + flat, -1 - (before * size + flat)[inner]])
+                cells[first] = flat[first]
                 keys, where = np.unique(cells, return_inverse=True)
-                sums = np.bincount(where, weights=np.concatenate([weights, weights[inner]]))
+                sums = np.bincount(where, weights=np.repeat(part.column(1).to_numpy(), lengths))
                 yield record_batch(schema, keys, sums.astype(np.int64))
 
-    sums = written(counts.select("word", "n").mapInArrow(mapped, "cell long, n long").groupBy("cell").agg(
+    return written(counts.select("word", "n").mapInArrow(mapped, "cell long, n long").groupBy("cell").agg(
         F.sum("n").alias("n")), "id-counts")
-    table = sums.filter("cell >= 0").toArrow()
-    cells = np.zeros((CLASSES + 1) * size)
-    cells[table.column("cell").to_numpy()] = table.column("n").to_numpy()
-    cells = cells.reshape(CLASSES + 1, size)
-    cells[CLASSES, end] += n_docs
+
+
+def count_shares(sums: DataFrame, firsts: np.ndarray, classes: np.ndarray, size: int) -> tuple[Shares, DataFrame]:
+    """The shares from the counts of :func:`id_sums`, and the counts of all pairs (pair, n). Some 2 x (classes + 1) x ids
+    sums and :data:`PAIRS` pairs reach the driver."""
     pairs = sums.filter("cell < 0").select((-1 - F.col("cell")).alias("pair"), "n")
+    cells = np.concatenate([pair_sums(pairs, lambda before, ids: classes[before] * size + ids, size, CLASSES * size), firsts])
     table = most_frequent(pairs, PAIRS).toArrow()
     keys = table.column("pair").to_numpy()
     order = np.argsort(keys)
-    totals = None if pairs.count() == len(keys) else pair_totals(pairs, classes, size)
-    return Shares(cells, keys[order], table.column("n").to_numpy()[order], classes, totals), pairs
+    totals = None if pairs.count() == len(keys) else \
+        pair_sums(pairs, lambda before, ids: before * CLASSES + classes[ids], size, size * CLASSES)
+    return Shares(cells.reshape(CLASSES + 1, size), keys[order], table.column("n").to_numpy()[order], classes, totals), pairs
 
 
-def pair_totals(pairs: DataFrame, classes: np.ndarray, size: int) -> np.ndarray:
-    """The counts of all pairs by id before and class: a table of fixed size."""
+def pair_sums(pairs: DataFrame, place: Callable[[np.ndarray, np.ndarray], np.ndarray], vocabulary: int, size: int) -> np.ndarray:
+    """The counts of all pairs by a place that follows from the id before and the id: a table of fixed size."""
     schema = pa.schema([("at", pa.int64()), ("n", pa.int64())])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            before, ids = np.divmod(batch.column("pair").to_numpy(), size)
-            yield record_batch(schema, before * CLASSES + classes[ids], batch.column("n"))
+            yield record_batch(schema, place(*np.divmod(batch.column("pair").to_numpy(), vocabulary)), batch.column("n"))
 
-    table = pairs.mapInArrow(mapped, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    totals = np.zeros(size * CLASSES)
-    totals[table.column("at").to_numpy()] = table.column("n").to_numpy()
-    return totals
+    return by_number(pairs.mapInArrow(mapped, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")), size)
 
 
-PASSED = pa.schema([("place", pa.int64()), ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                    ("base", pa.float64()), ("score", pa.float64()), ("word", pa.binary()), ("tf", pa.int64()), ("pair", pa.int64()),
+ENCODED = pa.schema([("place", pa.int64()), ("id", pa.int64()), ("fold", pa.int64()), ("n_tokens", pa.int64()),
+                     ("n_known", pa.int64()), ("base", pa.float64()), ("ids", pa.binary()), ("word", pa.binary()),
+                     ("tf", pa.int64())])
+PASSED = pa.schema([("place", pa.int64()), ("score", pa.float64()), ("pair", pa.int64()), ("tf", pa.int64()),
                     ("prior", pa.float64())])
 
 
-def passed_batch(n: int, **columns: list | np.ndarray) -> pa.RecordBatch:
-    """``n`` rows of :data:`PASSED` with nulls in the columns not given."""
+def part_batch(schema: pa.Schema, n: int, **columns: list | np.ndarray) -> pa.RecordBatch:
+    """``n`` rows of ``schema`` with nulls in the columns not given."""
     return pa.record_batch([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type)
-                            for f in PASSED], schema=PASSED)
+                            for f in schema], schema=schema)
 
 
 def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -369,28 +512,26 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     counts = written(word_counts(docs, id_col, text_col), "word-counts")
     n_docs = training(docs, id_col).count()
+    end = vocabulary(tokenizer)[0] - 1  # the tokenizer's own end of text
     n_words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = n_words + n_docs, distinct + (n_docs > 0)
     below = n + SMOOTH * (v + 1)
     top = most_frequent(counts, FREQUENT).toArrow()  # of some bytes each
     costs = np.log10((top.column("n").to_numpy() + SMOOTH) / below)
     frequent = docs.sparkSession.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), costs.tolist())))
-    fitted, pairs = fit(docs, counts, n_docs, tokenizer, id_col, text_col)
-    model = docs.sparkSession.sparkContext.broadcast(fitted)
     end_base = log10((n_docs + SMOOTH) / below)
 
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, of, memo = model.value, frequent.value, library_memo(tokenizer)
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, memo = frequent.value, library_memo(tokenizer)
         for batch in batches:
             begin = 0
             for keys, texts in blocks(iter([batch])):
                 split = [t.translate(LOWER).split() for t in texts]
                 memo.learn(split)
-                scored, (owners, *rest) = lm.log10(*zip(*(sequence(w, memo.known, lm.end) for w in split)))
-                places = batch.column("place").to_pylist()[begin:begin + len(keys)]
+                places, folds = (batch.column(c).slice(begin, len(keys)).to_pylist() for c in ("place", "fold"))
                 begin += len(keys)
                 rows, rare_place, rare_word, rare_tf = [], [], [], []
-                for place, key, words, own in zip(places, keys, split, scored.tolist()):
+                for place, key, fold, words in zip(places, keys, folds, split):
                     base, known = end_base, int(n_docs > 0)
                     for word, tf in Counter(words).items():
                         cost = of.get(word)
@@ -401,20 +542,36 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                         else:
                             base += tf * cost
                             known += tf
-                    rows.append((place, key, len(words) + 1, known, base, own, None, None, None, None))
-                yield record_batch(PASSED, *zip(*rows))
+                    ids, first = sequence(words, memo.known, end)
+                    rows.append((place, key, fold, len(words) + 1, known, base, (ids * 2 + first).astype("<u4").tobytes(),
+                                 None, None))
+                yield record_batch(ENCODED, *zip(*rows))
                 if rare_place:
-                    yield passed_batch(len(rare_place), place=rare_place, word=rare_word, tf=rare_tf)
-                if len(owners):
-                    yield passed_batch(len(owners), place=np.array(places[:len(keys)], np.int64)[owners], pair=rest[0],
-                                       tf=rest[1], prior=rest[2])
-
-    rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")) \
-        .withColumn("place", F.monotonically_increasing_id())
-    passed = written(rows.mapInArrow(mapped, "place long, id long, n_tokens long, n_known long, base double, "
-                                             "score double, word binary, tf long, pair long, prior double"), "scored")
-    whole = passed.filter("word is null and pair is null").select("place", "id", "n_tokens", "n_known", "base", "score")
-    rare = passed.filter("word is not null").select("place", "word", "tf").join(counts, "word", "left").select(
+                    yield part_batch(ENCODED, len(rare_place), place=rare_place, word=rare_word, tf=rare_tf)
+
+    rows = id_and_text(docs, id_col, text_col).select(
+        F.monotonically_increasing_id().alias("place"), F.col("id").cast("long").alias("id"), "text",
+        crc_mod("id", FOLDS).cast("long").alias("fold"))
+    stored = written(rows.mapInArrow(encoded, "place long, id long, fold long, n_tokens long, n_known long, base double, "
+                                              "ids binary, word binary, tf long"), "encoded")
+    texts = stored.filter("word is null")
+    fitted, pairs = fit(texts.filter(F.col("fold") != HELD_OUT).select("place", "ids"), counts, n_docs, tokenizer)
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lm = model.value
+        for places, marked in id_blocks(batches):
+            found, (owners, pair, tf, prior) = lm.log10([(m >> 1).astype(np.int32) for m in marked],
+                                                        [(m & 1).astype(bool) for m in marked])
+            yield part_batch(PASSED, len(places), place=places, score=found)
+            if len(owners):
+                yield part_batch(PASSED, len(owners), place=np.array(places, np.int64)[owners], pair=pair, tf=tf, prior=prior)
+
+    passed = written(texts.select("place", "ids").mapInArrow(
+        scored, "place long, score double, pair long, tf long, prior double"), "scored")
+    whole = texts.select("place", "id", "n_tokens", "n_known", "base").unionByName(
+        passed.filter("pair is null").select("place", "score"), allowMissingColumns=True)
+    rare = stored.filter("word is not null").select("place", "word", "tf").join(counts, "word", "left").select(
         "place", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("n_tokens"),
         F.when(F.col("n") > 0, F.col("tf")).otherwise(0).alias("n_known"),
         (F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + SMOOTH) / below)).alias("base"),
