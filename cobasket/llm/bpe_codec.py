@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -160,6 +161,7 @@ class Memo:
 
     MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
     LETTER = re.compile(rb"(?:[a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
+    LAST_LETTER = "[a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]\\z"  # the same for Arrow
 
     def __init__(self, encode: Callable[[list[bytes]], list[bytes]], limit: int = MEMO):
         self.encode, self.limit = encode, limit
@@ -212,6 +214,64 @@ class Memo:
         self.learn(split)
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
 
+    def whole(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces, each one encoded as it is."""
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        missing = [p for p, ids in zip(pieces, map(known.get, pieces)) if ids is None]
+        new = []
+        for piece, ids in zip(missing, map(older.get, missing)):
+            if ids is None:
+                new.append(piece)
+            else:
+                known[piece] = ids
+        for at in range(0, len(new), TOGETHER):
+            batch = new[at:at + TOGETHER]
+            known.update(zip(batch, self.encode(batch)))
+        return list(map(known.__getitem__, pieces))
+
+    def table(self, words: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words (string) and ``end`` behind them, laid end to end, and where those of each begin. The
+        marks that end a word are looked up by themselves, as in :meth:`parts`."""
+        stems = pc.ascii_rtrim(words, characters=self.MARKS.decode())
+        parted = pc.and_(pc.and_not(pc.less(pc.binary_length(stems), pc.binary_length(words)), pc.match_substring(words, "<|")),
+                         pc.match_substring_regex(stems, self.LAST_LETTER))
+        sizes = pc.binary_length(stems.filter(parted)).to_pylist()
+        marks = [w[n:] for w, n in zip(words.filter(parted).cast(pa.binary()).to_pylist(), sizes)]
+        stems, parted = pc.if_else(parted, stems, words).dictionary_encode(), parted.to_numpy(zero_copy_only=False)
+        pieces = stems.dictionary.cast(pa.binary()).to_pylist()
+        place = {mark: i for i, mark in enumerate(dict.fromkeys(marks), len(pieces))}
+        ids = [*self.whole([*pieces, *place]), np.array([end], "<u4").tobytes()]  # marks may be pieces of their own, too
+        begin = np.arange(len(words)) + np.cumsum(parted) - parted
+        codes = np.full(len(words) + len(marks) + 1, len(ids) - 1)
+        codes[begin] = stems.indices.to_numpy()
+        codes[begin[parted] + 1] = [place[m] for m in marks]
+        starts = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))) // 4
+        flat, stops = taken(np.frombuffer(b"".join(ids), "<u4"), starts, codes)
+        return flat, np.concatenate([stops[begin], stops[-2:]])
+
+
+def taken(ids: np.ndarray, starts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries of a table that ``codes`` names, end to end, and where those of each begin and the last end."""
+    entries = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [
+        None, pa.py_buffer(np.ascontiguousarray(starts * 4)), pa.py_buffer(np.ascontiguousarray(ids))])
+    _, offsets, data = entries.take(pa.array(codes)).buffers()
+    stops = np.frombuffer(offsets, np.int64, len(codes) + 1) // 4
+    return np.frombuffer(data, "<u4", stops[-1]) if stops[-1] else np.zeros(0, "<u4"), stops
+
+
+def laid_out(ids: np.ndarray, starts: np.ndarray, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts, end to end, and how many each has: those of its words, ``sizes`` of them, whose entries in the table
+    ``codes`` names, and those of the table's last entry."""
+    ends = np.cumsum(sizes + 1)
+    places = np.full(len(codes) + len(sizes), len(starts) - 2)
+    inner = np.ones(len(places), bool)
+    inner[ends - 1] = False
+    places[inner] = codes
+    flat, stops = taken(ids, starts, places)
+    return flat, np.diff(stops[np.append(0, ends)])
+
 
 @lru_cache(maxsize=2)
 def compile_codec(path: str) -> tuple[Codec, Memo]:

@@ -9,7 +9,9 @@ from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cobasket.session import scratch_path
@@ -112,6 +114,36 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
             yield keys[first:], rows
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with about ``limit`` bytes in a binary column at a time, a row at least; nothing is copied."""
+    for batch in batches:
+        ends, at = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64)), 0
+        while at < len(ends):
+            stop = int(np.searchsorted(ends, limit + (ends[at - 1] if at else 0), side="right"))
+            stop = max(stop, at + 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def coded_words(texts: pa.Array, cased: str | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of texts (binary) between ASCII white space, A-Z in lower case but for texts that hold ``cased``: how many
+    each text has, the place of each one in the list of distinct words, and that list (string)."""
+    strings = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+    lower = pc.ascii_lower(strings)
+    if cased:
+        lower = pc.if_else(pc.match_substring(strings, cased), strings, lower)
+    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lower))
+    found = split.flatten().dictionary_encode()
+    codes, words = found.indices.to_numpy(), found.dictionary
+    sizes = pc.list_value_length(split).fill_null(0).to_numpy().astype(np.int64)
+    blank = pc.index(words, "").as_py()
+    if blank >= 0:  # the one word of an empty text
+        gone = codes == blank
+        sizes[np.repeat(np.arange(len(sizes)), sizes)[gone]] = 0
+        codes = codes[~gone]
+    return sizes, codes, words
+
+
 def record_batch(schema: pa.Schema, *columns: Any) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 

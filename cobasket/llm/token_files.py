@@ -12,20 +12,23 @@ a lost task's half-written files never become visible, and any store that Spark
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cobasket.llm.bpe_codec import Memo
-from cobasket.llm.common import blocks, id_and_text, record_batch
+from cobasket.llm.bpe_codec import Memo, WORD_PATTERN, byte_letters, laid_out
+from cobasket.llm.common import coded_words, id_and_text, record_batch, slices
 
 END_ID = 2
 TOGETHER = 512  # pieces in a text that the library gets
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # one word, and nothing in it to normalise
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 512  # rows of a page at most: what a selective read fetches
 
@@ -55,27 +58,31 @@ def library_memo(path: str) -> Memo:
     library.no_truncation()
 
     special = [t.content for t in library.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip)]
+    plain = plain_words(path)
 
     def encode(pieces: list[bytes]) -> list[bytes]:
-        """Many pieces at a time, parted by a special token, which the library encodes by itself wherever it stands; those
-        that hold the beginning of one, one by one."""
-        if not special:
-            return alone(pieces)
-        mark, first = special[-1], special[-1][:2].encode()
+        """Plain words at little cost; of the others, many at a time, parted by a special token, which the library encodes
+        by itself wherever it stands; those that hold the beginning of one, one by one."""
+        known: dict[bytes, bytes] = {}
+        if plain:
+            words = [p for p in pieces if p.isalpha() and p.islower() or PLAIN.fullmatch(p)]
+            known = dict(zip(words, plain(words)))
+        rest = [p for p in pieces if p not in known]
+        if special:
+            first = special[-1][:2].encode()
+            joint = [p for p in rest if first not in p]
+            known |= zip(joint, together(joint, special[-1]))
+            rest = [p for p in rest if first in p]
+        known |= zip(rest, alone(rest))
+        return [known[p] for p in pieces]
+
+    def together(pieces: list[bytes], mark: str) -> list[bytes]:
         end, out = library.token_to_id(mark), []
-        joint = [p for p in pieces if first not in p]
-        texts = [mark.join(p.decode() for p in joint[at:at + TOGETHER]) + mark for at in range(0, len(joint), TOGETHER)]
+        texts = [mark.join(p.decode() for p in pieces[at:at + TOGETHER]) + mark for at in range(0, len(pieces), TOGETHER)]
         for found in library.encode_batch_fast(texts, add_special_tokens=False):
-            ids, begin = np.array(found.ids, "<u4"), 0
-            flat = ids.tobytes()
-            for stop in (4 * np.flatnonzero(ids == end)).tolist():
-                out.append(flat[begin:stop])
-                begin = stop + 4
-        if len(joint) == len(pieces):
-            return out
-        rest = [p for p in pieces if first in p]
-        known = dict(zip(joint, out)) | dict(zip(rest, alone(rest)))
-        return [known[p] for p in pieces]
+            ids = np.array(found.ids, "<u4")
+            out += cut(ids, np.flatnonzero(ids == end), 1)
+        return out
 
     def alone(pieces: list[bytes]) -> list[bytes]:
         found = library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
@@ -84,6 +91,47 @@ def library_memo(path: str) -> Memo:
     return Memo(encode)
 
 
+def cut(ids: np.ndarray, stops: np.ndarray, skip: int = 0) -> list[bytes]:
+    """The ids before each stop from behind the stop before on, without the ``skip`` ids from each stop on."""
+    flat, begin, out = ids.tobytes(), 0, []
+    for stop in (4 * stops).tolist():
+        out.append(flat[begin:stop])
+        begin = stop + 4 * skip
+    return out
+
+
+def plain_words(path: str) -> Callable[[list[bytes]], list[bytes]] | None:
+    """The ids of words of lower-case ASCII and Latin-1 letters, for a file whose normaliser keeps and whose splitter doesn't
+    part them: the library's model alone, behind its splitter at white space. The token that ends a word says so."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    split = [(p["type"], p.get("pattern", {}).get("Regex")) for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    suffix = spec["model"].get("end_of_word_suffix")
+    if kinds != ["NFC", "Replace", "Lowercase"] or split != [("Split", WORD_PATTERN), ("ByteLevel", None)] or not suffix:
+        return None
+    model = Tokenizer.from_file(path)
+    model.no_padding()
+    model.no_truncation()
+    model.normalizer, model.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+    ends = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
+    ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
+    letters = {b: ord(c) for b, c in enumerate(byte_letters())} | {32: 32}
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        texts = [b" ".join(words[at:at + TOGETHER]).decode("latin-1").translate(letters)
+                 for at in range(0, len(words), TOGETHER)]
+        out = []
+        for found in model.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(found.ids, "<u4")
+            out += cut(ids, np.flatnonzero(ends[ids]) + 1)
+        return out
+
+    return encode
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, id_col: str = "doc_id",
                  text_col: str = "text", partitions: int | None = None) -> None:
     """Encode every text, append ``end_id``, and write token files under ``path``.
@@ -94,13 +142,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     table gives files without rows. Keys must be integers; other columns are not read.
     """
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, end = library_memo(tokenizer), np.array([end_id], "<u4").tobytes()
-        for keys, texts in blocks(batches):
-            ids = [i + end for i in memo.encode_texts(texts)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()),
-                                             pa.array(np.frombuffer(b"".join(ids), "<i4")))
-            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(sizes), lists], schema=TOKENS)
+        memo = library_memo(tokenizer)
+        for rows in slices(batches, "text"):
+            sizes, codes, words = coded_words(rows.column("text"), "<|")  # special tokens have a case
+            ids, sizes = laid_out(*memo.table(words, end_id), codes, sizes)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(ids.view("<i4")))
+            yield pa.record_batch([rows.column("id"), pa.array(sizes), lists], schema=TOKENS)
 
     rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
