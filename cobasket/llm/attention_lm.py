@@ -16,16 +16,16 @@ to the tasks; the others are looked up by a join, once per document.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from math import ceil, log, log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from cobasket.llm.common import blocks, crc_mod, id_and_text, most_frequent, record_batch, written
-from cobasket.llm.simhash import LOWER
+from cobasket.llm.bpe_codec import laid_out
+from cobasket.llm.common import coded_words, crc_mod, id_and_text, most_frequent, record_batch, slices, written
 from cobasket.llm.token_files import library_memo
 
 FOLDS, HELD_OUT = 10, 0
@@ -36,8 +36,9 @@ ROUNDS = (1, 3, 4, 8)  # shares of the training documents of a larger one; each
 COMPANY = 300  # most frequent ids, as neighbours
 BLOCK_IDS = 1 << 19
 FREQUENT = 300_000
-DISTINCT = 1 << 19  # words that a task counts before it gives out what it has
-SCORED = 512  # windows at a time: their arrays stay in a core's cache
+COUNTED = 16 << 20  # text whose words a task counts before it gives out what it has
+SCORED_IDS = 1 << 17  # ids that a task scores at a time
+SCORED = 256  # windows at a time: their arrays stay in a core's cache
 PAIRS = 500_000
 LIMIT = 60.0  # attention scores and class scores stay below, so exponentials need no shift
 SMOOTH, PRIOR, PAIR_PRIOR = 0.1, 20.0, 10.0
@@ -53,36 +54,23 @@ def training(docs: DataFrame, id_col: str) -> DataFrame:
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """word (bytes), n: over all training documents, counted in the tasks before anything is moved."""
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for _, texts in blocks(batches):
-            for text in texts:
-                counts.update(text.translate(LOWER).split())
-            if len(counts) > DISTINCT:
-                yield record_batch(COUNTS, list(counts), list(counts.values()))
-                counts = Counter()
-        if counts:
-            yield record_batch(COUNTS, list(counts), list(counts.values()))
+        for rows in slices(batches, "text", COUNTED):
+            _, codes, words = coded_words(rows.column("text"))
+            yield record_batch(COUNTS, words.cast(pa.binary()), np.bincount(codes, minlength=len(words)))
 
     rows = id_and_text(training(docs, id_col), id_col, text_col)
-    return rows.mapInArrow(mapped, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(mapped, "word binary, n long").filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def id_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_IDS) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Places and marked ids (id x 2 + whether it begins a word) of consecutive texts, about ``limit`` ids at a time."""
     library_memo.cache_clear()  # the words it holds aren't needed by tasks that have ids
-    for batch in batches:
-        places, column = batch.column("place").to_pylist(), batch.column("ids")
-        texts: list[np.ndarray] = []
-        begin, n = 0, 0
-        for i in range(len(column)):
-            marked = np.frombuffer(column[i].as_py(), "<u4")
-            if texts and n + len(marked) > limit:
-                yield places[begin:i], texts
-                texts, begin, n = [], i, 0
-            texts.append(marked)
-            n += len(marked)
-        if texts:
-            yield places[begin:], texts
+    pa.default_memory_pool().release_unused()
+    for rows in slices(batches, "ids", 4 * limit):
+        _, offsets, data = rows.column("ids").buffers()
+        ends = np.frombuffer(offsets, np.int32)[rows.column("ids").offset:][:rows.num_rows + 1]
+        flat = np.frombuffer(data, "<u4", (ends[-1] - ends[0]) // 4, ends[0])
+        yield rows.column("place").to_pylist(), np.split(flat, (ends[1:-1] - ends[0]) // 4)
 
 
 def company_counts(texts: DataFrame, company: np.ndarray, size: int) -> DataFrame:
@@ -166,10 +154,36 @@ class AttentionModel:
 
     def class_scores(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores of the classes and the logarithm of the sum of their exponentials."""
+        out, _, whole = self._exponentials(states)
+        return out, np.log(whole)
+
+    def _exponentials(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         out = states @ self.p["C"]
         out += self.p["b"]
         np.clip(out, -LIMIT, LIMIT, out=out)
-        return out, np.log(np.exp(out) @ np.ones(out.shape[1], np.float32))
+        powers = np.exp(out)
+        return out, powers, powers @ np.ones(out.shape[1], np.float32)
+
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """What an id and a place add to query, key, value (through the output matrix) and state, side by side."""
+        p, d = self.p, self.width
+        through = np.concatenate([p["A"][:, :d] * np.float32(d ** -0.5), p["A"][:, d:2 * d], p["A"][:, 2 * d:] @ p["O"],
+                                  np.eye(d, dtype=np.float32)], axis=1)
+        return p["E"] @ through, p["P"] @ through
+
+    def states(self, ids: np.ndarray, table: tuple[np.ndarray, np.ndarray], begin: int = 0) -> np.ndarray:
+        """The states of :meth:`hidden` from place ``begin`` on, with what :meth:`table` holds computed already."""
+        d = self.width
+        row = table[0][ids]
+        row += table[1]
+        s = np.matmul(row[:, begin:, :d], row[:, :, d:2 * d].transpose(0, 2, 1))
+        np.clip(s, -LIMIT, LIMIT, out=s)
+        np.exp(s, out=s)
+        s *= self.mask[begin:]
+        out = np.matmul(s, row[:, :, 2 * d:3 * d])
+        out /= np.matmul(s, np.ones((self.window, 1), np.float32))
+        out += row[:, begin:, 3 * d:]
+        return out
 
     def fit(self, inputs: np.ndarray, targets: np.ndarray, steps: int = FIT_STEPS, rate: float = 0.01) -> None:
         """Adam on the log loss, through all windows again and again; targets of -1 don't count."""
@@ -184,23 +198,28 @@ class AttentionModel:
         p, d = self.p, self.width
         x, q, k, v, a, mixed, h = self.hidden(ids)
         flat = h.reshape(-1, d)
-        y, whole = self.class_scores(flat)
-        y = np.exp(y - whole[:, None])
+        _, y, whole = self._exponentials(flat)
         counts = want >= 0
-        y[np.flatnonzero(counts), want[counts]] -= 1
-        y *= (counts / max(1, counts.sum()))[:, None].astype(np.float32)
-        g = {"C": flat.T @ y, "b": y.sum(axis=0)}
+        share = (counts / max(1, counts.sum())).astype(np.float32)
+        y *= (share / whole)[:, None]
+        y[np.flatnonzero(counts), want[counts]] -= share[counts]
+        g = {"C": flat.T @ y, "b": np.ones(len(y), np.float32) @ y}
         dh = y @ p["C"].T
         g["O"] = mixed.reshape(-1, d).T @ dh
         dmixed = (dh @ p["O"].T).reshape(x.shape)
         da = np.matmul(dmixed, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(d ** -0.5)
-        dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q),
-                               np.matmul(a.transpose(0, 2, 1), dmixed)], axis=2).reshape(-1, 3 * d)
+        da -= np.einsum("bts,bts->bt", da, a)[:, :, None]
+        da *= a
+        da *= np.float32(d ** -0.5)
+        dqkv = np.empty((*x.shape[:2], 3 * d), np.float32)
+        dqkv[:, :, :d] = np.matmul(da, k)
+        dqkv[:, :, d:2 * d] = np.matmul(da.transpose(0, 2, 1), q)
+        dqkv[:, :, 2 * d:] = np.matmul(a.transpose(0, 2, 1), dmixed)
+        dqkv = dqkv.reshape(-1, 3 * d)
         g["A"] = x.reshape(-1, d).T @ dqkv
         dx = dh + dqkv @ p["A"].T
         g["P"] = dx.reshape(x.shape).sum(axis=0)
-        order = np.argsort(ids, axis=None, kind="stable")
+        order = np.argsort(ids.astype(np.uint16) if len(p["E"]) <= 1 << 16 else ids, axis=None, kind="stable")
         own = ids.ravel()[order]
         starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
         g["E"] = np.add.reduceat(dx[order], starts)
@@ -257,6 +276,7 @@ class LanguageModel:
 
     def __init__(self, net: AttentionModel, classes: np.ndarray, shares: Shares, end: int):
         self.net, self.classes, self.shares, self.end = net, classes, shares, end
+        self.table: tuple[np.ndarray, np.ndarray] | None = None  # made by the task that scores
 
     def log10(self, sequences: list[np.ndarray], firsts: list[np.ndarray]) -> tuple[np.ndarray, tuple]:
         """log10 probability of each sequence of ids, the last of which is the end id, with no count for pairs that
@@ -269,17 +289,20 @@ class LanguageModel:
         logs, (at, pairs, priors) = self.shares.log_and_rest(ids, before, np.concatenate(firsts))
         owners = np.searchsorted(np.cumsum(lengths), at, side="right")
         cells, where, times = np.unique(owners * self.shares.size ** 2 + pairs, return_index=True, return_counts=True)
+        if self.table is None:
+            self.table = self.net.table()
         start, stop, scored = windows(lengths)
-        place = np.arange(WINDOW)
-        for at in range(0, len(start), SCORED):
-            index = start[at:at + SCORED, None] + place
-            ok = index < stop[at:at + SCORED, None]
-            index = np.where(ok, index, 0)
-            h = self.net.hidden(before[index])[-1]
-            ok &= place >= scored[at:at + SCORED, None]
-            rows = index[ok]
-            out, whole = self.net.class_scores(h[ok])
-            logs[rows] += out[np.arange(len(rows)), self.classes[ids[rows]]] - whole
+        for begin in (0, WINDOW - STRIDE):
+            of = np.flatnonzero(scored == begin)
+            for at in range(0, len(of), SCORED):
+                index = start[of[at:at + SCORED], None] + np.arange(WINDOW)
+                ok = index < stop[of[at:at + SCORED], None]
+                index = np.where(ok, index, 0)
+                ok = ok[:, begin:]
+                h = self.net.states(before[index], self.table, begin)
+                rows = index[:, begin:][ok]
+                out, whole = self.net.class_scores(h[ok])
+                logs[rows] += out[np.arange(len(rows)), self.classes[ids[rows]]] - whole
         return np.add.reduceat(logs, np.cumsum(lengths) - lengths) / log(10), (owners[where], pairs[where], times,
                                                                                priors[where])
 
@@ -340,6 +363,13 @@ def sequence(words: list[bytes], known: dict[bytes, bytes], end: int) -> tuple[n
     return ids, first
 
 
+def marked_words(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A table of words' ids as ids x 2 + whether they begin a word; some words have no ids."""
+    out = ids * np.uint32(2)
+    out[starts[:-1][np.diff(starts) > 0]] += 1
+    return out, starts
+
+
 def vocabulary(tokenizer: str) -> tuple[int, np.ndarray]:
     """The number of ids, and which of them end a word."""
     from tokenizers import Tokenizer
@@ -447,11 +477,9 @@ def id_sums(counts: DataFrame, tokenizer: str, size: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1 << 16):
                 part = batch.slice(at, 1 << 16)
-                words = part.column(0).to_pylist()
-                memo.learn([words])  # words that differ in their marks alone have most of their ids in common
-                ids = [np.frombuffer(memo.known[w], "<u4") for w in words]
-                lengths = np.array([len(i) for i in ids])
-                flat = np.concatenate(ids).astype(np.int64)
+                ids, starts = memo.table(part.column(0).cast(pa.string()), 0)
+                lengths = np.diff(starts)[:-1]
+                flat = ids[:-1].astype(np.int64)
                 before = np.empty(len(flat), np.int64)
                 before[1:] = flat[:-1]
                 cells = -1 - (before * size + flat)
@@ -496,12 +524,23 @@ PASSED = pa.schema([("place", pa.int64()), ("score", pa.float64()), ("pair", pa.
                     ("prior", pa.float64())])
 
 
-def part_batch(schema: pa.Schema, n: int, **columns: list | np.ndarray) -> pa.RecordBatch:
+def part_batch(schema: pa.Schema, n: int, **columns: list | np.ndarray | pa.Array) -> pa.RecordBatch:
     """``n`` rows of ``schema`` with nulls in the columns not given."""
     return pa.record_batch([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type)
                             for f in schema], schema=schema)
 
 
+def scored(lm: LanguageModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """place, score of texts (place, ids), and place, pair, tf, prior of pairs that may have a count. Small blocks: a core's
+    arrays take some ten megabytes."""
+    for places, marked in id_blocks(batches, SCORED_IDS):
+        found, (owners, pair, tf, prior) = lm.log10([(m >> 1).astype(np.int32) for m in marked],
+                                                    [(m & 1).astype(bool) for m in marked])
+        yield part_batch(PASSED, len(places), place=places, score=found)
+        if len(owners):
+            yield part_batch(PASSED, len(owners), place=np.array(places, np.int64)[owners], pair=pair, tf=tf, prior=prior)
+
+
 def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -518,36 +557,28 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     below = n + SMOOTH * (v + 1)
     top = most_frequent(counts, FREQUENT).toArrow()  # of some bytes each
     costs = np.log10((top.column("n").to_numpy() + SMOOTH) / below)
-    frequent = docs.sparkSession.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), costs.tolist())))
+    frequent = docs.sparkSession.sparkContext.broadcast((top.column("word").combine_chunks(), np.append(costs, 0)))
     end_base = log10((n_docs + SMOOTH) / below)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, memo = frequent.value, library_memo(tokenizer)
-        for batch in batches:
-            begin = 0
-            for keys, texts in blocks(iter([batch])):
-                split = [t.translate(LOWER).split() for t in texts]
-                memo.learn(split)
-                places, folds = (batch.column(c).slice(begin, len(keys)).to_pylist() for c in ("place", "fold"))
-                begin += len(keys)
-                rows, rare_place, rare_word, rare_tf = [], [], [], []
-                for place, key, fold, words in zip(places, keys, folds, split):
-                    base, known = end_base, int(n_docs > 0)
-                    for word, tf in Counter(words).items():
-                        cost = of.get(word)
-                        if cost is None:
-                            rare_place.append(place)
-                            rare_word.append(word)
-                            rare_tf.append(tf)
-                        else:
-                            base += tf * cost
-                            known += tf
-                    ids, first = sequence(words, memo.known, end)
-                    rows.append((place, key, fold, len(words) + 1, known, base, (ids * 2 + first).astype("<u4").tobytes(),
-                                 None, None))
-                yield record_batch(ENCODED, *zip(*rows))
-                if rare_place:
-                    yield part_batch(ENCODED, len(rare_place), place=rare_place, word=rare_word, tf=rare_tf)
+        (of, cost), memo = frequent.value, library_memo(tokenizer)
+        for part in slices(batches, "text"):
+            sizes, codes, words = coded_words(part.column("text"))
+            ids, n_ids = laid_out(*marked_words(*memo.table(words, end)), codes, sizes)
+            words = words.cast(pa.binary())
+            at = pc.index_in(words, value_set=of).fill_null(-1).to_numpy()
+            rare, owner = (at < 0)[codes], np.repeat(np.arange(len(sizes)), sizes)
+            base = end_base + np.bincount(owner, cost[at][codes], len(sizes))
+            known = int(n_docs > 0) + np.bincount(owner[~rare], minlength=len(sizes))
+            texts = pa.Array.from_buffers(pa.binary(), len(sizes), [
+                None, pa.py_buffer(np.append(0, np.cumsum(4 * n_ids)).astype(np.int32)), pa.py_buffer(ids)])
+            yield part_batch(ENCODED, len(sizes), place=part.column("place"), id=part.column("id"), fold=part.column("fold"),
+                             n_tokens=sizes + 1, n_known=known, base=base, ids=texts)
+            if rare.any():
+                cells, tf = np.unique(owner[rare] * len(words) + codes[rare], return_counts=True)
+                own, word = np.divmod(cells, len(words))
+                yield part_batch(ENCODED, len(cells), place=part.column("place").take(pa.array(own)),
+                                 word=words.take(pa.array(word)), tf=tf)
 
     rows = id_and_text(docs, id_col, text_col).select(
         F.monotonically_increasing_id().alias("place"), F.col("id").cast("long").alias("id"), "text",
@@ -558,17 +589,8 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     fitted, pairs = fit(texts.filter(F.col("fold") != HELD_OUT).select("place", "ids"), counts, n_docs, tokenizer)
     model = docs.sparkSession.sparkContext.broadcast(fitted)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm = model.value
-        for places, marked in id_blocks(batches):
-            found, (owners, pair, tf, prior) = lm.log10([(m >> 1).astype(np.int32) for m in marked],
-                                                        [(m & 1).astype(bool) for m in marked])
-            yield part_batch(PASSED, len(places), place=places, score=found)
-            if len(owners):
-                yield part_batch(PASSED, len(owners), place=np.array(places, np.int64)[owners], pair=pair, tf=tf, prior=prior)
-
     passed = written(texts.select("place", "ids").mapInArrow(
-        scored, "place long, score double, pair long, tf long, prior double"), "scored")
+        lambda batches: scored(model.value, batches), "place long, score double, pair long, tf long, prior double"), "scored")
     whole = texts.select("place", "id", "n_tokens", "n_known", "base").unionByName(
         passed.filter("pair is null").select("place", "score"), allowMissingColumns=True)
     rare = stored.filter("word is not null").select("place", "word", "tf").join(counts, "word", "left").select(
