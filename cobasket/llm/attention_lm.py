@@ -36,9 +36,11 @@ ROUNDS = (1, 3, 4, 8)  # shares of the training documents of a larger one; each
 COMPANY = 300  # most frequent ids, as neighbours
 BLOCK_IDS = 1 << 19
 FREQUENT = 300_000
-COUNTED = 16 << 20  # text whose words a task counts before it gives out what it has
+CELLS = 1 << 20  # sums that a task holds before it gives them out
+COUNTED = 1 << 20  # words, distinct in their blocks, that a task holds before it gives out what it has
 SCORED_IDS = 1 << 17  # ids that a task scores at a time
 SCORED = 256  # windows at a time: their arrays stay in a core's cache
+PART = 64  # of a batch's windows, for the same reason
 PAIRS = 500_000
 LIMIT = 60.0  # attention scores and class scores stay below, so exponentials need no shift
 SMOOTH, PRIOR, PAIR_PRIOR = 0.1, 20.0, 10.0
@@ -54,9 +56,21 @@ def training(docs: DataFrame, id_col: str) -> DataFrame:
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """word (bytes), n: over all training documents, counted in the tasks before anything is moved."""
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, "text", COUNTED):
+        found, held = [], 0
+        for rows in slices(batches, "text"):
             _, codes, words = coded_words(rows.column("text"))
-            yield record_batch(COUNTS, words.cast(pa.binary()), np.bincount(codes, minlength=len(words)))
+            found.append((words.cast(pa.binary()), np.bincount(codes, minlength=len(words))))
+            held += len(words)
+            if held >= COUNTED:
+                yield together(found)
+                found, held = [], 0
+        if found:
+            yield together(found)
+
+    def together(found: list[tuple[pa.Array, np.ndarray]]) -> pa.RecordBatch:
+        words = pa.concat_arrays([w for w, _ in found]).dictionary_encode()
+        n = np.bincount(words.indices.to_numpy(), np.concatenate([n for _, n in found]), len(words.dictionary))
+        return record_batch(COUNTS, words.dictionary, n.astype(np.int64))
 
     rows = id_and_text(training(docs, id_col), id_col, text_col)
     return rows.mapInArrow(mapped, "word binary, n long").filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
@@ -73,6 +87,15 @@ def id_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_IDS) -> Iter
         yield rows.column("place").to_pylist(), np.split(flat, (ends[1:-1] - ends[0]) // 4)
 
 
+def merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of both in order, and the sums of their counts."""
+    keys, n = np.concatenate([keys, more]), np.concatenate([n, often])
+    order = np.argsort(keys)
+    keys = keys.take(order)
+    groups = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[:len(keys)]
+    return keys[groups], np.add.reduceat(n.take(order), groups) if len(groups) else n
+
+
 def company_counts(texts: DataFrame, company: np.ndarray, size: int) -> DataFrame:
     """at, n: how often each id has each of the ids in ``company`` before and behind it in all of the texts. ``at`` is the
     id x 2 x the number of those, plus the place of the neighbour, those behind after those before."""
@@ -83,6 +106,7 @@ def company_counts(texts: DataFrame, company: np.ndarray, size: int) -> DataFram
     place[company] = np.arange(many)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n = np.zeros(0, kind), np.zeros(0, np.int64)
         for _, marked in id_blocks(batches, 2 * BLOCK_IDS):
             ids = (np.concatenate(marked) >> 1).astype(kind)
             inner = np.ones(len(ids) - 1, bool)
@@ -91,8 +115,11 @@ def company_counts(texts: DataFrame, company: np.ndarray, size: int) -> DataFram
             before, behind = place[left], place[right]
             cells = np.concatenate([(right * kind(2 * many) + before)[before >= 0],
                                     (left * kind(2 * many) + kind(many) + behind)[behind >= 0]])
-            keys, n = np.unique(cells, return_counts=True)
-            yield record_batch(schema, keys.astype(np.int64), n)
+            keys, n = merged(keys, n, *np.unique(cells, return_counts=True))
+            if len(keys) >= CELLS:
+                yield record_batch(schema, keys.astype(np.int64), n)
+                keys, n = keys[:0], n[:0]
+        yield record_batch(schema, keys.astype(np.int64), n)
 
     return texts.mapInArrow(mapped, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
 
@@ -137,51 +164,59 @@ class AttentionModel:
                   "O": 0.3 * init(width, width), "C": init(width, classes), "b": np.zeros(classes, np.float32)}
         self.mask = np.tril(np.ones((window, window), np.float32))
 
-    def hidden(self, ids: np.ndarray) -> tuple:
-        """``ids`` (windows x window) to states; what comes after a position never reaches it."""
+    def through(self) -> np.ndarray:
+        """From an embedding to its query, which holds the scale of the scores, key, and value behind the output matrix."""
         p, d = self.p, self.width
-        x = p["E"][ids] + p["P"]
-        qkv = x.reshape(-1, d) @ p["A"]
-        q, k, v = (qkv[:, i * d:(i + 1) * d].reshape(x.shape) for i in range(3))
-        s = np.matmul(q, k.transpose(0, 2, 1))
-        s *= np.float32(d ** -0.5)
+        return np.concatenate([p["A"][:, :d] * np.float32(d ** -0.5), p["A"][:, d:2 * d], p["A"][:, 2 * d:] @ p["O"]], axis=1)
+
+    def hidden(self, ids: np.ndarray, through: np.ndarray | None = None) -> tuple:
+        """``ids`` (windows x window) to states; what comes after a position never reaches it."""
+        p, d, through = self.p, self.width, self.through() if through is None else through
+        x = p["E"].take(ids, axis=0)
+        x += p["P"]
+        qkv = (x.reshape(-1, d) @ through).reshape(*ids.shape, 3 * d)
+        a = np.matmul(qkv[:, :, :d], qkv[:, :, d:2 * d].transpose(0, 2, 1))
+        self._weights(a, self.mask)
+        a /= self._row_sums(a)
+        h = np.matmul(a, qkv[:, :, 2 * d:])
+        h += x
+        return x, qkv, a, h
+
+    @staticmethod
+    def _weights(s: np.ndarray, mask: np.ndarray) -> None:
+        """Scores to weights that don't add up to one yet."""
         np.clip(s, -LIMIT, LIMIT, out=s)
         np.exp(s, out=s)
-        s *= self.mask
-        s /= np.matmul(s, np.ones((self.window, 1), np.float32))
-        mixed = np.matmul(s, v)
-        return x, q, k, v, s, mixed, x + (mixed.reshape(-1, d) @ p["O"]).reshape(x.shape)
+        s *= mask
+
+    @staticmethod
+    def _row_sums(s: np.ndarray) -> np.ndarray:
+        return (s.reshape(-1, s.shape[-1]) @ np.ones(s.shape[-1], np.float32)).reshape(*s.shape[:-1], 1)
 
     def class_scores(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores of the classes and the logarithm of the sum of their exponentials."""
-        out, _, whole = self._exponentials(states)
-        return out, np.log(whole)
+        out = self._scores(states)
+        return out, np.log(self._row_sums(np.exp(out))[:, 0])
 
-    def _exponentials(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _scores(self, states: np.ndarray) -> np.ndarray:
         out = states @ self.p["C"]
         out += self.p["b"]
-        np.clip(out, -LIMIT, LIMIT, out=out)
-        powers = np.exp(out)
-        return out, powers, powers @ np.ones(out.shape[1], np.float32)
+        return np.clip(out, -LIMIT, LIMIT, out=out)
 
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """What an id and a place add to query, key, value (through the output matrix) and state, side by side."""
-        p, d = self.p, self.width
-        through = np.concatenate([p["A"][:, :d] * np.float32(d ** -0.5), p["A"][:, d:2 * d], p["A"][:, 2 * d:] @ p["O"],
-                                  np.eye(d, dtype=np.float32)], axis=1)
-        return p["E"] @ through, p["P"] @ through
+        through = np.concatenate([self.through(), np.eye(self.width, dtype=np.float32)], axis=1)
+        return self.p["E"] @ through, self.p["P"] @ through
 
     def states(self, ids: np.ndarray, table: tuple[np.ndarray, np.ndarray], begin: int = 0) -> np.ndarray:
         """The states of :meth:`hidden` from place ``begin`` on, with what :meth:`table` holds computed already."""
         d = self.width
-        row = table[0][ids]
+        row = table[0].take(ids, axis=0)
         row += table[1]
         s = np.matmul(row[:, begin:, :d], row[:, :, d:2 * d].transpose(0, 2, 1))
-        np.clip(s, -LIMIT, LIMIT, out=s)
-        np.exp(s, out=s)
-        s *= self.mask[begin:]
+        self._weights(s, self.mask[begin:])
         out = np.matmul(s, row[:, :, 2 * d:3 * d])
-        out /= np.matmul(s, np.ones((self.window, 1), np.float32))
+        out /= self._row_sums(s)
         out += row[:, begin:, 3 * d:]
         return out
 
@@ -194,37 +229,49 @@ class AttentionModel:
                 adam.step(inputs[rows], targets[rows].ravel(), rate * min(1.0, 2 * (1 - taken / (steps + 1))))
 
     def gradients(self, ids: np.ndarray, want: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        """The gradient of the mean log loss by parameter, that of the embeddings for the ids that are returned alone."""
-        p, d = self.p, self.width
-        x, q, k, v, a, mixed, h = self.hidden(ids)
-        flat = h.reshape(-1, d)
-        _, y, whole = self._exponentials(flat)
-        counts = want >= 0
-        share = (counts / max(1, counts.sum())).astype(np.float32)
-        y *= (share / whole)[:, None]
-        y[np.flatnonzero(counts), want[counts]] -= share[counts]
-        g = {"C": flat.T @ y, "b": np.ones(len(y), np.float32) @ y}
-        dh = y @ p["C"].T
-        g["O"] = mixed.reshape(-1, d).T @ dh
-        dmixed = (dh @ p["O"].T).reshape(x.shape)
-        da = np.matmul(dmixed, v.transpose(0, 2, 1))
-        da -= np.einsum("bts,bts->bt", da, a)[:, :, None]
-        da *= a
-        da *= np.float32(d ** -0.5)
-        dqkv = np.empty((*x.shape[:2], 3 * d), np.float32)
-        dqkv[:, :, :d] = np.matmul(da, k)
-        dqkv[:, :, d:2 * d] = np.matmul(da.transpose(0, 2, 1), q)
-        dqkv[:, :, 2 * d:] = np.matmul(a.transpose(0, 2, 1), dmixed)
-        dqkv = dqkv.reshape(-1, 3 * d)
-        g["A"] = x.reshape(-1, d).T @ dqkv
-        dx = dh + dqkv @ p["A"].T
-        g["P"] = dx.reshape(x.shape).sum(axis=0)
-        order = np.argsort(ids.astype(np.uint16) if len(p["E"]) <= 1 << 16 else ids, axis=None, kind="stable")
-        own = ids.ravel()[order]
+        """The gradient of the mean log loss by parameter, that of the embeddings for the ids that are returned alone. Summed
+        over :data:`PART` windows at a time, whose arrays stay in a core's cache."""
+        want, share = want.reshape(ids.shape), np.float32(1 / max(1, np.count_nonzero(want >= 0)))
+        dx, g, d, through = np.empty((*ids.shape, self.width), np.float32), {}, self.width, self.through()
+        for at in range(0, len(ids), PART):
+            for name, part in self._sums(ids[at:at + PART], want[at:at + PART].ravel(), share, through, dx[at:at + PART]):
+                g[name] = g[name] + part if at else part
+        dq, dk, dv = (g["A"][:, i * d:(i + 1) * d] for i in range(3))
+        g["O"] = self.p["A"][:, 2 * d:].T @ dv
+        g["A"] = np.concatenate([dq * np.float32(d ** -0.5), dk, dv @ self.p["O"].T], axis=1)
+        g["P"] = dx.sum(axis=0)
+        order = np.argsort(ids.astype(np.uint16) if len(self.p["E"]) <= 1 << 16 else ids, axis=None, kind="stable")
+        own = ids.ravel().take(order)
         starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        g["E"] = np.add.reduceat(dx[order], starts)
+        g["E"] = np.add.reduceat(dx.reshape(-1, d).take(order, axis=0), starts)
         return g, own[starts]
 
+    def _sums(self, ids: np.ndarray, want: np.ndarray, share: np.float32, through: np.ndarray, out: np.ndarray) -> tuple:
+        """What windows add to the gradients of C, b and ``through`` (as A), and that of their embeddings in ``out``."""
+        d = self.width
+        x, qkv, a, h = self.hidden(ids, through)
+        q, k, v = (qkv[:, :, i * d:(i + 1) * d] for i in range(3))
+        flat, rows = h.reshape(-1, d), np.flatnonzero(want >= 0)
+        y = self._scores(flat)
+        np.exp(y, out=y)
+        factor = share / self._row_sums(y)
+        if len(rows) < len(want):
+            factor[want < 0] = 0
+        y *= factor
+        y.reshape(-1)[rows * y.shape[1] + want[rows]] -= share
+        dx = y @ self.p["C"].T
+        dh = dx.reshape(x.shape)
+        da = np.matmul(dh, v.transpose(0, 2, 1))
+        da *= a
+        da -= a * self._row_sums(da)
+        dqkv = np.empty_like(qkv)
+        np.matmul(da, k, out=dqkv[:, :, :d])
+        np.matmul(da.transpose(0, 2, 1), q, out=dqkv[:, :, d:2 * d])
+        np.matmul(a.transpose(0, 2, 1), dh, out=dqkv[:, :, 2 * d:])
+        dqkv = dqkv.reshape(-1, 3 * d)
+        np.add(dh, (dqkv @ through.T).reshape(x.shape), out=out)
+        return ("C", flat.T @ y), ("b", np.ones(len(y), np.float32) @ y), ("A", x.reshape(-1, d).T @ dqkv)
+
     def packed(self) -> np.ndarray:
         """All parameters as rows of ``width`` numbers, the embeddings first."""
         return np.concatenate([self.p[k].reshape(-1, self.width) for k in ("E", "P", "A", "O", "C", "b")])
@@ -247,18 +294,34 @@ class Adam:
 
     def __init__(self, net: AttentionModel):
         self.net, self.rng, self.taken = net, np.random.default_rng(11), 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
+        self.others = [k for k in net.p if k != "E"]  # small: in one piece
+        self.ends = np.cumsum([net.p[k].size for k in self.others])
+        self.embeddings = np.zeros((len(net.p["E"]), 2 * net.width), np.float32)  # both means side by side
+        self.rest = np.zeros(2 * self.ends[-1], np.float32)
 
     def step(self, ids: np.ndarray, want: np.ndarray, pace: float) -> None:
         self.taken += 1
-        g, met = self.net.gradients(ids, want)
-        for name, value in self.net.p.items():
-            rows = met if name == "E" else slice(None)
-            first = self.first[name][rows] + 0.1 * (g[name] - self.first[name][rows])
-            second = self.second[name][rows] + 0.002 * (g[name] * g[name] - self.second[name][rows])
-            self.first[name][rows], self.second[name][rows] = first, second
-            value[rows] -= (pace * (first / (1 - 0.9 ** self.taken))
-                            / (np.sqrt(second / (1 - 0.998 ** self.taken)) + 1e-8)).astype(np.float32)
+        p, (g, met) = self.net.p, self.net.gradients(ids, want)
+        means = self.embeddings.take(met, axis=0)
+        p["E"][met] -= self.change(means, g["E"], pace)
+        self.embeddings[met] = means
+        parts = self.change(self.rest, np.concatenate([g[k].ravel() for k in self.others]), pace)
+        for k, part in zip(self.others, np.split(parts, self.ends[:-1])):
+            p[k] -= part.reshape(p[k].shape)
+
+    def change(self, means: np.ndarray, g: np.ndarray, pace: float) -> np.ndarray:
+        """Moves the means of gradients and of their squares, the halves of the last axis; what to take off the values."""
+        half = g.shape[-1]
+        first, second = means[..., :half], means[..., half:]
+        first += 0.1 * (g - first)
+        g *= g
+        g -= second
+        g *= 0.002
+        second += g
+        np.multiply(second, 1 / (1 - 0.998 ** self.taken), out=g)
+        np.sqrt(g, out=g)
+        g += 1e-8
+        return np.divide((pace / (1 - 0.9 ** self.taken)) * first, g, out=g)
 
 
 def windows(lengths: np.ndarray, window: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -283,26 +346,27 @@ class LanguageModel:
         aren't listed; and those that may have one: sequence, pair, how often, what the count is added to."""
         lengths = np.array([len(s) for s in sequences])
         ids = np.concatenate(sequences)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[np.cumsum(lengths) - lengths] = self.end
+        before = shifted(ids, lengths, self.end)
         logs, (at, pairs, priors) = self.shares.log_and_rest(ids, before, np.concatenate(firsts))
         owners = np.searchsorted(np.cumsum(lengths), at, side="right")
         cells, where, times = np.unique(owners * self.shares.size ** 2 + pairs, return_index=True, return_counts=True)
         if self.table is None:
             self.table = self.net.table()
+        own = self.classes.take(ids)
         start, stop, scored = windows(lengths)
+        inside = start + WINDOW <= stop
         for begin in (0, WINDOW - STRIDE):
-            of = np.flatnonzero(scored == begin)
-            for at in range(0, len(of), SCORED):
-                index = start[of[at:at + SCORED], None] + np.arange(WINDOW)
-                ok = index < stop[of[at:at + SCORED], None]
-                index = np.where(ok, index, 0)
-                ok = ok[:, begin:]
-                h = self.net.states(before[index], self.table, begin)
-                rows = index[:, begin:][ok]
-                out, whole = self.net.class_scores(h[ok])
-                logs[rows] += out[np.arange(len(rows)), self.classes[ids[rows]]] - whole
+            for whole in (True, False):  # windows that go beyond the end of a text apart
+                of = np.flatnonzero((scored == begin) & (inside == whole))
+                for at in range(0, len(of), SCORED):
+                    index = start[of[at:at + SCORED], None] + np.arange(WINDOW)
+                    h = self.net.states(before.take(index, mode="clip"), self.table, begin)
+                    rows, h = index[:, begin:].ravel(), h.reshape(-1, h.shape[-1])
+                    if not whole:
+                        ok = (index[:, begin:] < stop[of[at:at + SCORED], None]).ravel()
+                        rows, h = rows[ok], h[ok]
+                    out, sums = self.net.class_scores(h)
+                    logs[rows] += out.ravel().take(np.arange(len(rows)) * out.shape[1] + own.take(rows)) - sums
         return np.add.reduceat(logs, np.cumsum(lengths) - lengths) / log(10), (owners[where], pairs[where], times,
                                                                                priors[where])
 
@@ -320,6 +384,7 @@ class Shares:
         whole = self._normal(cells.sum(axis=0) + SMOOTH)
         self.by_class = np.stack([self._normal(row + PRIOR * whole) for row in cells]).astype(np.float32)
         before, ids = np.divmod(keys, self.size)
+        self.known: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         self.complete = totals is None
         self.totals = totals.astype(np.float32) if totals is not None else np.bincount(before * CLASSES + classes[ids], weights=counts, minlength=self.size * CLASSES) \
             .astype(np.float32)
@@ -333,23 +398,52 @@ class Shares:
     def log_and_rest(self, ids: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Logarithms of the shares, and the pairs that aren't listed but may have a count: place, pair, and what the
         count is added to."""
-        out = self.by_class[np.where(first, CLASSES, self.classes[before]), ids].astype(np.float64)
+        if self.known is None:
+            self.known = self._known()
+        first_logs, pair_logs, keys = self.known
+        out = first_logs.take(ids)
         rest = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         at = np.flatnonzero(~first)
-        if len(at) and (len(self.keys) or not self.complete):
-            own, prior = ids[at], before[at].astype(np.int64)
-            key = prior * self.size + own
-            n, listed = np.zeros(len(at), np.float32), np.zeros(len(at), bool)
-            if len(self.keys):
-                found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                listed = self.keys[found] == key
-                n = np.where(listed, self.counts[found], 0)
-            totals = self.totals[prior * CLASSES + self.classes[own]]
+        if not len(at):
+            return out, rest
+        key = before.take(at).astype(keys.dtype)
+        key *= keys.dtype.type(self.size)
+        key += ids.take(at).astype(keys.dtype)
+        order = np.argsort(key)  # texts repeat pairs: each one is looked up once
+        key = key.take(order)
+        begin = np.append(True, key[1:] != key[:-1])
+        distinct, number = key[begin], np.cumsum(begin) - 1
+        found = np.searchsorted(keys, distinct)
+        listed = keys.take(found, mode="clip") == distinct if len(keys) else np.zeros(len(distinct), bool)
+        logs = pair_logs.take(found, mode="clip") if len(keys) else np.zeros(len(distinct))
+        others = np.flatnonzero(~listed)
+        if len(others):
+            pairs = distinct[others].astype(np.int64)
+            prior, own = np.divmod(pairs, self.size)
+            share, totals = self._share(own, prior)
+            logs[others] = np.log(PAIR_PRIOR * share / (totals + PAIR_PRIOR))
             if not self.complete:
-                open_ = np.flatnonzero(~listed & (totals > 0))
-                rest = at[open_], key[open_], PAIR_PRIOR * out[at[open_]]
-            out[at] = (n + PAIR_PRIOR * out[at]) / (totals + PAIR_PRIOR)
-        return np.log(out), rest
+                priors = np.full(len(distinct), -1.0)
+                priors[others[totals > 0]] = PAIR_PRIOR * share[totals > 0]
+                open_ = np.flatnonzero(priors.take(number) >= 0)
+                open_ = open_[np.argsort(order[open_])]
+                rest = at[order[open_]], key[open_].astype(np.int64), priors[number[open_]]
+        out[at[order]] = logs.take(number)
+        return out, rest
+
+    def _share(self, ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shares by class, and how often the id before has any of the class behind it."""
+        return (self.by_class[self.classes[before], ids].astype(np.float64),
+                self.totals[before * CLASSES + self.classes[ids]])
+
+    def _known(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By id at the beginning of a word and by listed pair: the logarithm of the share; and the pairs, as small as they
+        can be. Made by the task that scores."""
+        kind = np.uint32 if self.size ** 2 <= 1 << 32 else np.int64  # faster to search
+        before, ids = np.divmod(self.keys, self.size)
+        share, totals = self._share(ids, before)
+        return (np.log(self.by_class[CLASSES].astype(np.float64)),
+                np.log((self.counts + PAIR_PRIOR * share) / (totals + PAIR_PRIOR)), self.keys.astype(kind))
 
 
 def sequence(words: list[bytes], known: dict[bytes, bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -381,16 +475,13 @@ def vocabulary(tokenizer: str) -> tuple[int, np.ndarray]:
     return len(final), final
 
 
-def fit(texts: DataFrame, counts: DataFrame, n_docs: int, tokenizer: str) -> tuple[LanguageModel, DataFrame]:
-    """The model from the ids of all training documents (place, ids) and the counts of their words, and the counts of all
-    pairs of ids."""
+def fit(texts: DataFrame, sums: DataFrame, n_docs: int, tokenizer: str) -> tuple[LanguageModel, DataFrame]:
+    """The model from the ids of all training documents (place, ids) and the sums of :class:`CellSums` over their words, and
+    the counts of all pairs of ids."""
     size, final = vocabulary(tokenizer)
     end = size - 1
-    sums = id_sums(counts, tokenizer, size)
     firsts, whole = (by_number(rows, size) for rows in (
-        sums.filter("cell >= 0"),
-        sums.groupBy(F.when(F.col("cell") >= 0, F.col("cell")).otherwise((-1 - F.col("cell")) % size).alias("cell"))
-        .agg(F.sum("n").alias("n"))))
+        sums.filter(F.col("cell") < size), sums.groupBy((F.col("cell") % size).alias("cell")).agg(F.sum("n").alias("n"))))
     firsts[end] += n_docs
     whole[end] += n_docs
     company = np.argsort(-whole, kind="stable")[:COMPANY]
@@ -436,7 +527,7 @@ def fit_rounds(net: AttentionModel, texts: DataFrame, classes: np.ndarray, end:
                 for _ in range(again):
                     for rows in shuffled(len(inputs), adam.rng):
                         slower = max(0.02, min(1.0, 2 * (1 - adam.taken / (steps + 1)))) if steps else 1.0
-                        adam.step(inputs[rows], targets[rows].ravel(), pace * slower)
+                        adam.step(inputs.take(rows, axis=0), targets.take(rows, axis=0).ravel(), pace * slower)
             weight = np.concatenate([met, np.full(len(base) - len(met), met.sum())])
             keys = np.flatnonzero(weight)
             change = (own.packed()[keys].astype(float) - base[keys]) * weight[keys, None]
@@ -457,46 +548,56 @@ def examples(marked: list[np.ndarray], classes: np.ndarray, end: int) -> tuple[n
     """Windows of the ids before, and the classes to predict; -1 behind the end of a text."""
     ids = (np.concatenate(marked) >> 1).astype(np.int64)
     lengths = np.array([len(m) for m in marked])
+    before = shifted(ids, lengths, end)
+    start, stop, _ = windows(lengths, WINDOW, WINDOW)
+    index = start[:, None] + np.arange(WINDOW)
+    targets = classes.take(ids).take(index, mode="clip")
+    cut = np.flatnonzero(start + WINDOW > stop)  # these go beyond the end of a text
+    behind = index[cut] >= stop[cut, None]
+    targets[cut] = np.where(behind, -1, targets[cut])
+    inputs = before.take(index, mode="clip")
+    inputs[cut] = np.where(behind, before[0], inputs[cut])
+    return inputs, targets
+
+
+def shifted(ids: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
+    """The id before each one; the end id begins each text."""
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     before[np.cumsum(lengths) - lengths] = end
-    start, stop, _ = windows(lengths, WINDOW, WINDOW)
-    index = start[:, None] + np.arange(WINDOW)
-    ok = index < stop[:, None]
-    index = np.where(ok, index, 0)
-    return before[index], np.where(ok, classes[ids[index]], -1)
+    return before
 
 
-def id_sums(counts: DataFrame, tokenizer: str, size: int) -> DataFrame:
-    """cell, n: over all training words, how often each id begins a word (cell: the id) and how often it follows another
-    inside one (cell: -1 - (the other x ``size`` + the id)). Stored."""
-    schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+class CellSums:
+    """cell, n: how often each id begins a word (cell: the id) and how often it follows another inside one (cell: ``size`` +
+    the other x ``size`` + the id). Added up over the words that a task meets, given out when there are :data:`CELLS`."""
 
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = library_memo(tokenizer)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1 << 16):
-                part = batch.slice(at, 1 << 16)
-                ids, starts = memo.table(part.column(0).cast(pa.string()), 0)
-                lengths = np.diff(starts)[:-1]
-                flat = ids[:-1].astype(np.int64)
-                before = np.empty(len(flat), np.int64)
-                before[1:] = flat[:-1]
-                cells = -1 - (before * size + flat)
-                first = (np.cumsum(lengths) - lengths)[lengths > 0]
-                cells[first] = flat[first]
-                keys, where = np.unique(cells, return_inverse=True)
-                sums = np.bincount(where, weights=np.repeat(part.column(1).to_numpy(), lengths))
-                yield record_batch(schema, keys, sums.astype(np.int64))
-
-    return written(counts.select("word", "n").mapInArrow(mapped, "cell long, n long").groupBy("cell").agg(
-        F.sum("n").alias("n")), "id-counts")
+    def __init__(self, size: int):
+        self.size, self.cells, self.n = size, np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, starts: np.ndarray, n: np.ndarray) -> None:
+        """Words, each one's ids between its start and the next, that occur ``n`` times."""
+        begin, stop = starts[:-1], starts[1:]
+        kind = np.uint32 if self.size * (self.size + 1) <= 1 << 32 else np.int64  # faster to sort
+        flat = ids[:starts[-1]].astype(kind)
+        cells = flat.copy()
+        cells[1:] += (flat[:-1] + kind(1)) * kind(self.size)
+        first = begin[stop > begin]
+        cells[first] = flat[first]
+        often = np.repeat(n, stop - begin)
+        met = np.flatnonzero(often)
+        self.cells, self.n = merged(self.cells.astype(kind), self.n, cells.take(met), often.take(met))
+
+    def given(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        if len(self.cells) >= least:
+            yield part_batch(ENCODED, len(self.cells), cell=self.cells, tf=self.n)
+            self.__init__(self.size)
 
 
 def count_shares(sums: DataFrame, firsts: np.ndarray, classes: np.ndarray, size: int) -> tuple[Shares, DataFrame]:
-    """The shares from the counts of :func:`id_sums`, and the counts of all pairs (pair, n). Some 2 x (classes + 1) x ids
+    """The shares from the counts of :class:`CellSums`, and the counts of all pairs (pair, n). Some 2 x (classes + 1) x ids
     sums and :data:`PAIRS` pairs reach the driver."""
-    pairs = sums.filter("cell < 0").select((-1 - F.col("cell")).alias("pair"), "n")
+    pairs = sums.filter(F.col("cell") >= size).select((F.col("cell") - size).alias("pair"), "n")
     cells = np.concatenate([pair_sums(pairs, lambda before, ids: classes[before] * size + ids, size, CLASSES * size), firsts])
     table = most_frequent(pairs, PAIRS).toArrow()
     keys = table.column("pair").to_numpy()
@@ -519,7 +620,7 @@ def pair_sums(pairs: DataFrame, place: Callable[[np.ndarray, np.ndarray], np.nda
 
 ENCODED = pa.schema([("place", pa.int64()), ("id", pa.int64()), ("fold", pa.int64()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("base", pa.float64()), ("ids", pa.binary()), ("word", pa.binary()),
-                     ("tf", pa.int64())])
+                     ("tf", pa.int64()), ("cell", pa.int64())])
 PASSED = pa.schema([("place", pa.int64()), ("score", pa.float64()), ("pair", pa.int64()), ("tf", pa.int64()),
                     ("prior", pa.float64())])
 
@@ -551,7 +652,8 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     counts = written(word_counts(docs, id_col, text_col), "word-counts")
     n_docs = training(docs, id_col).count()
-    end = vocabulary(tokenizer)[0] - 1  # the tokenizer's own end of text
+    size = vocabulary(tokenizer)[0]
+    end = size - 1  # the tokenizer's own end of text
     n_words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = n_words + n_docs, distinct + (n_docs > 0)
     below = n + SMOOTH * (v + 1)
@@ -561,13 +663,19 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     end_base = log10((n_docs + SMOOTH) / below)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (of, cost), memo = frequent.value, library_memo(tokenizer)
+        (of, cost), memo, sums = frequent.value, library_memo(tokenizer), CellSums(size)
         for part in slices(batches, "text"):
             sizes, codes, words = coded_words(part.column("text"))
-            ids, n_ids = laid_out(*marked_words(*memo.table(words, end)), codes, sizes)
+            ids, starts = memo.table(words, end)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            learned = pc.not_equal(part.column("fold"), HELD_OUT).fill_null(False).to_numpy(zero_copy_only=False)
+            sums.add(ids, starts[:-1], np.bincount(codes[learned[owner]], minlength=len(words)))
+            yield from sums.given(CELLS)
+            ids, n_ids = laid_out(*marked_words(ids, starts), codes, sizes)
             words = words.cast(pa.binary())
-            at = pc.index_in(words, value_set=of).fill_null(-1).to_numpy()
-            rare, owner = (at < 0)[codes], np.repeat(np.arange(len(sizes)), sizes)
+            at, met = np.full(len(words), -1), pc.index_in(of, value_set=words).fill_null(-1).to_numpy()  # fewer words to hash
+            at[met[met >= 0]] = np.flatnonzero(met >= 0)
+            rare = (at < 0)[codes]
             base = end_base + np.bincount(owner, cost[at][codes], len(sizes))
             known = int(n_docs > 0) + np.bincount(owner[~rare], minlength=len(sizes))
             texts = pa.Array.from_buffers(pa.binary(), len(sizes), [
@@ -579,14 +687,16 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 own, word = np.divmod(cells, len(words))
                 yield part_batch(ENCODED, len(cells), place=part.column("place").take(pa.array(own)),
                                  word=words.take(pa.array(word)), tf=tf)
+        yield from sums.given()
 
     rows = id_and_text(docs, id_col, text_col).select(
         F.monotonically_increasing_id().alias("place"), F.col("id").cast("long").alias("id"), "text",
         crc_mod("id", FOLDS).cast("long").alias("fold"))
     stored = written(rows.mapInArrow(encoded, "place long, id long, fold long, n_tokens long, n_known long, base double, "
-                                              "ids binary, word binary, tf long"), "encoded")
-    texts = stored.filter("word is null")
-    fitted, pairs = fit(texts.filter(F.col("fold") != HELD_OUT).select("place", "ids"), counts, n_docs, tokenizer)
+                                              "ids binary, word binary, tf long, cell long"), "encoded")
+    texts = stored.filter("ids is not null")
+    sums = written(stored.filter("cell is not null").groupBy("cell").agg(F.sum("tf").alias("n")), "id-counts")
+    fitted, pairs = fit(texts.filter(F.col("fold") != HELD_OUT).select("place", "ids"), sums, n_docs, tokenizer)
     model = docs.sparkSession.sparkContext.broadcast(fitted)
 
     passed = written(texts.select("place", "ids").mapInArrow(

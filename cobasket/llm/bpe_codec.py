@@ -219,9 +219,11 @@ class Memo:
         if len(self.known) > self.limit:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        missing = [p for p, ids in zip(pieces, map(known.get, pieces)) if ids is None]
+        found = list(map(known.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for piece, ids in zip(missing, map(older.get, missing)):
+        for piece in [pieces[i] for i in missing]:
+            ids = older.get(piece)
             if ids is None:
                 new.append(piece)
             else:
@@ -229,7 +231,9 @@ class Memo:
         for at in range(0, len(new), TOGETHER):
             batch = new[at:at + TOGETHER]
             known.update(zip(batch, self.encode(batch)))
-        return list(map(known.__getitem__, pieces))
+        for i in missing:
+            found[i] = known[pieces[i]]
+        return found
 
     def table(self, words: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words (string) and ``end`` behind them, laid end to end, and where those of each begin. The
@@ -237,21 +241,31 @@ class Memo:
         stems = pc.ascii_rtrim(words, characters=self.MARKS.decode())
         parted = pc.and_(pc.and_not(pc.less(pc.binary_length(stems), pc.binary_length(words)), pc.match_substring(words, "<|")),
                          pc.match_substring_regex(stems, self.LAST_LETTER))
-        sizes = pc.binary_length(stems.filter(parted)).to_pylist()
-        marks = [w[n:] for w, n in zip(words.filter(parted).cast(pa.binary()).to_pylist(), sizes)]
+        marks = behind(words.filter(parted), pc.binary_length(stems.filter(parted)).to_numpy()).dictionary_encode()
         stems, parted = pc.if_else(parted, stems, words).dictionary_encode(), parted.to_numpy(zero_copy_only=False)
-        pieces = stems.dictionary.cast(pa.binary()).to_pylist()
-        place = {mark: i for i, mark in enumerate(dict.fromkeys(marks), len(pieces))}
-        ids = [*self.whole([*pieces, *place]), np.array([end], "<u4").tobytes()]  # marks may be pieces of their own, too
+        pieces = [*stems.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False), *marks.dictionary.to_pylist()]
+        ids = [*self.whole(pieces), np.array([end], "<u4").tobytes()]  # marks may be pieces of their own, too
         begin = np.arange(len(words)) + np.cumsum(parted) - parted
         codes = np.full(len(words) + len(marks) + 1, len(ids) - 1)
         codes[begin] = stems.indices.to_numpy()
-        codes[begin[parted] + 1] = [place[m] for m in marks]
+        codes[begin[parted] + 1] = marks.indices.to_numpy() + len(stems.dictionary)
         starts = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))) // 4
         flat, stops = taken(np.frombuffer(b"".join(ids), "<u4"), starts, codes)
         return flat, np.concatenate([stops[begin], stops[-2:]])
 
 
+def behind(words: pa.Array, skipped: np.ndarray) -> pa.Array:
+    """What words (string) hold behind their first ``skipped`` bytes."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64) \
+        if len(words) else np.zeros(1, np.int64)
+    sizes = np.diff(offsets) - skipped
+    starts = np.append(0, np.cumsum(sizes))
+    places = np.repeat(offsets[:-1] + skipped - starts[:-1], sizes) + np.arange(starts[-1])
+    found = np.frombuffer(data, np.uint8).take(places) if len(places) else np.zeros(0, np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(found)])
+
+
 def taken(ids: np.ndarray, starts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the entries of a table that ``codes`` names, end to end, and where those of each begin and the last end."""
     entries = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [
