@@ -35,3 +35,11 @@ def test_sets_of_small_baskets_are_not_stored_basket_by_basket(spark, written):
     found = it.frequent_itemsets(bk.basket_rows(frame, "order_id"), 5, "order_id", max_size=3)
     assert as_dict(found) == brute_sets(rows, 5, 3)
     assert "occurrences" not in written and max(written.values()) <= len(rows)
+
+
+def test_small_baskets_and_a_large_one(spark):
+    rows = sorted(set(orders(60))) + [(1000, f"i{i:02}") for i in range(12)] + [(1000, f"x{i}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "order_id int, product_id string")
+    found = it.frequent_itemsets(bk.basket_rows(frame, "order_id"), 4, "order_id", block=10)
+    assert as_dict(found) == brute_sets(rows, 4)
+    assert found.agg(F.max(F.size("items"))).first()[0] >= 4
