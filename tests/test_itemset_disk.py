@@ -1,6 +1,7 @@
 """What itemset counting stores: no more rows than the baskets have, however many sets are in them."""
 
 from collections import Counter
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,28 @@ def test_sets_of_small_baskets_are_not_stored_basket_by_basket(spark, written):
     assert "occurrences" not in written and max(written.values()) <= len(rows)
 
 
+def test_sets_are_looked_up_in_small_baskets_without_storing_them(spark, written):
+    rows = sorted(set(orders(200)))
+    sets = [list(s) for n in (1, 2, 3, 4) for s in combinations(sorted({i for _, i in rows}), n)]
+    frame = spark.createDataFrame([(s, 1) for s in sets], "items array<string>, support long")
+    split = spark.createDataFrame([(o, i, "test") for o, i in rows], "order_id int, product_id string, dataset string")
+    found = {tuple(r["items"]): r.test_support for r in it.validate_itemsets(frame, split, basket="order_id").collect()}
+    assert found == brute_sets(rows, 1, 4)
+    assert "occurrences" not in written and max(written.values()) <= max(len(rows), len(sets))
+
+
+@pytest.mark.parametrize("block", [1, 4, 64])
+def test_support_in_small_and_large_baskets_together(spark, block):
+    """Sets in any order, one twice, one with an item twice, in baskets on both sides of the block's size."""
+    rows = sorted({(o, f"i{(o * 3 + k) % 9}") for o in range(60) for k in range(1 + o % 7)}) + [(99, None)]
+    sets = [["i1"], ["i2", "i1"], ["i1", "i2"], ["i3", "i1", "i2"], ["i4", "i4", "i5"], ["i5", "i6", "i7", "i8"], ["no", "i1"], []]
+    baskets = {o: {i for p, i in rows if p == o} for o, _ in rows}
+    want = {at: n for at, s in enumerate(sets) if s and (n := sum(set(s) <= b for b in baskets.values()))}
+    frame = spark.createDataFrame(list(enumerate(sets)), "set long, items array<string>")
+    found = it.set_support(frame, spark.createDataFrame(rows, "order_id int, item string"), "order_id", block)
+    assert {r.set: r.n for r in found.collect()} == want and len(want) == 6
+
+
 def test_small_baskets_and_a_large_one(spark):
     rows = sorted(set(orders(60))) + [(1000, f"i{i:02}") for i in range(12)] + [(1000, f"x{i}") for i in range(30)]
     frame = spark.createDataFrame(rows, "order_id int, product_id string")
