@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cobasket import session
 from cobasket.plans import catalog, staging, views
+from cobasket.sources import typed_csv
 from conftest import tuples
 
 
@@ -71,6 +72,39 @@ def test_text_that_a_query_reads_stays(spark, lines, stages):
     assert staging.records(spark, lines).count() == first.count() == 300 and "raw" in stages()
 
 
+@pytest.mark.parametrize("name", ["clean_similar", "clean_reviews", "clean_belongs_to", "clean_rejects", "load_products"])
+def test_edges_that_are_not_read_are_not_written(spark, lines, stages, name):
+    assert catalog.queries()[name](spark, lines).count() > 0
+    assert "clean_products" in stages() and not {"clean_belongs_to", "clean_similar", "clean_reviewed"} & set(stages())
+
+
+@pytest.mark.parametrize("name", ["load_products_defaults", "load_products_nulls", "read_typed_csv", "write_graph_csv"])
+def test_clean_csv_is_compressed(spark, lines, stages, name):
+    assert catalog.queries()[name](spark, lines).count() > 0
+    assert not list(stages()["csv"].rglob("part-*.csv")) and len(list(stages()["csv"].rglob("part-*.csv.gz"))) >= 6
+    assert "clean_reviewed" not in stages()
+    assert tuples(staging.csv(spark, lines).reviewed) == tuples(staging.cleaned(spark, lines).reviewed)
+
+
+@pytest.mark.parametrize("name", ["dirty_products_csv", "dirty_categories_csv"])
+def test_dirty_csv_is_compressed(spark, lines, stages, name):
+    assert catalog.queries()[name](spark, lines).count() > 0
+    assert not list(stages()["dirty_csv"].rglob("part-*.csv")) and "dirty" not in stages()
+
+
+def test_snapshots_are_compared_without_the_text(spark, lines, stages):
+    assert {r.label for r in catalog.queries()["compare_snapshots"](spark, lines).collect()} >= {"Product", "REVIEWED"}
+    assert {"clean_reviewed", "records"} <= set(stages()) and not {"raw", "listings"} & set(stages())
+
+
+def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(typed_csv, "FILE_ROWS", 10)
+    frame = spark.range(95).select(F.concat(F.lit('c "'), "id").alias("customer_id")).coalesce(1)
+    typed_csv.write_typed_csv(frame, "customers", f"{tmp_path}/c", "gzip")
+    assert len(list((tmp_path / "c").glob("part-*.csv.gz"))) == 10
+    assert tuples(typed_csv.read_typed_csv(spark, f"{tmp_path}/c", "customers")) == tuples(frame)
+
+
 def test_shuffle_files_go_with_the_write(spark):
     def files():
         local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
